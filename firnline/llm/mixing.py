@@ -5,8 +5,10 @@ part is taken as it is; the fractional parts are rounded together: two documents
 random, in a way that keeps the expectation of each and the sum of both, until one of them is integral.
 The other, still fractional, meets the next document. Groups of documents (source, hash bucket) are rounded
 independently; the at most one residual of each group goes up a reduction tree of fixed fan-in, so no task
-ever holds a whole source. What is left at the root is rounded by its own probability, so a source misses
-its target by less than one document.
+ever holds a whole source. About RESERVE documents of each source and size class (powers of two) wait for the
+root, which settles documents in falling order of size, each against all smaller ones as one partner; what is
+left at the very end, rounded by its own probability, is a small one. A source misses its target by less than
+that one document.
 
 Defined cases: null or wordless texts have size 0, are never taken (taken 0) and take no part in the
 rounding; a null source is a source of its own, ordered last; repeated rows are separate rows, each with
@@ -18,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -30,6 +33,7 @@ SOURCE_WEIGHTS = (1, 2, 3)
 MAX_REPEAT = 3
 GROUP_ROWS = 2048  # documents of all sources in a hash bucket, on average
 FAN_IN = 256  # residuals that meet at one node of the tree, per source
+RESERVE = 32  # documents of each source and size class that are rounded at the root
 BROADCAST_SOURCES = 10_000  # more sources than this are joined by a shuffle
 
 _UNIT = "doc_id long, source string, size long, source_size long, target double, whole int, p double, bucket long, u double, h long"
@@ -155,6 +159,41 @@ def _round_stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield held_row
 
 
+def round_root(size: np.ndarray, p: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """Round everything. The largest fractional document meets all smaller ones as one partner, whose
+    probabilities move together by the same weights in either direction, so every expectation and the word mass
+    are kept. Its size is bounded by FAN_IN residuals and the waiting documents."""
+    order = np.argsort(-size, kind="stable")
+    s, q, r = size[order].astype(float), p[order].copy(), u[order]
+    for i in range(len(s)):
+        for turn in range(len(s)):
+            if not 0.0 < q[i] < 1.0:
+                break
+            rest = i + 1 + np.flatnonzero((q[i + 1 :] > 0) & (q[i + 1 :] < 1))
+            if not len(rest):
+                q[i] = 1.0 if r[i] < q[i] else 0.0
+                break
+            spread = q[rest] * (1 - q[rest])
+            most = (s[rest] * spread).sum() / np.maximum(q[rest], 1 - q[rest]).max()
+            up, down = min((1 - q[i]) * s[i], most), min(q[i] * s[i], most)
+            draw = (r[i] + turn * 0.6180339887498949) % 1.0
+            gains = draw * (up + down) < down
+            mass = up if gains else -down
+            q[rest] -= mass * spread / (s[rest] * spread).sum()
+            whole = mass == (1 - q[i]) * s[i] if gains else -mass == q[i] * s[i]
+            q[i] = (1.0 if gains else 0.0) if whole else q[i] + mass / s[i]
+            q[rest] = np.where(q[rest] < 1e-12, 0.0, np.where(q[rest] > 1 - 1e-12, 1.0, q[rest]))
+    out = np.empty_like(q)
+    out[order] = q
+    return out
+
+
+def _root(pdf: pd.DataFrame) -> pd.DataFrame:
+    pdf = pdf.sort_values(["size", "doc_id", "h"], ascending=[False, True, True], ignore_index=True)
+    pdf["p"] = round_root(pdf["size"].to_numpy(), pdf["p"].to_numpy(), pdf["u"].to_numpy())
+    return pdf
+
+
 def _round_level(df: DataFrame, name: str) -> DataFrame:
     dealt = df.repartition("bucket", F.xxhash64("source")).sortWithinPartitions("bucket", "source", "doc_id", "h")
     return materialize(dealt.mapInArrow(_round_stream, _UNIT), name)
@@ -176,36 +215,44 @@ def mix_sources(
     )
     n = units.count()
     targets = materialize(source_targets(units), "mix-targets")
-    if targets.count() <= BROADCAST_SOURCES:
-        targets = F.broadcast(targets)
+    size_class = F.log2(F.greatest("size", F.lit(1)).cast("double")).cast("int")
+    classes = materialize(units.groupBy("source", size_class.alias("size_class")).agg(F.count("*").alias("in_class")), "mix-classes")
+    if classes.count() <= BROADCAST_SOURCES:
+        targets, classes = F.broadcast(targets), F.broadcast(classes)
     buckets = max(1, -(-n // GROUP_ROWS))
     f = F.when(F.col("t.source_size") > 0, F.col("t.target") / F.col("t.source_size")).otherwise(0.0)
     rows = units.alias("d").join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")))
     rows = rows.select(
         "d.doc_id", "d.source", "d.size", "t.source_size", "t.target", f.alias("f"), F.col("d.h").alias("h"),
+        size_class.alias("size_class"),
     )
+    rows = rows.alias("d").join(
+        classes.alias("c"),
+        F.col("d.source").eqNullSafe(F.col("c.source")) & (F.col("d.size_class") == F.col("c.size_class")),
+    ).select("d.*", "c.in_class")
+    uniform = lambda salt: F.pmod(F.xxhash64(F.lit(seed + salt), "h"), F.lit(1 << 52)) / float(1 << 52)
     rows = rows.select(
         "doc_id", "source", "size", "source_size", "target",
         F.floor("f").cast("int").alias("whole"),
         (F.col("f") - F.floor("f")).alias("p"),
         F.pmod(F.xxhash64(F.lit(seed), "h"), F.lit(buckets)).cast("long").alias("bucket"),
-        (F.pmod(F.xxhash64(F.lit(seed + 1), "h"), F.lit(1 << 52)) / float(1 << 52)).alias("u"),
+        uniform(1).alias("u"),
         "h",
+        (uniform(2) * F.col("in_class") < RESERVE).alias("waits"),
     )
     takes_part = (F.col("p") > 0) & (F.col("p") < 1) & (F.col("size") > 0)
-    done = [rows.filter(~takes_part).withColumn("p", F.lit(0.0))]
+    done = [rows.filter(~takes_part).withColumn("p", F.lit(0.0)).drop("waits")]
     todo, level = rows.filter(takes_part), 0
-    while True:
+    waiting = todo.filter("waits").drop("waits").withColumn("bucket", F.lit(0).cast("long"))
+    todo = todo.filter(~F.col("waits")).drop("waits")
+    while buckets > 1:
         out = _round_level(todo, f"mix-level{level}")
         open_ = (F.col("p") > 0) & (F.col("p") < 1)
         done.append(out.filter(~open_))
-        rest = out.filter(open_)
-        if buckets == 1:
-            done.append(rest.withColumn("p", F.when(F.col("u") < F.col("p"), 1.0).otherwise(0.0)))
-            break
-        buckets = -(-buckets // FAN_IN)
-        todo = rest.withColumn("bucket", F.floor(F.col("bucket") / FAN_IN).cast("long"))
-        level += 1
+        todo = out.filter(open_)
+        buckets, level = -(-buckets // FAN_IN), level + 1
+        todo = todo.withColumn("bucket", F.floor(F.col("bucket") / FAN_IN).cast("long"))
+    done.append(todo.unionByName(waiting).groupBy("source").applyInPandas(_root, _UNIT))
     whole = done[0]
     for part in done[1:]:
         whole = whole.unionByName(part)
