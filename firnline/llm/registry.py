@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from firnline.llm import langid, media, mixing, quality, secrets
+from firnline.llm import langid, media, mixing, quality, secrets, toxicity
 
 QUERIES = {
     "op3_langid": langid.op3_langid,
     "op4_quality": quality.op4_quality,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op8_media": media.op8_media,
     "op9_secrets": secrets.op9_secrets,
     "op10_mixing": mixing.op10_mixing,
