@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from firnline.llm import langid, media, mixing, quality, secrets, toxicity
+from firnline.llm import langid, media, mixing, quality, secrets, topk, toxicity
 
 QUERIES = {
+    "op2_topk": topk.op2_topk,
     "op3_langid": langid.op3_langid,
     "op4_quality": quality.op4_quality,
     "op7_toxicity": toxicity.op7_toxicity,
@@ -13,4 +14,6 @@ QUERIES = {
     "op10_mixing": mixing.op10_mixing,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_topk": topk.SQL,
+}
