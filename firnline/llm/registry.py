@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from firnline.llm import chat, langid, media, mixing, quality, secrets, topk, toxicity
+from firnline.llm import chat, langid, media, mixing, quality, secrets, spm, topk, toxicity
 
 QUERIES = {
     "op2_topk": topk.op2_topk,
     "op3_langid": langid.op3_langid,
     "op4_quality": quality.op4_quality,
+    "op5_sentencepiece": spm.op5_sentencepiece,
     "op6_chat": chat.op6_chat,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_media": media.op8_media,
@@ -17,5 +18,6 @@ QUERIES = {
 
 SQL: dict[str, str] = {
     "op2_topk": topk.SQL,
+    "op5_sentencepiece": spm.op5_sentencepiece,
     "op6_chat": chat.SQL,
 }

@@ -42,6 +42,7 @@ UNIGRAM, BPE = 1, 2
 _NORMAL, _UNKNOWN, _USER, _BYTE = 1, 2, 4, 6
 _NEVER = 1 << 40
 _MEMO = 1 << 20
+_LEAD = 20
 _CHUNK_CHARS = 1 << 20
 _UNKNOWN_PENALTY = 10.0
 _ROWS = 1 << 15  # words of one length that advance together
@@ -103,6 +104,12 @@ class Vocabulary:
         self.keys, self.ids = keys[order], np.array(text, np.int64)[order]
         if (self.keys[1:] == self.keys[:-1]).any():
             raise ValueError("two pieces share a hash")
+        # the first key of each value of the leading _LEAD bits, and whether it has more
+        lead = (self.keys >> np.uint64(64 - _LEAD)).astype(np.int64)
+        self.lead = np.zeros(1 << _LEAD, np.int32)
+        self.lead[lead[::-1]] = np.arange(len(lead), dtype=np.int32)[::-1]
+        self.shared = np.zeros(1 << _LEAD, bool)
+        self.shared[lead[1:][lead[1:] == lead[:-1]]] = True
         several = [self.pieces[i] for i in text if len(self.pieces[i]) > 1]
         if any(MARK in p.lstrip(MARK) for p in several):
             raise ValueError("pieces with a word mark inside are not supported")
@@ -189,9 +196,17 @@ class Encoder:
 
     def lookup(self, poly: np.ndarray, length: np.ndarray | int) -> np.ndarray:
         """Piece ids by hash, -1 where there is none."""
+        v = self.v
         key = mix(poly + np.asarray(length).astype(np.uint64))
-        at = np.minimum(np.searchsorted(self.v.keys, key), len(self.v.keys) - 1)
-        return np.where(self.v.keys[at] == key, self.v.ids[at], -1)
+        lead = (key >> np.uint64(64 - _LEAD)).astype(np.int64)
+        at = v.lead[lead]
+        out = np.where(v.keys[at] == key, v.ids[at], -1)
+        again = (out < 0) & v.shared[lead]
+        if again.any():
+            rest = key[again]
+            at = np.minimum(np.searchsorted(v.keys, rest), len(v.keys) - 1)
+            out[again] = np.where(v.keys[at] == rest, v.ids[at], -1)
+        return out
 
     def kept(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether merging keeps the boundary between pieces a and b (-1: a character without a piece)."""
@@ -259,32 +274,33 @@ class Encoder:
             best[:, i], piece[:, i], back[:, i] = score[rows, pick], found[rows, pick], pick + 1
         return piece, back
 
-    def _encode_words(self, words: list[str]) -> list[np.ndarray]:
-        out: list = [None] * len(words)
+    def _encode_words(self, words: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+        """(words, their ids in a row, number of ids of each), a group of equal length at a time."""
         length = np.array([len(w) for w in words])
         for size in np.unique(length).tolist():
             where = np.flatnonzero(length == size)
             for first in range(0, len(where), _ROWS):
-                at = where[first : first + _ROWS]
-                code = np.frombuffer("".join(words[i] for i in at.tolist()).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, size)
+                group = [words[i] for i in where[first : first + _ROWS].tolist()]
+                code = np.frombuffer("".join(group).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, size)
                 if size > len(self.power) - 1:
                     self.power, self.inverse = powers(size + 1)
                 piece, back = self._paths(code)
-                n = len(at)
+                n = len(group)
                 path, pos, rows = np.full((n, size), -2, np.int64), np.full(n, size), np.arange(n)
                 for step in range(size - 1, -1, -1):
                     open_ = pos > 0
-                    path[open_, step] = piece[rows[open_], pos[open_]]
-                    pos = np.where(open_, pos - back[rows, pos], 0)
                     if not open_.any():
                         break
-                for j, i in enumerate(at.tolist()):
-                    p = path[j]
-                    p = p[p > -2]
-                    out[i] = self._fallback(words[i], p, back[j]) if (p < 0).any() else p
-        return out
-
-    def _fallback(self, word: str, path: np.ndarray, back: np.ndarray) -> np.ndarray:
+                    path[:, step] = np.where(open_, piece[rows, pos], -2)
+                    pos = np.where(open_, pos - back[rows, pos], 0)
+                used = path > -2
+                lone = (path == -1).any(axis=1)
+                yield [group[i] for i in np.flatnonzero(~lone).tolist()], path[~lone][used[~lone]], used[~lone].sum(axis=1)
+                for i in np.flatnonzero(lone).tolist():
+                    ids = self._fallback(group[i], path[i][used[i]])
+                    yield [group[i]], ids, np.array([len(ids)])
+
+    def _fallback(self, word: str, path: np.ndarray) -> np.ndarray:
         ids, at = [], 0
         for p in path.tolist():
             if p >= 0:
@@ -300,18 +316,16 @@ class Encoder:
         return np.array(ids, np.int64)
 
     def _learn(self, words: list[str]) -> None:
-        ids = self._encode_words(words)
-        sizes = np.array([len(x) for x in ids], np.int64)
-        n, end = len(self.known), self.used + int(sizes.sum())
-        while end > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while n + len(words) + 1 > len(self.start):
-            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-        if len(words):
-            self.flat[self.used : end] = np.concatenate(ids)
-        self.start[n : n + len(words) + 1] = self.used + np.concatenate([[0], np.cumsum(sizes)])
-        self.used = end
-        self.known.update(zip(words, range(n, n + len(words))))
+        for group, ids, sizes in self._encode_words(words):
+            n, end = len(self.known), self.used + len(ids)
+            while end > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+            while n + len(group) + 1 > len(self.start):
+                self.start = np.concatenate([self.start, np.zeros_like(self.start)])
+            self.flat[self.used : end] = ids
+            self.start[n : n + len(group) + 1] = self.used + np.concatenate([[0], np.cumsum(sizes)])
+            self.used = end
+            self.known.update(zip(group, range(n, n + len(group))))
 
     def normalise(self, text: str) -> str:
         if self.v.squeeze:
