@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from firnline.llm import chat, langid, media, mixing, quality, secrets, spm, topk, toxicity
+from firnline.llm import chat, langid, media, minhash, mixing, quality, secrets, spm, topk, toxicity
 
 QUERIES = {
+    "op1_minhash": minhash.op1_minhash,
     "op2_topk": topk.op2_topk,
     "op3_langid": langid.op3_langid,
     "op4_quality": quality.op4_quality,
