@@ -42,8 +42,8 @@ def polar_parts(df: DataFrame, track: Track, latitude: str, min_latitude: float,
 
 
 def with_run_length(df: DataFrame, track: Track, condition: Column, out: str = "run_length") -> DataFrame:
-    base = islands(df.withColumn("__cond", condition), track, F.col("__cond"), "__run")
-    return base.withColumn(out, F.count(F.lit(1)).over(W.partitionBy(*track.segment, "__run"))).drop("__run", "__cond")
+    base = islands(df.withColumn("__runs_of", condition), track, F.col("__runs_of"), "__run")
+    return base.withColumn(out, F.count(F.lit(1)).over(W.partitionBy(*track.segment, "__run"))).drop("__run", "__runs_of")
 
 
 def small_runs_to_land(df: DataFrame, track: Track, is_ocean: Column, least: int, land: Column, surface: str) -> DataFrame:
