@@ -9,6 +9,16 @@ from pyspark.sql import functions as F
 from firnline.functions.physics import SPEED_OF_LIGHT
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once, however often the body (or a lambda in it) refers to it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def normalised(w: Column) -> Column:
+    """Power over its peak."""
+    return let(F.array_max(w), lambda top: F.transform(w, lambda x: F.try_divide(x, top)))
+
+
 def present(w: Column) -> Column:
     return F.filter(w, lambda x: x.isNotNull())
 
@@ -72,8 +82,7 @@ def peakiness(w: Column, skip: int = 0, norm_bins: Column | int | None = None) -
 
 def without_noise(w: Column, bins: int = 11) -> Column:
     """The mean of the first bins taken off, negatives set to zero."""
-    noise = mean(F.slice(w, 1, bins))
-    return F.transform(w, lambda x: F.greatest(x - noise, F.lit(0.0)))
+    return let(mean(F.slice(w, 1, bins)), lambda noise: F.transform(w, lambda x: F.greatest(x - noise, F.lit(0.0))))
 
 
 def side_peakiness(w: Column, pad: int = 1, side: str = "left") -> Column:
@@ -112,35 +121,39 @@ def first_maximum_index(w: Column, threshold: Column | float, ignore: int = 0) -
     """The first local maximum at or before the absolute one that reaches the threshold; else the absolute maximum;
     -1 without values."""
     threshold = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
-    top = peak_index(w)
     low = F.lit(-1e-6)
-    candidates = F.filter(
-        F.sequence(F.lit(ignore), F.greatest(top, F.lit(ignore))),
-        lambda i: (F.get(w, i) >= threshold)
-        & (F.get(w, i) > F.when(i > ignore, F.get(w, i - 1)).otherwise(low))
-        & (F.get(w, i) > F.when(i < top, F.get(w, i + 1)).otherwise(low)),
-    )
-    return F.when(top >= 0, F.when(top < ignore, top).otherwise(F.coalesce(F.get(candidates, F.lit(0)), top))).otherwise(F.lit(-1)).cast("int")
+
+    def search(at: Column) -> Column:
+        y, top = at["y"], at["top"]
+        candidates = F.filter(
+            F.sequence(F.lit(ignore), F.greatest(top, F.lit(ignore))),
+            lambda i: (F.get(y, i) >= at["need"])
+            & (F.get(y, i) > F.when(i > ignore, F.get(y, i - 1)).otherwise(low))
+            & (F.get(y, i) > F.when(i < top, F.get(y, i + 1)).otherwise(low)),
+        )
+        return F.when(top >= 0, F.when(top < ignore, top).otherwise(F.coalesce(F.get(candidates, F.lit(0)), top))).otherwise(F.lit(-1))
+
+    return let(w, lambda y: let(F.struct(y.alias("y"), peak_index(y).alias("top"), threshold.alias("need")), search)).cast("int")
 
 
 def leading_edge(w: Column, threshold: float, look_back: int, first_valid: int = 0) -> dict[str, Column]:
     """Index and normalised power of the first maximum, and the edge's quality: power gained in the look-back window
     (rises only, plus the power it starts from) over the power at the first maximum."""
-    normed = F.transform(w, lambda x: F.try_divide(x, peak(w)))
-    fmi = first_maximum_index(normed, threshold, first_valid)
-    ok = fmi >= first_valid
-    power = F.get(normed, F.greatest(fmi, F.lit(0)))
-    start = F.greatest(fmi - look_back, F.lit(1))
-    rises = F.transform(
-        F.when(start <= fmi, F.sequence(start, F.greatest(fmi, start))).otherwise(F.array().cast("array<int>")),
-        lambda i: F.greatest(F.get(normed, i) - F.get(normed, i - 1), F.lit(0.0)),
-    )
-    gained = total(rises) + F.get(normed, start)
-    return {
-        "first_maximum_index": F.when(ok, fmi).otherwise(F.lit(-1)),
-        "first_maximum_power": F.when(ok, power),
-        "leading_edge_quality": F.when(ok, F.try_divide(gained, power)),
-    }
+
+    def edge(at: Column) -> Column:
+        y, fmi = at["y"], at["fmi"]
+        ok = fmi >= first_valid
+        power = F.get(y, F.greatest(fmi, F.lit(0)))
+        start = F.greatest(fmi - look_back, F.lit(1))
+        bins = F.when(start <= fmi, F.sequence(start, F.greatest(fmi, start))).otherwise(F.array().cast("array<int>"))
+        rises = F.aggregate(bins, F.lit(0.0), lambda a, i: a + F.greatest(F.get(y, i) - F.get(y, i - 1), F.lit(0.0)))
+        return F.struct(
+            F.when(ok, fmi).otherwise(F.lit(-1)).alias("index"), F.when(ok, power).alias("power"),
+            F.when(ok, F.try_divide(rises + F.get(y, start), power)).alias("quality"),
+        )
+
+    found = let(normalised(w), lambda y: let(F.struct(y.alias("y"), first_maximum_index(y, threshold, first_valid).alias("fmi")), edge))
+    return {"first_maximum_index": found["index"], "first_maximum_power": found["power"], "leading_edge_quality": found["quality"]}
 
 
 def leading_edge_peakiness(w: Column, fmi: Column, size: int) -> Column:
@@ -152,24 +165,34 @@ def leading_edge_peakiness(w: Column, fmi: Column, size: int) -> Column:
 def trailing_edge_slope(w: Column, start: Column, floor: float = 0.15) -> dict[str, Column]:
     """Least-squares slope and correlation of the normalised power over the bins from start until it first falls under
     the floor. NULL with fewer than two bins."""
-    normed = F.transform(w, lambda x: F.try_divide(x, peak(w)))
-    n = F.size(normed)
-    after = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i > start) & (F.coalesce(F.get(normed, i), F.lit(-1.0)) < floor))
-    stop = F.coalesce(F.array_min(after), n)
-    first = F.when(F.get(normed, F.greatest(start, F.lit(0))) >= floor, start).otherwise(start + 1)
-    bins = F.when(stop > first, F.sequence(first, F.greatest(stop - 1, first))).otherwise(F.array().cast("array<int>"))
-    count = F.size(bins).cast("double")
-    sx = F.aggregate(bins, F.lit(0.0), lambda a, i: a + i)
-    sxx = F.aggregate(bins, F.lit(0.0), lambda a, i: a + i.cast("double") * i)
-    sy = F.aggregate(bins, F.lit(0.0), lambda a, i: a + F.get(normed, i))
-    sxy = F.aggregate(bins, F.lit(0.0), lambda a, i: a + F.get(normed, i) * i)
-    syy = F.aggregate(bins, F.lit(0.0), lambda a, i: a + F.get(normed, i) * F.get(normed, i))
-    vx, vy, cxy = count * sxx - sx * sx, count * syy - sy * sy, count * sxy - sx * sy
-    enough = F.size(bins) >= 2
-    return {
-        "trailing_edge_slope": F.when(enough, F.try_divide(cxy, vx)),
-        "trailing_edge_correlation": F.when(enough & (vy > 0), F.try_divide(cxy, F.sqrt(vx * vy))),
-    }
+
+    def bins_of(at: Column) -> Column:
+        y, n = at["y"], F.size(at["y"])
+        after = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i > at["s"]) & (F.coalesce(F.get(y, i), F.lit(-1.0)) < floor))
+        stop = F.coalesce(F.array_min(after), n)
+        first = F.when(F.get(y, F.greatest(at["s"], F.lit(0))) >= floor, at["s"]).otherwise(at["s"] + 1)
+        return F.when(stop > first, F.sequence(first, F.greatest(stop - 1, first))).otherwise(F.array().cast("array<int>"))
+
+    def fit(at: Column) -> Column:
+        zero = F.struct(*[F.lit(0.0).alias(k) for k in ("n", "x", "xx", "y", "xy", "yy")])
+
+        def add(a: Column, i: Column) -> Column:
+            x, y = i.cast("double"), F.get(at["y"], i)
+            terms = {"n": F.lit(1.0), "x": x, "xx": x * x, "y": y, "xy": x * y, "yy": y * y}
+            return F.struct(*[(a[k] + t).alias(k) for k, t in terms.items()])
+
+        def solve(s: Column) -> Column:
+            vx, vy = s["n"] * s["xx"] - s["x"] * s["x"], s["n"] * s["yy"] - s["y"] * s["y"]
+            cxy, enough = s["n"] * s["xy"] - s["x"] * s["y"], s["n"] >= 2
+            return F.struct(
+                F.when(enough, F.try_divide(cxy, vx)).alias("slope"), F.when(enough & (vy > 0), F.try_divide(cxy, F.sqrt(vx * vy))).alias("r")
+            )
+
+        return let(F.aggregate(at["bins"], zero, add), solve)
+
+    base = lambda y: F.struct(y.alias("y"), start.alias("s"))
+    whole = let(normalised(w), lambda y: let(base(y), lambda at: let(F.struct(at["y"].alias("y"), bins_of(at).alias("bins")), fit)))
+    return {"trailing_edge_slope": whole["slope"], "trailing_edge_correlation": whole["r"]}
 
 
 def determination(observed: Column, modelled: Column) -> Column:

@@ -65,8 +65,10 @@ def _per_segment(df: DataFrame, track: Track, out: str, values):
     """values(pdf, ordered by the track) -> array, as a new column; one segment is one bounded trajectory."""
     schema = ", ".join(f"`{c}` {t}" for c, t in df.dtypes) + f", `{out}` double"
 
+    order = list(track.order)
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(track.order, ignore_index=True)
+        pdf = pdf.sort_values(order, ignore_index=True)
         v = np.asarray(values(pdf), float)
         return pdf.assign(**{out: pd.Series(v).where(np.isfinite(v), None)})
 
