@@ -19,10 +19,24 @@ class Track:
     def __init__(self, segment: str | Sequence[str] = "segment_id", order: str | Sequence[str] = "record_idx"):
         self.segment = [segment] if isinstance(segment, str) else list(segment)
         self.order = [order] if isinstance(order, str) else list(order)
-        self.whole = W.partitionBy(*self.segment)
-        self.along = self.whole.orderBy(*self.order)
-        self.before = self.along.rowsBetween(W.unboundedPreceding, 0)
-        self.after = self.along.rowsBetween(0, W.unboundedFollowing)
+
+    # windows need a running session, so they are made when they are used
+
+    @property
+    def whole(self):
+        return W.partitionBy(*self.segment)
+
+    @property
+    def along(self):
+        return self.whole.orderBy(*self.order)
+
+    @property
+    def before(self):
+        return self.along.rowsBetween(W.unboundedPreceding, 0)
+
+    @property
+    def after(self):
+        return self.along.rowsBetween(0, W.unboundedFollowing)
 
     def rows(self, low: int, high: int):
         return self.along.rowsBetween(low, high)

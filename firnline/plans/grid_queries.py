@@ -46,8 +46,9 @@ def surface_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def classifier_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = G.classifier_statistics(["l_extendedprice", "l_tax"], ["mean", "sdev"], F.col("surface"), ["all", "lead", "sea_ice"])
-    return rounded(_lines(spark, sf_dir).groupBy("yj", "xi").agg(*[c.alias(k) for k, c in stats.items()]), 4)
+    stats = G.classifier_statistics(["power", "noise"], ["mean", "sdev"], F.col("surface"), ["all", "lead", "sea_ice"])
+    lines = _lines(spark, sf_dir).withColumns({"power": F.col("l_extendedprice") * 0.318309886, "noise": F.col("l_tax") * 0.318309886})
+    return rounded(lines.groupBy("yj", "xi").agg(*[c.alias(k) for k, c in stats.items()]), 4)
 
 
 def temporal_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,8 +173,9 @@ SQL = {
         from lines group by 1, 2
     """,
     "classifier_statistics": f"""
-        with {_LINES} select yj, xi, {", ".join(_STAT(p, t, c) for p in ("l_extendedprice", "l_tax") for t, c in (("all", "true"), ("lead", "surface = 2"), ("sea_ice", "surface = 4")))}
-        from lines group by 1, 2
+        with {_LINES}, c as (select *, l_extendedprice * 0.318309886::double as power, l_tax * 0.318309886::double as noise from lines)
+        select yj, xi, {", ".join(_STAT(p, t, c) for p in ("power", "noise") for t, c in (("all", "true"), ("lead", "surface = 2"), ("sea_ice", "surface = 4")))}
+        from c group by 1, 2
     """,
     "temporal_coverage": """
         with d as (select user_id, cast(date_diff('day', date '2024-01-01', cast(ts as date)) as double) as d, count(*) as k from events where event_type <> 'click' group by 1, 2),
