@@ -11,10 +11,14 @@ BANDS bands of ROWS coordinates make buckets. Candidate pairs are verified exact
 texts with weighted Jaccard similarity of at least THRESHOLD. Classes are the connected components of links and
 equal texts.
 
-Groups of any size: equal texts are one node from the start. In a bucket every node is compared with the bucket's
-first node only (a star: linear in the bucket). Buckets whose nodes then lie in one component are settled; in the
-others, every pair of nodes from different components is compared as well, the largest component against the rest
-and the rest among each other, so that no candidate pair is left out whose link could join two classes.
+Groups of any size: equal texts are one node from the start. A bucket's center is its first node. Every node is
+compared with the smallest of its centers, then with those of its other centers that are not yet in its component:
+both linear in the buckets. Buckets whose nodes then lie in one component are settled. Among the nodes of the others, a
+node's weight in shingles that any other of them has bounds its similarity to all of them; nodes that cannot reach the
+threshold leave. The rest is compared with the node of the largest shared part in each bucket. What then lies outside
+its bucket's largest component is compared with every node of another component that has one of its rarest shingles
+(a prefix filter: without one of these a pair cannot reach the threshold), so that no candidate pair is left out whose
+link could join two classes.
 
 Defined cases: null texts and texts without words are in no bucket and are classes of their own, each row by its
 id; texts of fewer than five words have one shingle of all their words; texts of any length are shingled whole;
@@ -190,6 +194,96 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.select("node", "component")
 
 
+def _labelled(df: DataFrame, column: str, found: DataFrame, out: str) -> DataFrame:
+    """df with the component of the nodes in a column; a node without links is its own."""
+    f = found.select(F.col("node").alias("__n"), F.col("component").alias("__c"))
+    return df.join(f, df[column] == F.col("__n"), "left").withColumn(out, F.coalesce("__c", column)).drop("__n", "__c")
+
+
+def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links: only the graph of the components that the links join is searched."""
+    edges = _labelled(_labelled(links, "u", found, "cu"), "v", found, "cv").filter(F.col("cu") != F.col("cv"))
+    new = components(edges.select(F.col("cu").alias("u"), F.col("cv").alias("v")).distinct())
+    moved = new.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    old = found.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    lone = new.join(found, "node", "left_anti").select("node", "component")
+    return materialize(old.unionByName(lone), "minhash-found")
+
+
+def _unsettled(member: DataFrame) -> DataFrame:
+    """The rows of buckets (bucket, node, component) that hold more than one component."""
+    per = member.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"))
+    return member.join(per.filter(F.col("a") != F.col("b")).select("bucket"), "bucket", "left_semi")
+
+
+def _untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
+    """Distinct pairs, the smaller node first, that are not among the tested."""
+    order = lambda df: df.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    return materialize(order(pairs).distinct().join(order(tested), ["u", "v"], "left_anti"), "minhash-pairs")
+
+
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for a, b, data, offsets in chunks(pc.utf8_lower(batch.column("text"))):
+            row, element, weight = weighted_sets(data, offsets)
+            at = pa.array(np.searchsorted(row, np.arange(b - a + 1)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(at, pa.array(x)) for x in (element.view(np.int64), weight)]
+            total = np.bincount(row, weight, b - a)
+            yield pa.RecordBatch.from_arrays([batch.column("node").slice(a, b - a), *lists, pa.array(total)], ["node", "element", "weight", "total"])
+
+
+def _sets(texts: DataFrame) -> DataFrame:
+    """(node, element, weight, total) with the shingles of a text as arrays."""
+    return materialize(texts.mapInArrow(_elements, "node binary, element array<long>, weight array<double>, total double"), "minhash-elements")
+
+
+def _exploded(sets: DataFrame, *columns: str) -> DataFrame:
+    e = F.explode(F.arrays_zip("element", "weight")).alias("e")
+    return sets.select("node", *columns, e).select("node", *columns, "e.element", "e.weight")
+
+
+def _shared_weight(sets: DataFrame) -> DataFrame:
+    """(node, part, total): a text's weight in shingles that some other of these texts has, and its whole weight."""
+    rows = _exploded(sets)
+    alone = rows.groupBy("element").agg(F.count("*").alias("n"), F.first("node").alias("node"), F.first("weight").alias("weight")).filter("n = 1")
+    alone = alone.groupBy("node").agg(F.sum("weight").alias("alone"))
+    return sets.select("node", "total").join(alone, "node", "left").select("node", (F.col("total") - F.coalesce("alone", F.lit(0.0))).alias("part"), "total")
+
+
+def _prefix_pairs(minor: DataFrame, member: DataFrame, sets: DataFrame) -> DataFrame:
+    """(u, v): for every minor node u all nodes v of other components that may reach the threshold with it. A common
+    weight of at least a, the least that a partner of the smallest total in reach needs, must touch u's rarest shingles,
+    taken until less than a is left; so v has one of them. minor: u, cu, pu, tu, smallest. member: node, component, part,
+    total."""
+    share = THRESHOLD / (1 + THRESHOLD)
+    need = (share - 1e-9) * (F.col("tu") + F.greatest(F.col("smallest"), THRESHOLD * F.col("tu")))
+    mine = _exploded(sets.join(minor.select(F.col("u").alias("node"), need.alias("need")), "node"), "total", "need")
+    mine = materialize(mine.withColumnRenamed("node", "u"), "minhash-minor")
+    postings = _exploded(sets).select(F.col("node").alias("v"), "element")
+    postings = materialize(postings.join(mine.select("element").distinct(), "element", "left_semi"), "minhash-postings")
+    often = postings.groupBy("element").agg(F.count("*").alias("n"))
+    rare_first = W.partitionBy("u").orderBy("n", "element").rowsBetween(W.unboundedPreceding, -1)
+    prefix = mine.join(often, "element").withColumn("before", F.coalesce(F.sum("weight").over(rare_first), F.lit(0.0)))
+    prefix = prefix.filter((F.col("before") <= F.col("total") - F.col("need")) & (F.col("n") > 1)).select("u", "element")
+    left = prefix.join(minor.select("u", "cu", "pu", "tu"), "u")
+    right = member.select(F.col("node").alias("v"), F.col("component").alias("cv"), F.col("part").alias("pv"), F.col("total").alias("tv"))
+    right = postings.join(right, "v")
+    common = F.least("pu", "pv")
+    fits = common >= (THRESHOLD - 1e-9) * (F.col("tu") + F.col("tv") - common)
+    a, b = left.alias("a"), right.alias("b")
+    return a.join(b, (F.col("a.element") == F.col("b.element")) & (F.col("cu") != F.col("cv")) & fits).select("u", "v")
+
+
+def _within_reach(member: DataFrame) -> DataFrame:
+    """Without the nodes that no text of their bucket can reach the threshold with. The common weight of a pair is at
+    most the node's shared part p and the other's total; with the bucket's smallest total at least p, the similarity is
+    at most p / (total + smallest - p), else at most p / total."""
+    smallest = member.groupBy("bucket").agg(F.min("total").alias("smallest"))
+    p, t, least = F.col("part"), F.col("total"), F.col("smallest")
+    bound = F.when(least >= p, p / (t + least - p)).otherwise(p / t)
+    return member.join(smallest, "bucket").filter(bound >= THRESHOLD - 1e-9).drop("smallest")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, classes, links). rows: doc_id, node (null: no words) of every input row; classes: node, class_id,
     keeper (whether the node holds the class's smallest id); links: u, v of the verified pairs found."""
@@ -200,40 +294,60 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = nodes.select(F.explode("bands").alias("bucket"), "node")
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("center"), F.count("*").alias("n")).filter("n > 1")
     shared = materialize(buckets.join(shared, "bucket").select("bucket", "node", "center"), "minhash-buckets")
-    stars = shared.filter(F.col("node") != F.col("center")).select(F.col("node").alias("u"), F.col("center").alias("v")).distinct()
-    stars = materialize(stars, "minhash-stars")
     wanted = shared.select("node").distinct().join(nodes.select("node", "first_id"), "node")
     texts = slim.withColumn("node", _node()).join(
         wanted.select(F.col("node").alias("n"), "first_id").hint("shuffle_hash"),
         (F.col("doc_id") == F.col("first_id")) & (F.col("node") == F.col("n")),
     )
     texts = materialize(texts.groupBy("node").agg(F.first("text").alias("text")), "minhash-texts")
-    links = _links(stars, texts, "minhash-links")
+
+    # each node with the smallest of its centers
+    rays = shared.filter(F.col("node") != F.col("center"))
+    tested = materialize(rays.groupBy(F.col("node").alias("u")).agg(F.min("center").alias("v")), "minhash-nearest")
+    links = _links(tested, texts, "minhash-links")
     found = components(links)
 
-    # buckets whose nodes are not yet in one component
-    member = shared.join(found, "node", "left").select("bucket", "node", "center", F.coalesce("component", "node").alias("component"))
-    member = materialize(member, "minhash-members")
-    open_ = member.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("n"))
-    open_ = open_.filter((F.col("a") != F.col("b")) & (F.col("n") > 2)).select("bucket")
-    member = materialize(member.join(open_, "bucket", "left_semi"), "minhash-open")
-    sizes = member.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("largest"))
-    minor = member.join(largest, "bucket").filter(F.col("component") != F.col("largest"))
-    minor = minor.select("bucket", F.col("node").alias("u"), F.col("component").alias("cu"), "largest")
-    other = member.select("bucket", F.col("node").alias("v"), F.col("component").alias("cv"))
-    pairs = minor.join(other, "bucket").filter(
-        (F.col("cu") != F.col("cv")) & ((F.col("cv") == F.col("largest")) | (F.col("u") < F.col("v")))
-    )
-    pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    tested = stars.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    pairs = materialize(pairs.join(tested, ["u", "v"], "left_anti"), "minhash-pairs")
-    if not pairs.isEmpty():
-        more = _links(pairs, texts, "minhash-more")
+    # the other centers of nodes that are not yet in the center's component
+    apart = _labelled(_labelled(rays, "node", found, "cn"), "center", found, "cc").filter(F.col("cn") != F.col("cc"))
+    stars = apart.select(F.col("node").alias("u"), F.col("center").alias("v")).distinct()
+    stars = materialize(stars.join(tested, ["u", "v"], "left_anti"), "minhash-stars")
+    if not stars.isEmpty():
+        more = _links(stars, texts, "minhash-links")
+        if not more.isEmpty():
+            links, found = links.union(more), _merged(found, more)
+        tested = tested.union(stars)
+
+    # buckets whose nodes are not yet in one component, without the nodes that can have no link there
+    member = materialize(_unsettled(_labelled(shared.select("bucket", "node"), "node", found, "component")), "minhash-open")
+    if not member.isEmpty():
+        sets = _sets(member.select("node").distinct().join(texts, "node"))
+        member = materialize(_unsettled(_within_reach(member.join(_shared_weight(sets), "node"))), "minhash-open")
+        # against the bucket's node with the largest shared part, the least changed of many copies of one text
+        best = member.groupBy("bucket").agg(F.max(F.struct(F.col("part") / F.col("total"), "node"))["node"].alias("best"))
+        rays = member.join(best, "bucket").filter(F.col("node") != F.col("best")).select("node", "best", "component")
+        rays = _labelled(rays, "best", found, "cb").filter(F.col("component") != F.col("cb"))
+        pairs = _untested(rays.select(F.col("node").alias("u"), F.col("best").alias("v")), tested)
+        more = _links(pairs, texts, "minhash-links")
         if not more.isEmpty():
-            links = links.union(more)
-            found = components(links)
-    classes = nodes.select("node", "first_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+            links, found = links.union(more), _merged(found, more)
+        tested = tested.union(pairs)
+
+        # every pair that is left
+        member = _unsettled(_labelled(member.select("bucket", "node", "part", "total"), "node", found, "component"))
+        member = materialize(member, "minhash-open")
+        sizes = member.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.min("total").alias("smallest"))
+        largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("largest"), F.min("smallest").alias("smallest"))
+        minor = member.join(largest, "bucket").filter(F.col("component") != F.col("largest"))
+        minor = minor.groupBy(F.col("node").alias("u")).agg(
+            F.first("component").alias("cu"), F.first("part").alias("pu"), F.first("total").alias("tu"), F.min("smallest").alias("smallest")
+        )
+        nodes_left = member.select("node", "component", "part", "total").distinct()
+        pairs = _untested(_prefix_pairs(materialize(minor, "minhash-minors"), nodes_left, sets), tested)
+        if not pairs.isEmpty():
+            more = _links(pairs, texts, "minhash-links")
+            if not more.isEmpty():
+                links, found = links.union(more), _merged(found, more)
+    classes = _labelled(nodes.select("node", "first_id"), "node", found, "component")
     classes = materialize(classes, "minhash-classes")
     least = classes.groupBy("component").agg(F.min(F.struct("first_id", "node")).alias("keeper"))
     classes = classes.join(least, "component").select("node", F.col("keeper.first_id").alias("class_id"), (F.col("keeper.node") == F.col("node")).alias("keeper"))
@@ -257,3 +371,31 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = rows.filter(~wordless).join(keep.hint("shuffle_hash"), (F.col("__node") == F.col("__n")) & (F.col("doc_id") == F.col("__id")))
     kept = kept.withColumn("__rn", F.row_number().over(copy)).filter("__rn = 1")
     return kept.select(*docs.columns).unionByName(docs.filter(wordless))
+
+
+SQL = r"""
+    with recursive d as (
+        select doc_id, list_filter(regexp_split_to_array(lower(text), '[ \t\n\v\f\r]+'), lambda x: x <> '') as w
+        from documents where text is not null
+    ), s as (
+        select doc_id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                              else [array_to_string(w, ' ')] end) as g
+        from d where len(w) > 0
+    ), c as (
+        select doc_id, g, count(*) as k from s group by 1, 2
+    ), t as (
+        select doc_id, sum(k) as total from c group by 1
+    ), p as (
+        select a.doc_id as u, b.doc_id as v, sum(least(a.k, b.k)) as m
+        from c a join c b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2
+    ), l as (
+        select u, v from p join t x on x.doc_id = u join t y on y.doc_id = v where m >= 0.8 * (x.total + y.total - m)
+    ), e as (
+        select u, v from l union all select v, u from l
+    ), r(node, label) as (
+        select doc_id, doc_id from documents
+        union
+        select e.v, r.label from r join e on e.u = r.node where r.label < e.v
+    )
+    select node as doc_id, min(label) as class_id from r group by 1
+"""
