@@ -166,18 +166,16 @@ def round_root(size: np.ndarray, p: np.ndarray, u: np.ndarray) -> np.ndarray:
     order = np.argsort(-size, kind="stable")
     s, q, r = size[order].astype(float), p[order].copy(), u[order]
     for i in range(len(s)):
-        for turn in range(len(s)):
-            if not 0.0 < q[i] < 1.0:
-                break
+        draws = np.random.default_rng(int(r[i] * (1 << 52)))
+        while 0.0 < q[i] < 1.0:
             rest = i + 1 + np.flatnonzero((q[i + 1 :] > 0) & (q[i + 1 :] < 1))
             if not len(rest):
-                q[i] = 1.0 if r[i] < q[i] else 0.0
+                q[i] = 1.0 if draws.random() < q[i] else 0.0
                 break
             spread = q[rest] * (1 - q[rest])
             most = (s[rest] * spread).sum() / np.maximum(q[rest], 1 - q[rest]).max()
             up, down = min((1 - q[i]) * s[i], most), min(q[i] * s[i], most)
-            draw = (r[i] + turn * 0.6180339887498949) % 1.0
-            gains = draw * (up + down) < down
+            gains = draws.random() * (up + down) < down
             mass = up if gains else -down
             q[rest] -= mass * spread / (s[rest] * spread).sum()
             whole = mass == (1 - q[i]) * s[i] if gains else -mass == q[i] * s[i]
