@@ -18,7 +18,7 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op1_minhash": minhash.SQL,
     "op2_topk": topk.SQL,
-    "op5_sentencepiece": spm.op5_sentencepiece,
     "op6_chat": chat.SQL,
 }
