@@ -147,3 +147,48 @@ def test_streaming_chains_match_batch(spark, tmp_path):
     query.awaitTermination(60)
     done = {(r["start_time"], r["n_records"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert done and done <= batch
+
+
+def test_models_are_batched_and_bounded(spark):
+    import numpy as np
+
+    from firnline.operators import models
+
+    power = [0.0] * 20 + [i / 10 for i in range(11)] + [0.5] * 33
+    df = spark.createDataFrame([(1, power, [float(i) for i in range(64)]), (2, None, None), (3, [0.0] * 64, [0.0] * 64)], "k long, w array<double>, r array<double>")
+    udf = models.predicted_threshold(lambda: lambda windows: windows.sum(axis=1), 0.1, 0.9)
+    assert [r[0] for r in df.orderBy("k").select(udf("w")).collect()] == [0.9, None, None]
+
+    def fit(w, r):
+        if w.max() <= 0:
+            raise ValueError("no power")
+        return {"top": float(r[int(w.argmax())]), "misfit": 1.0}
+
+    out = models.fit_waveforms(df, ["k"], "w", "r", fit, ["top", "misfit"], most=5.0).orderBy("k").collect()
+    assert [r["top"] for r in out] == [30.0, None, None]
+    assert [r["top"] for r in models.fit_waveforms(df, ["k"], "w", "r", fit, ["top", "misfit"], most=0.5).orderBy("k").collect()] == [None, None, None]
+    assert np.allclose(models.parameter_deviations(np.eye(3), np.zeros(3)), 0)
+
+
+def test_auxiliary_definitions_are_checked():
+    from firnline.operators.auxiliary import Auxiliary
+
+    with pytest.raises(KeyError):
+        Auxiliary([("sic", "no_such", {})]).validate([])
+    with pytest.raises(KeyError):
+        Auxiliary([("sic", "nearest", {"grid": None})]).validate([])
+    with pytest.raises(KeyError):
+        Auxiliary([("snow", "fixed", {"snow_depth": 1})]).validate([])
+    Auxiliary([("snow", "fixed", {"snow_depth": 1})], {("snow", "fixed"): {"snow_density": 300}}).validate([])
+
+
+def test_command_line_periods():
+    import argparse
+
+    from firnline import cli
+
+    d = datetime.date
+    assert cli.period("2020-02") == (d(2020, 2, 1), d(2020, 2, 29)) and cli.period("2019-12-30:2020") == (d(2019, 12, 30), d(2020, 12, 31))
+    assert cli.without_months(d(2020, 1, 15), d(2020, 4, 2), [2]) == [(d(2020, 1, 15), d(2020, 1, 31)), (d(2020, 3, 1), d(2020, 3, 31)), (d(2020, 4, 1), d(2020, 4, 2))]
+    with pytest.raises(argparse.ArgumentTypeError):
+        cli.period("2020-13")
