@@ -205,3 +205,30 @@ def stack_metadata(df: DataFrame, mission: str, time: str) -> DataFrame:
     return df.agg(
         F.array_join(F.array_sort(F.collect_set(mission)), ",").alias("missions"), F.min(time).alias("start_time"), F.max(time).alias("stop_time")
     )
+
+
+def load_masks(cells: DataFrame, masks: Mapping[str, DataFrame], cell: Sequence[str] = CELL) -> DataFrame:
+    """A column for each mask table (yj, xi, value); cells that a mask lacks are NULL."""
+    for name, mask in masks.items():
+        cells = cells.join(mask.select(*cell, F.col("value").alias(name)), list(cell), "left")
+    return cells
+
+
+def land_mask(cells: DataFrame, ocean: DataFrame, limit: float = 1e-5, out: str = "is_land", cell: Sequence[str] = CELL) -> DataFrame:
+    """Land is where the density of ocean (yj, xi, density_of_ocean) is under a limit."""
+    found = cells.join(ocean.select(*cell, "density_of_ocean"), list(cell), "left")
+    return found.withColumn(out, F.col("density_of_ocean") < limit).drop("density_of_ocean")
+
+
+def resample_mask(source: DataFrame, grid, how: str = "nearest", value: str = "value") -> DataFrame:
+    """A mask of (longitude, latitude, value) points on the grid's cells: the value nearest to the cell's centre, or (mean)
+    the share of the cell's points."""
+    from firnline.functions.geodesy import laea_polar, with_cell
+
+    x, y = laea_polar(F.col("longitude"), F.col("latitude"), grid.hemisphere, grid.lon_0)
+    base = with_cell(source, grid).filter(F.col("xi").isNotNull() & F.col("yj").isNotNull())
+    if how == "mean":
+        return base.groupBy(*CELL).agg(F.avg(value).alias("value"))
+    dx = x - ((F.col("xi") + 0.5) * grid.dx - grid.xsize / 2)
+    dy = y - ((F.col("yj") + 0.5) * grid.dy - grid.ysize / 2)
+    return base.withColumn("__away", dx * dx + dy * dy).groupBy(*CELL).agg(F.min(F.struct("__away", value))[value].alias("value"))

@@ -185,11 +185,28 @@ def record_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out.select("l_orderkey", "l_linenumber", "sea_ice_freeboard", "sea_ice_thickness", "sea_ice_thickness_uncertainty", "sea_ice_draft", "flag"), 5)
 
 
+def correction_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elevations of given ranges with peakiness, deblurring and sea-state corrections, and the sea surface height."""
+    li = _lines(spark, sf_dir, "l_returnflag", "l_linestatus", "l_discount", "l_tax", "l_quantity")
+    df = li.withColumns({
+        "segment_id": F.col("l_orderkey"), "record_idx": F.col("l_linenumber"), "surface_type": surface_of_line(F.col("l_returnflag"), F.col("l_linestatus")),
+        "altitude": F.lit(800.0), "range_a": F.col("l_quantity") * 2, "range_b": F.col("l_quantity") * 3, "peakiness": F.col("l_discount") * 4,
+        "epss": (F.col("l_tax") - 0.04) * 1e-7, "wave_height": F.col("l_tax") * 40, "wind_speed": F.col("l_discount") * 30, "mean_sea_surface": F.lit(2.0),
+    })
+    steps = [
+        {"step": "elevations", "options": {"names": ["a", "b"], "use": "b"}}, {"step": "peakiness_correction"}, {"step": "pulse_deblurring"},
+        {"step": "sea_state_bias", "options": {"table": [[0.0, 0.1, 0.2], [0.1, 0.3, 0.5], [0.2, 0.4, 0.7]], "wave_step": 2.0, "wind_step": 2.0}},
+        {"step": "raw_sea_level"}, {"step": "sea_surface_height"}, {"step": "remove_non_ocean", "options": {"targets": ["elevation"]}},
+    ]
+    out = Pipeline.from_config({"procsteps": steps}).apply(df)
+    return rounded(out.select("l_orderkey", "l_linenumber", "elevation_a", "elevation", "sea_state_bias", "sea_surface_height", "flag"), 7)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         classification, valid_range, bit_flags, surface_filter, orbit_filter, prefilter, miz_flags, edge_transitions, sparse_sections, thickness, scalar_physics,
-        snow_climatology, region_codes, code_lookup, product_union, name_fields, newest_files, overlapping_files, leap_seconds, record_pipeline,
+        snow_climatology, region_codes, code_lookup, product_union, name_fields, newest_files, overlapping_files, leap_seconds, record_pipeline, correction_pipeline,
     )
 }
 
@@ -298,4 +315,20 @@ SQL = {
                round(case when not out2 then ut0 end, 5) + 0.0 as sea_ice_thickness_uncertainty, round(case when not out2 then t0 - f end, 5) + 0.0 as sea_ice_draft,
                (case when out1 or out2 then 512 else 0 end) | (case when t0 is null then 256 else 0 end) as flag from d
     """,
+    "correction_pipeline": f"""
+        with v as (
+            select *, {SURFACE_SQL} as s, l_discount * 4 as pp, ((-1390.0::double * 0.1::double + 339) * 0.1::double - 28.4::double) * 0.1::double + 0.994::double as knee, (l_tax - 0.04::double) * 1e-7::double * 0.5::double * 299792458.0::double as eps,
+                   l_tax * 40 / 2 as x, l_discount * 30 / 2 as y, [[0.0, 0.1, 0.2], [0.1, 0.3, 0.5], [0.2, 0.4, 0.7]]::double[][] as t from lineitem
+        ), w as (
+            select *, cast(floor(x) as integer) as i, cast(floor(y) as integer) as j, x - floor(x) as px, y - floor(y) as py from v
+        ), b as (
+            select *, t[i + 1][j + 1] as c00, coalesce(t[i + 1][j + 2], t[i + 1][j + 1]) as c01, coalesce(t[i + 2][j + 1], t[i + 1][j + 1]) as c10, coalesce(t[i + 2][j + 2], t[i + 1][j + 2], t[i + 2][j + 1], t[i + 1][j + 1]) as c11 from w
+        ), z as (
+            select *, case when s in (1, 2) then coalesce((c00 * (1 - py) + c01 * py) * (1 - px) + (c10 * (1 - py) + c11 * py) * px, 0.0) else 0.0 end as ssb,
+                   800.0 - l_quantity * 3 - case when pp > 0.33 then 0.25 when pp > 0.1 then (pp - 0.1::double) * (0.25::double - knee) / 0.23::double + knee else ((-1390.0::double * pp + 339) * pp - 28.4::double) * pp + 0.994::double end
+                   + case when eps < 0 then eps / 5 else 0.0 end as e0 from b
+        )
+        select l_orderkey, l_linenumber, round(800.0 - l_quantity * 2, 7) + 0.0 as elevation_a, round(e0 - ssb, 7) + 0.0 as elevation, round(ssb, 7) + 0.0 as sea_state_bias,
+               round(case when s = 2 then 2.0 + (e0 - ssb - 2.0) end, 7) + 0.0 as sea_surface_height, case when s = 2 then 0 else 64 end as flag from z
+    """,
 }

@@ -40,7 +40,7 @@ STEPS: dict[str, Step] = {}
 
 def step(name: str, reads=lambda o: (), writes=lambda o: (), required: Sequence[str] = (), bit: str = "other"):
     def register(run):
-        as_list = lambda x: x if callable(x) else (lambda o: x)
+        as_list = lambda x: x if callable(x) else (lambda o: x)  # noqa: E731  constants or functions of the options
         STEPS[name] = Step(name, run, as_list(reads), as_list(writes), required, bit)
         return run
 
@@ -215,6 +215,91 @@ def _ice_type_gaps(df, track, o):
     return base.withColumn("sea_ice_type", value).drop("__pos", "__near"), F.col("__gap")
 
 
+@step("elevations", lambda o: ["altitude", *[f"range_{n}" for n in o["names"]]], lambda o: [f"elevation_{n}" for n in o["names"]] + (["elevation", "elevation_uncertainty"] if o.get("use") else []), ("names",), "retracker")
+def _elevations(df, track, o):
+    """Elevations of several given ranges; `use` names the one that becomes the elevation."""
+    out = df.withColumns({f"elevation_{n}": F.col("altitude") - F.col(f"range_{n}") for n in o["names"]})
+    if o.get("use"):
+        out = out.withColumns({"elevation": F.col(f"elevation_{o['use']}"), "elevation_uncertainty": F.lit(float(o.get("uncertainty", 0.0)))})
+    return out, None
+
+
+@step("peakiness_correction", ["elevation", "peakiness"], ["peakiness_range_correction"], (), "retracker")
+def _peakiness_correction(df, track, o):
+    value = P.peakiness_range_correction(F.col("peakiness"))
+    return df.withColumns({"peakiness_range_correction": value, "elevation": F.col("elevation") - value}), None
+
+
+@step("pulse_deblurring", lambda o: [o.get("source", "epss"), o.get("target", "elevation")], ["pulse_deblurring_correction"], (), "retracker")
+def _deblurring(df, track, o):
+    value, target = P.pulse_deblurring(F.col(o.get("source", "epss")), float(o.get("slope", 5.0))), o.get("target", "elevation")
+    return df.withColumns({"pulse_deblurring_correction": value, target: F.col(target) + value}), None
+
+
+@step("drift_correction", lambda o: [o["target"], "time"], (), ("target", "base_year", "base_month", "factor"), "l1")
+def _drift(df, track, o):
+    start = F.min("time").over(track.whole)
+    base = df.withColumn("__start", start)
+    return base.withColumn(o["target"], P.drift_correction(F.col(o["target"]), F.col("__start"), o["base_year"], o["base_month"], o["factor"])).drop("__start"), None
+
+
+@step("sea_state_bias", ["elevation", "wave_height", "wind_speed", "surface_type"], ["sea_state_bias"], ("table", "wave_step", "wind_step"), "range_correction")
+def _sea_state_bias(df, track, o):
+    """Bilinear in a table of (wave height, wind speed) rows, on leads and ocean only; 0 where the table has no value."""
+    table = [list(map(float, row)) for row in o["table"]]
+    cells = F.array(*[F.array(*[F.lit(v) for v in row]) for row in table])
+    x, y = F.col("wave_height") / float(o["wave_step"]), F.col("wind_speed") / float(o["wind_step"])
+    i, j = F.floor(x).cast("int"), F.floor(y).cast("int")
+    part_x, part_y = x - i, y - j
+    at = lambda a, b: F.get(F.get(cells, a), b)
+    low = at(i, j) * (1 - part_y) + F.coalesce(at(i, j + 1), at(i, j)) * part_y
+    high = F.coalesce(at(i + 1, j), at(i, j)) * (1 - part_y) + F.coalesce(at(i + 1, j + 1), at(i, j + 1), at(i + 1, j), at(i, j)) * part_y
+    value = F.coalesce(low * (1 - part_x) + high * part_x, F.lit(0.0))
+    bias = F.when(is_surface(F.col("surface_type"), "lead", "ocean"), value).otherwise(F.lit(0.0))
+    return df.withColumns({"sea_state_bias": bias, "elevation": F.col("elevation") - bias}), F.col("sea_state_bias").isNull()
+
+
+@step("sea_surface_height", ["mean_sea_surface", "sea_level_anomaly", "sea_level_anomaly_uncertainty"], ["sea_surface_height"], (), "sea_level")
+def _ssh(df, track, o):
+    return df.withColumns({"sea_surface_height": F.col("mean_sea_surface") + F.col("sea_level_anomaly"), "sea_surface_height_uncertainty": F.col("sea_level_anomaly_uncertainty")}), None
+
+
+@step("raw_sea_level", ["elevation", "mean_sea_surface", "surface_type"], ["sea_level_anomaly", "sea_level_anomaly_uncertainty"], (), "sea_level")
+def _raw_sea_level(df, track, o):
+    value = sealevel.raw_anomaly(F.col("surface_type"), F.col("elevation"), F.col("mean_sea_surface"), o.get("surface_types", ["lead"]))
+    return df.withColumns({"sea_level_anomaly": value, "sea_level_anomaly_uncertainty": F.when(value.isNotNull(), F.lit(0.0))}), F.col("sea_level_anomaly").isNull()
+
+
+@step("remove_non_ocean", ["surface_type"], (), ("targets",), "filter")
+def _remove_non_ocean(df, track, o):
+    out = filters.remove_non_ocean(df, "surface_type", o["targets"])
+    return out, is_surface(F.col("surface_type"), "land", "land_ice")
+
+
+@step("wave_zone_flag", lambda o: [o["distance"], o["wave_height"], "sea_ice_concentration"], ["flag_miz"], ("distance", "wave_height", "max_distance", "min_wave_height"), "filter")
+def _wave_zone(df, track, o):
+    flag = filters.wave_zone_flag(F.col(o["distance"]), F.col(o["wave_height"]), F.col("sea_ice_concentration"), o["max_distance"], o["min_wave_height"])
+    return df.withColumn("flag_miz", flag), None
+
+
+@step(
+    "marginal_zone_flag", ["sea_ice_concentration", "leading_edge_width_rolling_mean", "peakiness_rolling_sdev", "radar_freeboard", "distance_to_low_ice_concentration"], ["flag_miz"],
+    ("proximity", "transition"), "filter",
+)
+def _marginal_zone(df, track, o):
+    """The larger of the transition and the proximity flag; with boolean just whether it is above 1."""
+    p, t = o["proximity"], o["transition"]
+    near = filters.proximity_flag(
+        F.col("distance_to_low_ice_concentration"), F.col("sea_ice_concentration"), F.col("leading_edge_width_rolling_mean"), F.col("peakiness_rolling_sdev"),
+        p["max_distance"], p["sic_max"], p["width_min"], p["sdev_max"],
+    )
+    base = sealevel.transition_zone(
+        df, track, "sea_ice_concentration", "leading_edge_width_rolling_mean", "radar_freeboard", int(t["ice_records"]), int(t["ocean_records"]), t["width_min"], t["gradient_min"], "__transition"
+    )
+    flag = F.greatest(near, F.col("__transition"))
+    return base.withColumn("flag_miz", F.when(flag > 1, 1).otherwise(0).cast("tinyint") if o.get("boolean") else flag).drop("__transition"), None
+
+
 @dataclass
 class Pipeline:
     """steps: (name, options). The error bits of all steps meet in the column `flag`."""

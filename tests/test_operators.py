@@ -192,3 +192,26 @@ def test_command_line_periods():
     assert cli.without_months(d(2020, 1, 15), d(2020, 4, 2), [2]) == [(d(2020, 1, 15), d(2020, 1, 31)), (d(2020, 3, 1), d(2020, 3, 31)), (d(2020, 4, 1), d(2020, 4, 2))]
     with pytest.raises(argparse.ArgumentTypeError):
         cli.period("2020-13")
+
+
+def test_masks_on_cells(spark):
+    g = Grid("g", xsize=2_000_000.0, ysize=2_000_000.0, dx=500_000.0, dy=500_000.0)
+    points = spark.createDataFrame([(0.0, 88.0, 1), (0.5, 87.9, 0), (90.0, 86.0, 1), (10.0, 20.0, 1)], "longitude double, latitude double, value int")
+    near = grid.resample_mask(points, g)
+    assert near.count() == 2 and {r["value"] for r in near.collect()} <= {0, 1}
+    share = {(r["yj"], r["xi"]): r["value"] for r in grid.resample_mask(points, g, "mean").collect()}
+    assert sorted(share.values()) == [0.5, 1.0]
+    out = grid.load_masks(near.withColumnRenamed("value", "v"), {"area": near.limit(1)}).collect()
+    assert sorted(str(r["area"]) for r in out)[-1] == "None"
+    land = grid.land_mask(near, near.select("yj", "xi", (F.col("value") * 1.0).alias("density_of_ocean")))
+    assert {(r["value"], r["is_land"]) for r in land.collect()} <= {(0, True), (1, False)}
+
+
+def test_marginal_zone_flag_step(spark):
+    from firnline.plans.steps import Pipeline
+
+    rows = [("a", i, 5.0 if i < 20 else 60.0 + i, 4.0 if i < 20 else 1.0, 0.1, 0.5 if i < 24 else 0.2, 10.0 * i) for i in range(60)]
+    df = spark.createDataFrame(rows, "segment_id string, record_idx int, sea_ice_concentration double, leading_edge_width_rolling_mean double, peakiness_rolling_sdev double, radar_freeboard double, distance_to_low_ice_concentration double")
+    options = {"proximity": {"max_distance": 300.0, "sic_max": 90.0, "width_min": 0.5, "sdev_max": 1.0}, "transition": {"ice_records": 10, "ocean_records": 5, "width_min": 2.0, "gradient_min": 0.5}}
+    out = Pipeline([("marginal_zone_flag", options)]).apply(df).orderBy("record_idx").collect()
+    assert out[20]["flag_miz"] == 2 and out[59]["flag_miz"] == 0 and {r["flag_miz"] for r in out} <= {0, 1, 2}
