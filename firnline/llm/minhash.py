@@ -22,7 +22,8 @@ link could join two classes.
 
 Defined cases: null texts and texts without words are in no bucket and are classes of their own, each row by its
 id; texts of fewer than five words have one shingle of all their words; texts of any length are shingled whole;
-repeated rows are copies and share a class; ties go to the smaller id; an empty table gives no rows; other columns
+repeated rows are copies and share a class; ties go to the smaller id; a null id is larger than all others and no
+text's class if any of its copies has an id; an empty table gives no rows; other columns
 are ignored by the classes and kept by the stage.
 """
 
@@ -297,7 +298,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = shared.select("node").distinct().join(nodes.select("node", "first_id"), "node")
     texts = slim.withColumn("node", _node()).join(
         wanted.select(F.col("node").alias("n"), "first_id").hint("shuffle_hash"),
-        (F.col("doc_id") == F.col("first_id")) & (F.col("node") == F.col("n")),
+        F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("node") == F.col("n")),
     )
     texts = materialize(texts.groupBy("node").agg(F.first("text").alias("text")), "minhash-texts")
 
@@ -349,7 +350,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 links, found = links.union(more), _merged(found, more)
     classes = _labelled(nodes.select("node", "first_id"), "node", found, "component")
     classes = materialize(classes, "minhash-classes")
-    least = classes.groupBy("component").agg(F.min(F.struct("first_id", "node")).alias("keeper"))
+    smallest = F.struct(F.col("first_id").isNull().alias("no_id"), "first_id", "node")
+    least = classes.groupBy("component").agg(F.min(smallest).alias("keeper"))
     classes = classes.join(least, "component").select("node", F.col("keeper.first_id").alias("class_id"), (F.col("keeper.node") == F.col("node")).alias("keeper"))
     return signed.select("doc_id", "node"), classes, links
 
@@ -368,7 +370,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = docs.withColumn("__node", _node())
     wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     copy = W.partitionBy("__node", "doc_id").orderBy(F.lit(0))
-    kept = rows.filter(~wordless).join(keep.hint("shuffle_hash"), (F.col("__node") == F.col("__n")) & (F.col("doc_id") == F.col("__id")))
+    kept = rows.filter(~wordless).join(keep.hint("shuffle_hash"), (F.col("__node") == F.col("__n")) & F.col("doc_id").eqNullSafe(F.col("__id")))
     kept = kept.withColumn("__rn", F.row_number().over(copy)).filter("__rn = 1")
     return kept.select(*docs.columns).unionByName(docs.filter(wordless))
 
