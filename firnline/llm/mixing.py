@@ -31,7 +31,7 @@ from firnline.llm.common import load, materialize
 WORD = r"[^\x20\x09-\x0D]+"
 SOURCE_WEIGHTS = (1, 2, 3)
 MAX_REPEAT = 3
-GROUP_ROWS = 2048  # documents of all sources in a hash bucket, on average
+GROUP_ROWS = 256  # documents of all sources in a hash bucket, on average
 FAN_IN = 256  # residuals that meet at one node of the tree, per source
 RESERVE = 32  # documents of each source and size class that are rounded at the root
 BROADCAST_SOURCES = 10_000  # more sources than this are joined by a shuffle
