@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+ARROW_BATCH = "4m"
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -22,12 +27,39 @@ def scratch_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def bounded(f: Callable) -> Callable:
+    """A query or stage (spark, ...) whose lazy result runs with Arrow batches of at most ARROW_BATCH bytes."""
+
+    @wraps(f)
+    def run(spark: SparkSession, *args):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH)
+        return f(spark, *args)
+
+    return run
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of at most ARROW_BATCH bytes while jobs run, so that long texts do not add up in Python workers."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, ARROW_BATCH)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet to the shared scratch folder and read it back: the result has no lineage, so
     a lost executor costs a re-read and not a recomputation."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -36,10 +68,20 @@ def split_mod(id_col: str, mod: int) -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(mod).cast("long"))
 
 
-def sample_per_class(df: DataFrame, id_col: str, label_col: str, per_class: int) -> DataFrame:
-    """At most per_class rows of each label, chosen by a hash of the id (so the choice does not depend on
-    partitioning). The rank filter runs partially before the shuffle, so a hot label is not gathered."""
-    w = W.partitionBy(label_col).orderBy(F.xxhash64(id_col), F.col(id_col))
-    return (
-        df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= per_class).drop("__rn")
-    )
+def class_sizes(df: DataFrame, label_col: str, most: int = 1024) -> dict:
+    """Rows of each label; more than `most` labels are an error, so that what the driver holds is bounded."""
+    rows = df.groupBy(F.col(label_col).alias("label")).agg(F.count("*").alias("n")).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} values of {label_col}")
+    return {r["label"]: r["n"] for r in rows}
+
+
+def sample_per_class(df: DataFrame, id_col: str, label_col: str, per_class: int, sizes: dict | None = None) -> DataFrame:
+    """About per_class rows of each label (all, if there are fewer), chosen by a hash of the id: the choice depends
+    neither on partitioning nor on other rows, and no label is gathered or sorted."""
+    sizes = class_sizes(df, label_col) if sizes is None else sizes
+    share = F.lit(0.0)
+    for label, n in sorted(sizes.items(), key=lambda x: str(x[0])):
+        if label is not None and n:
+            share = F.when(F.col(label_col) == F.lit(label), F.lit(min(1.0, per_class / n))).otherwise(share)
+    return df.filter(F.pmod(F.xxhash64(id_col), F.lit(1 << 32)) < share * float(1 << 32))

@@ -2,7 +2,7 @@
 blanks at word edges) of a document, in order, against each language's; the out-of-place distance sums how far
 each n-gram is from its place in the profile, MISSING places if it isn't there.
 
-The profiles are fitted on at most SAMPLE_PER_LANG documents of each language, chosen by a hash of the id.
+The profiles are fitted on about SAMPLE_PER_LANG documents of each language, chosen by a hash of the id.
 
 Defined cases: a null text and a text without a letter get `und` with score 0; ties go to the first language by
 name; texts of any length are profiled whole; with nothing to learn from every text is `und`; an empty table gives
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from firnline.llm.common import load, sample_per_class, split_mod
+from firnline.llm.common import bounded, class_sizes, load, sample_per_class, split_mod
 
 PROFILE = 300
 SAMPLE_PER_LANG = 2000
@@ -116,10 +116,10 @@ def _count_langs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit_profiles(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, top: int = PROFILE) -> dict[str, list[int]]:
     """lang -> its most frequent n-grams in order. docs: doc_id, text, lang of the rows to learn from."""
-    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sample = sample_per_class(known.select("doc_id", "lang").distinct(), "doc_id", "lang", per_lang)
-    # at most MAX_LANGS * per_lang ids
-    texts = known.join(F.broadcast(sample), ["doc_id", "lang"]).select("text", "lang")
+    ids = docs.filter(F.col("lang").isNotNull()).select("doc_id", "lang").distinct()
+    sample = sample_per_class(ids, "doc_id", "lang", per_lang, class_sizes(ids, "lang", MAX_LANGS))
+    # about MAX_LANGS * per_lang ids at most
+    texts = docs.join(F.broadcast(sample), ["doc_id", "lang"]).filter(F.col("text").isNotNull()).select("text", "lang")
     grams = texts.mapInArrow(_count_langs, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     place = W.partitionBy("lang").orderBy(F.desc("n"), "gram")
     best = grams.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= top)
@@ -175,8 +175,9 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], id_col: str = "doc
     return slim.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+@bounded
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     profiles = fit_profiles(docs.filter(split_mod("doc_id", 4) != 2))
     out = identify(docs, profiles)
-    return out.select("doc_id", (split_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+    return out.select("doc_id", F.coalesce(split_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")

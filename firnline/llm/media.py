@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from firnline.llm.common import load
+from firnline.llm.common import bounded, load
 
 WIDTH = 192
 TILE = 16  # side of the NPY tile
@@ -181,6 +181,7 @@ def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return slim.mapInArrow(_mapper(with_media), DDL if with_media else DDL.replace("media binary, ", ""))
 
 
+@bounded
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = media_columns(load(spark, sf_dir, "documents"), with_media=False)
     return out.selectExpr(

@@ -39,8 +39,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from firnline.llm.common import load, materialize
-from firnline.llm.textkern import NOT_SPACE, Words, chunks, mix, shingles
+from firnline.llm.common import bounded, load, materialize
+from firnline.llm.textkern import NOT_SPACE, Words, chunks, lower_chunks, mix, shingles
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -146,7 +146,7 @@ def similarities(left: pa.Array, right: pa.Array) -> np.ndarray:
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, texts = batch.column("doc_id"), batch.column("text")
-        for a, b, data, offsets in chunks(pc.utf8_lower(texts)):
+        for a, b, data, offsets in lower_chunks(texts):
             n = b - a
             row, element, weight = weighted_sets(data, offsets)
             dart = signatures(row, element, weight, n).reshape(n, BANDS, ROWS)
@@ -225,7 +225,7 @@ def _untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
 
 def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for a, b, data, offsets in chunks(pc.utf8_lower(batch.column("text"))):
+        for a, b, data, offsets in lower_chunks(batch.column("text")):
             row, element, weight = weighted_sets(data, offsets)
             at = pa.array(np.searchsorted(row, np.arange(b - a + 1)).astype(np.int32))
             lists = [pa.ListArray.from_arrays(at, pa.array(x)) for x in (element.view(np.int64), weight)]
@@ -356,12 +356,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return signed.select("doc_id", "node"), classes, links
 
 
+@bounded
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id and class_id (the smallest id among its near copies) of every document."""
     rows, classes, _ = near_duplicates(load(spark, sf_dir, "documents"))
     return rows.join(classes.select("node", "class_id"), "node", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
 
 
+@bounded
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class stays, the one with the smallest id; documents without words stay all."""
     del spark, sf_dir

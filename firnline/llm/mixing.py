@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from firnline.llm.common import load, materialize
+from firnline.llm.common import bounded, load, materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 SOURCE_WEIGHTS = (1, 2, 3)
@@ -261,11 +261,13 @@ def mix_sources(
     )
 
 
+@bounded
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mix_sources(load(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@bounded
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix itself: a document appears as often as the mix takes it (wordless rows at least once).
     Rows that agree in id, text and source are one document whose copies add up."""

@@ -1,6 +1,6 @@
 """Quality classifier: histogram gradient-boosted trees over document statistics.
 
-The trees are fitted on at most SAMPLE_PER_CLASS labelled documents of each class, chosen by a hash of the id and
+The trees are fitted on about SAMPLE_PER_CLASS labelled documents of each class, chosen by a hash of the id and
 weighted back to the classes' true shares. Statistics use the text alone.
 
 Defined cases: null and empty texts have all-zero statistics and get the trees' score for them; texts of any length
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firnline.llm import boosting
-from firnline.llm.common import load, sample_per_class, split_mod
+from firnline.llm.common import bounded, class_sizes, load, sample_per_class, split_mod
 from firnline.llm.textkern import NOT_NEWLINE, NOT_SPACE, Words, chunks, shingles
 
 SAMPLE_PER_CLASS = 8000
@@ -96,11 +96,11 @@ def _statistics_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def labelled_sample(labels: DataFrame, column: str, per_class: int, train) -> tuple[DataFrame, dict[int, int]]:
-    """At most per_class ids of each class among the rows to learn from, and the classes' sizes."""
+    """About per_class ids of each class among the rows to learn from, and the classes' sizes."""
     known = labels.filter(train & F.col(column).isin(0, 1) & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.max(column).cast("int").alias("label"))
-    sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    return sample_per_class(known, "doc_id", "label", per_class), sizes
+    sizes = class_sizes(known, "label")
+    return sample_per_class(known, "doc_id", "label", per_class, sizes), sizes
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, train, per_class: int = SAMPLE_PER_CLASS) -> boosting.Trees:
@@ -127,6 +127,7 @@ def score_quality(docs: DataFrame, model: boosting.Trees) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
 
 
+@bounded
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
     model = fit_quality(docs, labels, split_mod("doc_id", 5) != 0)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firnline.llm.common import load
+from firnline.llm.common import bounded, load
 
 KINDS = ("assign", "access", "hex", "lexed")
 ASSIGN = re.compile(
@@ -169,10 +169,12 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_scan, _DDL)
 
 
+@bounded
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(load(spark, sf_dir, "documents"))
 
 
+@bounded
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays, its secrets replaced by a marker and n_chars (if present) brought up to date."""
     del spark, sf_dir

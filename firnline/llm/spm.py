@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firnline.llm.common import load
+from firnline.llm.common import bounded, load
 from firnline.llm.textkern import mix, powers
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -189,6 +189,7 @@ class Encoder:
         self.raw_at = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
 
     def _clear(self) -> None:
+        """Forget all words: at the bound, and at the end of a task, so that idle workers hold little memory."""
         self.known: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, np.int32)
         self.start = np.zeros(1 << 14, np.int64)
@@ -419,8 +420,7 @@ def encode_documents(docs: DataFrame, path: str = MODEL_PATH, id_col: str = "doc
     text back)."""
     sent = _Sent(docs.sparkSession, Vocabulary.read(path))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(sent)
+    def encode(encoder: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc_id = batch.column("doc_id")
             for at, part in _text_chunks(batch.column("text").to_pylist()):
@@ -441,14 +441,23 @@ def encode_documents(docs: DataFrame, path: str = MODEL_PATH, id_col: str = "doc
                     ["doc_id", "n_tokens", "tokens", "n_bytes", "round_trip"],
                 )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(sent)
+        try:
+            yield from encode(encoder, batches)
+        finally:
+            encoder._clear()
+
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return slim.mapInArrow(run, "doc_id long, n_tokens long, tokens array<int>, n_bytes long, round_trip boolean")
 
 
+@bounded
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(load(spark, sf_dir, "documents"))
 
 
+@bounded
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as token ids."""
     del spark, sf_dir

@@ -12,8 +12,9 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 CHUNK_ROWS = 4096
 _BASE = 0x9E3779B97F4A7C15
 _U64 = np.uint64
@@ -74,6 +75,13 @@ def chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         a = b
 
 
+def lower_chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """chunks() of the lower-cased texts; only one chunk is lower-cased at a time."""
+    for a, b, _, _ in chunks(column):
+        for c, d, data, offsets in chunks(pc.utf8_lower(column.slice(a, b - a))):
+            yield a + c, a + d, data, offsets
+
+
 class Words:
     """start, end: byte positions; first: index of each row's first word (n_rows + 1)."""
 

@@ -1,6 +1,6 @@
 """Toxicity by maximum-scoring segment search over token log-odds.
 
-Fit: on at most SAMPLE_PER_CLASS labelled documents of each class (chosen by a hash of the id, equal texts once).
+Fit: on about SAMPLE_PER_CLASS labelled documents of each class (chosen by a hash of the id, equal texts once).
 A token's units are the word, its first six and its first four letters. For each unit the log-odds of the
 toxic against the clean part of the sample's lexicon documents are shrunk by a Dirichlet prior with the pooled
 counts as its mean (PRIOR of their mass); units count once a document. Units whose z-score passes Z_MIN keep
@@ -9,11 +9,11 @@ their log-odds, at most LEXICON of them; a word scores as its longest kept unit,
 Search: a linear-time scan finds all maximal scoring segments (Ruzzo and Tompa) of every text. Under the clean
 background a segment's score S has an extreme-value law with the rate lambda that solves E[exp(lambda s)] = 1; the
 evidence of a document is the largest -log p over the sums of its r best normalised segments (Karlin and
-Altschul). A logistic curve, fitted on the sample's other documents, turns evidence into a score.
+Altschul). The score is a logistic curve of the evidence around the cut that separates the sample's other documents best.
 
 Defined cases: null and empty texts and texts without letters have no segments and no evidence; texts of any
-length are scanned whole; without labels of both classes there is no lexicon and every score is the prior
-curve's at zero; unlabelled documents are scored like all others; several labels of one id count as the highest;
+length are scanned whole; without labels of both classes there is no lexicon and every score is that of
+no evidence; unlabelled documents are scored like all others; several labels of one id count as the highest;
 an empty table gives no rows; repeated rows give equal rows; other columns are ignored.
 """
 
@@ -25,13 +25,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firnline.llm.common import load, split_mod
+from firnline.llm.common import bounded, load, materialize, split_mod
 from firnline.llm.quality import labelled_sample
-from firnline.llm.textkern import LETTERS, Words, chunks, mix
+from firnline.llm.textkern import LETTERS, Words, lower_chunks, mix
 
 SAMPLE_PER_CLASS = 8000
 PREFIXES = (4, 6)
@@ -64,8 +63,7 @@ class Model:
     keys: np.ndarray
     odds: np.ndarray
     rate: float = 1.0
-    slope: float = 1.0
-    shift: float = 0.0
+    cut: float = 3.0  # -log p of 0.05
 
     def word_scores(self, data: np.ndarray, words: Words) -> np.ndarray:
         out = np.zeros(len(words.start))
@@ -86,7 +84,7 @@ class Model:
         return best
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * evidence + self.shift, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(evidence - self.cut, -30, 30)))
 
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -108,13 +106,9 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(a, b, right - left) for a, b, left, right, _ in stack]
 
 
-def _lower(column: pa.Array) -> pa.Array:
-    return pc.utf8_lower(column)
-
-
 def scan(column: pa.Array, model: Model) -> Iterator[tuple]:
     """(first row, end row, segments of each row, evidence of each row, bytes, offsets, words, word scores) by chunk."""
-    for a, b, data, offsets in chunks(_lower(column)):
+    for a, b, data, offsets in lower_chunks(column):
         words = Words(data, offsets, LETTERS)
         scores = model.word_scores(data, words)
         hot = np.unique(words.row[scores > 0])
@@ -130,7 +124,7 @@ def _unit_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(unit, documents by label) of each batch."""
     for batch in batches:
         labels = batch.column("label").to_numpy(zero_copy_only=False)
-        for a, b, data, offsets in chunks(_lower(batch.column("text"))):
+        for a, b, data, offsets in lower_chunks(batch.column("text")):
             words = Words(data, offsets, LETTERS)
             units = np.concatenate(unit_hashes(data, words))
             row = np.tile(words.row, len(PREFIXES) + 1)
@@ -186,26 +180,31 @@ def _rate(kinds: np.ndarray, n: np.ndarray) -> float:
     return low
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Newton steps with a small ridge, so that separable samples stay finite."""
-    a = np.column_stack([np.minimum(x, 30.0), np.ones(len(x))])
-    w = np.zeros(2)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        g = a.T @ (weight * (p - y)) + 1e-3 * w
-        h = (a * (weight * p * (1 - p))[:, None]).T @ a + 1e-3 * np.eye(2)
-        w -= np.clip(np.linalg.solve(h, g), -2, 2)
-    return float(max(w[0], 1e-3)), float(w[1])
+def _cut(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
+    """The evidence that separates the classes with the least weight on the wrong side: halfway between two neighbouring
+    values, in the widest gap of those that are equally good."""
+    values = np.unique(x)
+    if len(values) < 2:
+        return Model.cut
+    at = np.searchsorted(values, x)
+    missed = np.cumsum(np.bincount(at, weight * (y == 1), len(values)))[:-1]  # toxic at or below the lower value
+    alarms = np.bincount(at, weight * (y == 0), len(values))[::-1].cumsum()[::-1][1:]  # clean from the upper value on
+    wrong = missed + alarms
+    best = np.flatnonzero(wrong <= wrong.min() + 1e-9 * weight.sum())
+    gap = best[np.argmax((values[1:] - values[:-1])[best])]
+    return float((values[gap] + values[gap + 1]) / 2)
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, train, per_class: int = SAMPLE_PER_CLASS) -> Model:
     """docs: doc_id, text. labels: doc_id, toxic. train: the rows of labels to learn from (a Column)."""
     sample, sizes = labelled_sample(labels, "toxic", per_class, train)
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").filter(F.col("text").isNotNull())
-    texts = texts.dropDuplicates(["label", "text"])
+    # equal texts once, under their smallest id, so that the fit does not depend on the order of arrival; one pass
+    texts = texts.groupBy("label", "text").agg(F.min("doc_id").alias("doc_id"))
+    texts = materialize(texts, "toxicity-sample")
     calibrates = F.pmod(F.xxhash64(F.lit("calibrate"), "doc_id"), F.lit(_CALIBRATION)) == 0
     counts = texts.filter(~calibrates).select("label", "text").mapInArrow(_unit_counts, "unit long, t long, c long")
-    odds = log_odds(counts.groupBy("unit").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).persist())
+    odds = log_odds(materialize(counts.groupBy("unit").agg(F.sum("t").alias("t"), F.sum("c").alias("c")), "toxicity-units"))
     kept = odds.filter(F.abs("z") >= Z_MIN).orderBy(F.desc(F.abs("z")), "unit").limit(LEXICON).toPandas().sort_values("unit")
     model = Model(kept["unit"].to_numpy(np.int64), kept["delta"].to_numpy(float))
     held = texts.filter(calibrates).select("label", "text")
@@ -219,9 +218,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train, per_class: int = SAM
     if len(y) and 0 < y.mean() < 1:
         got = {c: (y == c).sum() for c in (0, 1)}
         weight = np.array([sizes.get(int(c), 0) / got[int(c)] for c in y])
-        model.slope, model.shift = _logistic(rows["evidence"].to_numpy(float), y, weight * len(y) / weight.sum())
-    else:
-        model.shift = -1.0
+        model.cut = _cut(rows["evidence"].to_numpy(float), y, weight)
     return model
 
 
@@ -254,6 +251,7 @@ def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
     return slim.mapInArrow(run, "doc_id long, score double, n_passages long, passages string")
 
 
+@bounded
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
     model = fit_toxicity(docs, labels, split_mod("doc_id", 5) != 0)
@@ -264,6 +262,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@bounded
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score stays under THRESHOLD."""
     source, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
