@@ -141,21 +141,36 @@ def risk_index(codes: Column, concentrations: Column, table: dict[int, float], o
 
 
 def edge_proximity(cells: DataFrame, sic: str, ice: float, dx: float, reach: int, key: Sequence[str] = ()) -> DataFrame:
-    """Distance of each ice cell to the nearest open cell that touches ice, for distances up to `reach` cells. Edge
-    cells are sent to tiles of `reach` cells and their neighbours, so each ice cell meets nearby edges only."""
+    """Distance of each ice cell to the nearest open cell that touches ice, however far; 0 for all other cells, NULL for
+    ice where no open cell of the key touches any. Edge cells are sent to tiles of `reach` cells and their
+    neighbours, so each ice cell meets nearby edges only; a distance up to `reach` is exact, and cells without one are
+    searched again with twice the reach until it spans the grid. The grid's extent is read when the plan is made."""
     base = cells.select(*key, "yj", "xi", (F.col(sic) >= ice).alias("ice")).filter("ice is not null")
     step = F.explode(F.sequence(F.lit(-1), F.lit(1)))
     ring = base.filter("ice").select(*key, step.alias("dy"), "yj", "xi").select(*key, step.alias("dx"), "dy", "yj", "xi")
     ring = ring.select(*key, (F.col("yj") + F.col("dy")).alias("yj"), (F.col("xi") + F.col("dx")).alias("xi")).distinct()
     edges = base.filter("not ice").join(ring, [*key, "yj", "xi"], "left_semi")
-    tile = lambda c: F.floor(F.col(c) / reach).cast("int")
-    around = edges.select(*key, F.col("yj").alias("ey"), F.col("xi").alias("ex"), step.alias("ty"))
-    around = around.select(*key, "ey", "ex", (tile("ey") + F.col("ty")).alias("ty"), step.alias("tx"))
-    around = around.withColumn("tx", tile("ex") + F.col("tx"))
-    mine = base.filter("ice").withColumns({"ty": tile("yj"), "tx": tile("xi")})
+    low_high = [f(c) for c in ("yj", "xi") for f in (F.min, F.max)]
+    y0, y1, x0, x1 = (v or 0 for v in base.agg(*low_high).first())
     d2 = F.pow(F.col("yj") - F.col("ey"), 2) + F.pow(F.col("xi") - F.col("ex"), 2)
-    near = mine.join(around, [*key, "ty", "tx"]).filter(d2 <= reach * reach).groupBy(*key, "yj", "xi").agg((F.sqrt(F.min(d2)) * dx).alias("distance"))
-    return cells.join(near, [*key, "yj", "xi"], "left")
+    near = base.filter("ice").select(*key, "yj", "xi", F.lit(None).cast("double").alias("d2"))
+    while True:
+        tile = lambda c, reach=reach: F.floor(F.col(c) / reach).cast("int")
+        around = edges.select(*[F.col(k).alias(f"__{k}") for k in key], F.col("yj").alias("ey"), F.col("xi").alias("ex"))
+        around = around.select("*", step.alias("ty")).withColumn("ty", tile("ey") + F.col("ty"))
+        around = around.select("*", step.alias("tx")).withColumn("tx", tile("ex") + F.col("tx"))
+        mine = near.withColumns({"my": tile("yj"), "mx": tile("xi")})
+        meets = F.col("d2").isNull() & (F.col("my") == F.col("ty")) & (F.col("mx") == F.col("tx"))
+        for k in key:
+            meets &= F.col(k) == F.col(f"__{k}")
+        found = F.min(F.when(d2 <= float(reach) ** 2, d2))
+        near = mine.join(around, meets, "left").groupBy(*key, "yj", "xi").agg(F.coalesce(F.max("d2"), found).alias("d2"))
+        if reach**2 >= (y1 - y0) ** 2 + (x1 - x0) ** 2:
+            break
+        reach *= 2
+    near = near.select(*key, "yj", "xi", (F.sqrt("d2") * dx).alias("distance"))
+    away = F.when(F.col(sic) >= ice, F.col("distance")).otherwise(0.0)
+    return cells.join(near, [*key, "yj", "xi"], "left").withColumn("distance", away)
 
 
 def inside_ring(x: np.ndarray, y: np.ndarray, ring: np.ndarray) -> np.ndarray:

@@ -87,8 +87,10 @@ def polygon_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edge_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances of all ice cells; cells without ice are NULL, as in the SQL."""
     cells = _raster(spark, sf_dir).select(F.col("iy").alias("yj"), F.col("ix").alias("xi"), F.col("v").alias("sic"))
-    return rounded(L.edge_proximity(cells, "sic", 60.0, 12.5, 4).select("yj", "xi", "distance"))
+    out = L.edge_proximity(cells, "sic", 60.0, 12.5, 4)
+    return rounded(out.select("yj", "xi", F.when(F.col("sic") >= 60, F.col("distance")).alias("distance")))
 
 
 def risk_index(spark: SparkSession, sf_dir: str) -> DataFrame:
