@@ -4,7 +4,8 @@ The lexer reads source code and configuration syntax (NAME = value, name: value,
 -Dname=value, ...) into name-literal pairs, joins adjacent and "+"-concatenated string literals, propagates
 constants from earlier assignments of the same text (password = DEFAULT_PW), and scores each literal by its target
 name's sensitive parts and by its own form. Spans that reach the threshold are added as kind "lexed"; base spans
-are never dropped.
+are never dropped. Where a sensitive name gets its value through constants, the literals they were bound to are
+lexed spans too, quotes included, beside the reference.
 
 All offsets are code points, end exclusive. A base span is the whole match of its pattern.
 
@@ -81,6 +82,11 @@ def literal_score(value: str) -> float:
 def lex(text: str) -> list[tuple[str, int, int, str]]:
     """(target name, start, end, resolved value) of every assignment whose value is a literal, a concatenation of
     literals, or a name bound to one before. The span covers the literal (or the reference) itself."""
+    return [found[:4] for found in _assignments(text)]
+
+
+def _assignments(text: str) -> list[tuple[str, int, int, str, tuple]]:
+    """What lex gives, and the spans (quotes included) of all literals that the value is made of."""
     found, bound = [], {}
     for op in _OPERATOR.finditer(text):
         target = _TARGET.search(text[max(0, op.start() - _REACH) : op.start()])
@@ -89,17 +95,18 @@ def lex(text: str) -> list[tuple[str, int, int, str]]:
         name, at = target["name"], op.end()
         stop = text.find("\n", at)
         stop = len(text) if stop < 0 else stop
-        parts, first, last = [], -1, -1
+        parts, sources, first, last = [], [], -1, -1
         while at < stop:
             m = _STRING.match(text, at, stop)
             if m:
-                piece, a, b = m[1][1:-1], m.start(1) + 1, m.end(1) - 1
+                (piece, origin), a, b = (m[1][1:-1], [m.span(1)]), m.start(1) + 1, m.end(1) - 1
             else:
                 m = _BARE.match(text, at, stop)
                 if not m:
                     break
-                piece, a, b = bound.get(m[0], m[0]), m.start(), m.end()
+                (piece, origin), a, b = bound.get(m[0], (m[0], [m.span()])), m.start(), m.end()
             parts.append(piece)
+            sources += origin
             first, last = (a if first < 0 else first), b
             at = m.end()
             glue = _GLUE.match(text, at, stop)
@@ -108,19 +115,23 @@ def lex(text: str) -> list[tuple[str, int, int, str]]:
             at = glue.end()
         if parts:
             value = "".join(parts)
-            bound[name] = value
-            found.append((name, first, last, value))
+            sources = tuple(dict.fromkeys(sources))
+            bound[name] = value, sources
+            found.append((name, first, last, value, sources))
     return found
 
 
 def lexed_spans(text: str) -> list[tuple[str, int, int]]:
     if "=" not in text and ":" not in text:
         return []
-    out = []
-    for name, a, b, value in lex(text):
+    out, covered = [], set()
+    for name, a, b, value, sources in _assignments(text):
         score = name_score(name)
         if score >= 2 and score + literal_score(value) >= THRESHOLD:
             out.append(("lexed", a, b))
+            own = {s for s in sources if a - 1 <= s[0] and s[1] <= b + 1}
+            out += [("lexed", *s) for s in sources if s not in own and s not in covered]
+            covered.update(sources)
     return out
 
 
