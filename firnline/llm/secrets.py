@@ -46,8 +46,15 @@ THRESHOLD = 5.0
 MIN_LITERAL = 6
 _NAME = r"[A-Za-z_$][A-Za-z0-9_$]*(?:[.\-][A-Za-z0-9_$]+)*"
 _OPERATOR = re.compile(r"[ \t]*(?::=|=>|(?<![=!<>])=(?!=)|:(?!:|//))[ \t]*")
-_TARGET = re.compile(rf"""(?P<q>["']?)(?P<name>{_NAME})(?P=q)(?:[ \t]*\[[^\]\n]{{0,40}}\])?$""", re.ASCII)
-_REACH = 160  # a target name, with quotes and subscript, is looked for so far before its operator
+_TARGET = re.compile(rf"""(?P<q>["']?)(?P<name>{_NAME})(?P=q)$""", re.ASCII)
+_REACH = 160  # a target name, with quotes, is looked for so far before its subscripts and operator
+#: A subscript in the reversed text, so that those before an operator are read from it, however long: a string, or
+#: anything with balanced brackets.
+_SUBSCRIPT = re.compile(
+    r"""[ \t]*+\](?:[ \t]*+(?P<string>"[^"\n]*+"|'[^'\n]*+'|`[^`\n]*+`)[A-Za-z]{0,2}[ \t]*+\[|(?P<other>(?:[^\[\]\n]++|\][^\[\]\n]*+\[)*+)\[)[ \t]*+"""
+)
+_KEYED = re.compile(r"""(?:[ \t]*\[[ \t]*(?:[A-Za-z]{0,2}(?:"[^"\n]*"|'[^'\n]*'|`[^`\n]*`)|:\w+)[ \t]*\])++""")
+_KEY = re.compile(r""""[^"\n]*"|'[^'\n]*'|`[^`\n]*`|:\w+""")
 _GLUE = re.compile(r"[ \t]*(?:\+|\.\.)[ \t]*|[ \t]+(?=[\"'])")
 _STRING = re.compile(r"""[A-Za-z]{0,2}("(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)""")
 _BARE = re.compile(r"[^\s\"'`,;{}()\[\]<>]+")
@@ -65,8 +72,10 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def name_score(name: str) -> float:
-    parts = [p.lower() for p in _PARTS.findall(name)]
-    return float(sum(NAME_PARTS.get(p, 0) for p in dict.fromkeys(parts)) + NAME_PARTS.get("".join(parts), 0) * (len(parts) > 1))
+    """Of a name with keys: its parts, and the best of name and keys as a compound."""
+    split = [[p.lower() for p in _PARTS.findall(n)] for n in name.split("\n")]
+    compound = max(NAME_PARTS.get("".join(parts), 0) * (len(parts) > 1) for parts in split)
+    return float(sum(NAME_PARTS.get(p, 0) for p in dict.fromkeys(p for parts in split for p in parts)) + compound)
 
 
 def literal_score(value: str) -> float:
@@ -79,20 +88,40 @@ def literal_score(value: str) -> float:
     return min(entropy, 4.0) / 2 + 0.5 * classes + (1.0 if len(value) >= 16 else 0.0)
 
 
+def _keys(subscript: str) -> list[str]:
+    """The string keys (and symbols) of a subscript's inside; an index or a variable is none."""
+    subscript = subscript.strip()
+    if subscript.startswith(":"):
+        return [subscript[1:]] if subscript[1:].isidentifier() else []
+    return [k[1:-1] for k in _KEY.findall(subscript) if k[0] != ":"]
+
+
+def _target(text: str, back: str, stop: int) -> str | None:
+    """The name assigned to by the operator at stop; string keys of subscripts stand before it, last key first, each
+    on a line, and alone if what they belong to is no plain name. back: the text reversed."""
+    at, keys = len(text) - stop, []
+    while m := _SUBSCRIPT.match(back, at):
+        keys += _keys((m["string"] or m["other"] or "")[::-1])[::-1]
+        at = m.end()
+    stop = len(text) - at
+    name = _TARGET.search(text[max(0, stop - _REACH) : stop])
+    return "\n".join([*keys, *([name["name"]] if name else [])]) or None
+
+
 def lex(text: str) -> list[tuple[str, int, int, str]]:
     """(target name, start, end, resolved value) of every assignment whose value is a literal, a concatenation of
-    literals, or a name bound to one before. The span covers the literal (or the reference) itself."""
+    literals, or a name bound to one before. The span covers the literal (or the reference) itself. The name of a
+    subscripted target is its string keys, last key first, and the base name, each on a line."""
     return [found[:4] for found in _assignments(text)]
 
 
 def _assignments(text: str) -> list[tuple[str, int, int, str, tuple]]:
     """What lex gives, and the spans (quotes included) of all literals that the value is made of."""
-    found, bound = [], {}
+    found, bound, back = [], {}, text[::-1]
     for op in _OPERATOR.finditer(text):
-        target = _TARGET.search(text[max(0, op.start() - _REACH) : op.start()])
-        if not target:
+        name, at = _target(text, back, op.start()), op.end()
+        if not name:
             continue
-        name, at = target["name"], op.end()
         stop = text.find("\n", at)
         stop = len(text) if stop < 0 else stop
         parts, sources, first, last = [], [], -1, -1
@@ -104,7 +133,12 @@ def _assignments(text: str) -> list[tuple[str, int, int, str, tuple]]:
                 m = _BARE.match(text, at, stop)
                 if not m:
                     break
-                (piece, origin), a, b = bound.get(m[0], (m[0], [m.span()])), m.start(), m.end()
+                a, b, keyed = m.start(), m.end(), _KEYED.match(text, m.end(), stop)
+                keys = [k[1:] if k[0] == ":" else k[1:-1] for k in _KEY.findall(keyed[0])] if keyed else []
+                path = "\n".join([*keys[::-1], m[0]])
+                if keyed and path in bound:
+                    b, m = keyed.end(), keyed
+                piece, origin = bound.get(path) or bound.get(m[0], (m[0], [(a, b)]))
             parts.append(piece)
             sources += origin
             first, last = (a if first < 0 else first), b

@@ -26,3 +26,26 @@ def test_chains_and_concatenations_keep_all_literals():
 
 def test_a_literal_is_reported_once():
     assert lexed('my_pwd = "hunter2xyz9"\ndb_pwd = my_pwd\n') == ["hunter2xyz9", "my_pwd"]
+
+
+def test_subscript_keys_name_the_target():
+    for target in (
+        'config["password"]', "os.environ['DB_PASSWORD']", 'cfg["db"]["password"]', "cfg['password'][0]", "$cfg['a']['db_password']['x']", "settings[:password]",
+        'form["user[password]"]', 'users[ids[0]]["password"]', 'c [ "password" ]', f'c["{"long_" * 60}password"]', f'c["password"]["{"k" * 300}"]', 'conf["api_key"]', 'load()["password"]', 'a[b[c[0]]]["password"]',
+    ):
+        text = f'{target} = "hunter2xyz9"\n'
+        assert lexed(text) == ["hunter2xyz9"] and "hunter2" not in clean(text), target
+    for harmless in ('config["color"]', "cfg[password]", 'cfg["db"]["host"]', "x[0]"):
+        assert lexed(f'{harmless} = "hunter2xyz9"\n') == [], harmless
+    assert [n for n, *_ in secrets.lex('cfg["db"]["password"] = "x"')] == ["password\ndb\ncfg"]
+    assert lexed('password["hint"] = "hunter2xyz9"\n') == ["hunter2xyz9"]
+
+
+def test_constants_by_subscript():
+    text = 'd["x"] = "hunter2xyz9"\nd["y"] = "blue"\ndb_pwd = d["x"]\n'
+    assert lexed(text) == ['"hunter2xyz9"', 'd["x"]'] and "hunter2" not in clean(text) and "blue" in clean(text)
+
+
+def test_long_lines_of_brackets_end():
+    for unit in ("]=", '"]=', '["k"]', "[a]=", '\\"]=', "[[", "]] "):
+        secrets.find_spans(unit * 20000 + " = x")
