@@ -16,8 +16,8 @@ Messages understood:
 Defined cases: a null text is an empty one, a null role is context, a null turn counts as -1, null conversation ids
 are one conversation; later calls or results with an identifier that is taken are `duplicate` and link to nothing;
 results without a call are `orphan`, calls without a result `unanswered`, a result before its call `early`;
-arguments that are not JSON are an error; references that cannot be ordered in MAX_ROUNDS rounds are `cyclic`;
-repeated rows are duplicates of each other by place (equal places share one status); an empty table gives no rows;
+arguments that are not JSON are an error; calls that are on a cycle of references or refer to one, over however many
+calls, are `cyclic` and keep their place; repeated rows are duplicates of each other by place (equal places share one status); an empty table gives no rows;
 other columns are ignored.
 """
 
@@ -31,7 +31,7 @@ from firnline.llm.common import load, materialize
 
 #: tool -> field -> (variant type, required, whether a blank string is an error)
 SCHEMAS = {"reply": {"prompt": ("STRING", True, True), "after": ("OBJECT", False, False)}}
-MAX_ROUNDS = 24
+MAX_ROUNDS = 24  # a name that tests set; rounds go on until none settles a call
 BLOCK_TURNS = 1024  # positions are counted in blocks of so many turns, so that no task holds a conversation
 _STEP = 1 << 20  # places between two turns
 
@@ -109,18 +109,40 @@ def _settle(edges: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
     if late.isEmpty():
         return None, None
     touched = late.select("conv_id").distinct()
-    mine = materialize(edges.join(touched, "conv_id", "left_semi"), "chat-edges")
-    for _ in range(MAX_ROUNDS):
-        needed = mine.groupBy("conv_id", "call_id").agg(F.max(F.greatest(F.col("place"), F.col("dep_place") + 1)).alias("to"))
-        moved = mine.join(needed, ["conv_id", "call_id"]).withColumn("place", F.col("to")).drop("to")
-        deps = needed.select("conv_id", F.col("call_id").alias("dep_id"), F.col("to").alias("dep_to"))
-        moved = moved.join(deps, ["conv_id", "dep_id"], "left")
-        moved = moved.withColumn("dep_place", F.coalesce("dep_to", "dep_place")).drop("dep_to")
-        mine = materialize(moved.select(*edges.columns), "chat-edges")
-        if mine.filter(F.col("place") <= F.col("dep_place")).isEmpty():
+    mine = edges.join(touched, "conv_id", "left_semi")
+    key = ["conv_id", "call_id"]
+    # a row per call and open dependency (null: none): the call stands at `at` or behind, and `hop` behind dep_id
+    start = mine.groupBy(*key).agg(F.max("place").alias("own"))
+    callers = start.select("conv_id", F.col("call_id").alias("dep_id"), F.lit(True).alias("moves"))
+    open_dep = F.when(F.col("moves"), F.col("dep_id"))
+    at = F.greatest("own", F.when(F.col("moves").isNull(), F.col("dep_place") + 1))
+    rows = mine.join(start, key).join(callers, ["conv_id", "dep_id"], "left")
+    rows = rows.select(*key, at.alias("at"), open_dep.alias("dep_id"), F.lit(1).cast("long").alias("hop")).distinct()
+    rows = materialize(rows, "chat-edges")
+    waiting = F.col("dep_id").isNotNull()
+    longest = before = rows.filter(waiting).select(*key).distinct().count()
+    while before:
+        # a settled dependency is folded into `at`; one that waits for a single call is replaced by that call, so chains
+        # halve each round; a hop longer than all calls together goes around a cycle and is left as it is
+        state = rows.groupBy(*key).agg(F.max("at").alias("d_at"), F.count_distinct("dep_id").alias("n"), F.max("dep_id").alias("next"), F.max("hop").alias("d_hop"))
+        state = state.withColumnRenamed("call_id", "dep_id")
+        jump = (F.col("n") == 1) & (F.col("hop") + F.col("d_hop") <= longest)
+        known = (F.col("n") == 0) | jump
+        rows = rows.join(state, ["conv_id", "dep_id"], "left").select(
+            *key,
+            F.when(known, F.greatest("at", F.col("d_at") + F.col("hop"))).otherwise(F.col("at")).alias("at"),
+            F.when(F.col("n") == 0, None).when(jump, F.col("next")).otherwise(F.col("dep_id")).alias("dep_id"),
+            F.when(F.col("n") == 0, 0).when(jump, F.col("hop") + F.col("d_hop")).otherwise(F.col("hop")).cast("long").alias("hop"),
+        )
+        rows = rows.groupBy(*key, "dep_id").agg(F.max("at").alias("at"), F.max("hop").alias("hop")).select(*key, "at", "dep_id", "hop")
+        rows = materialize(rows, "chat-edges")
+        left = rows.filter(waiting).select(*key).distinct().count()
+        if left == before:
             break
-    places = mine.groupBy("conv_id", "call_id").agg(F.max("place").alias("moved_to"))
-    cyclic = mine.filter(F.col("place") <= F.col("dep_place")).select("conv_id", "call_id").distinct().withColumn("is_cyclic", F.lit(True))
+        before = left
+    ends = rows.groupBy(*key).agg(F.max("at").alias("moved_to"), F.count("dep_id").alias("n"))
+    places = ends.filter("n = 0").select(*key, "moved_to")
+    cyclic = ends.filter("n > 0").select(*key, F.lit(True).alias("is_cyclic"))
     return places, cyclic
 
 
