@@ -50,6 +50,22 @@ def valid_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("o_orderkey", "chart_id")
 
 
+def closest_date_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order's nearest month chart; the catalogue is that of the months of all orders."""
+    o = load(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+    charts = o.select(F.trunc("day", "month").alias("chart_day")).distinct()
+    out = L.closest_date(o, "day", charts, "chart_day", 16)
+    return out.select("o_orderkey", F.date_format("chart_day", "yyyy-MM-dd").alias("chart_day"))
+
+
+def valid_interval_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders are charts, so intervals overlap and many start on one day."""
+    o = load(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+    charts = o.select("day", F.date_add("day", 7).alias("until"), F.col("o_orderkey").alias("chart_id"))
+    out = L.valid_interval(o, "day", charts, "day", "until", ["chart_id"], 8)
+    return out.select("o_orderkey", "chart_id")
+
+
 def latest_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return L.latest_per_key(o, ["o_custkey"], [F.desc("o_orderdate"), F.asc("o_orderkey")])
@@ -105,6 +121,13 @@ def patched_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(add_regional(patch(o, sibling, ["o_orderkey"], ["tide"]), sibling, ["o_orderkey"], "tide"))
 
 
+def patched_product_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sibling product is that of the order lines, for every order that has one."""
+    o = load(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").alias("tide"), F.col("o_custkey").alias("other"))
+    sibling = load(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_extendedprice").alias("tide"))
+    return rounded(add_regional(patch(o, sibling, ["o_orderkey"], ["tide"]), sibling, ["o_orderkey"], "tide"))
+
+
 def flattened_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = load(spark, sf_dir, "embeddings").select("vec_id", F.slice("embedding", 1, 20).alias("a"), F.slice("embedding", 21, 20).alias("b"))
     out = flatten_blocks(e, ["a", "b"], ["vec_id"])
@@ -116,6 +139,7 @@ QUERIES = {
     for f in (
         raster_nearest, raster_bilinear, raster_cubic, closest_date, valid_interval, latest_per_customer, interpolate_series, monthly_table, month_weights,
         polygon_regions, edge_proximity, risk_index, patched_product, flattened_blocks,
+        closest_date_all, valid_interval_all, patched_product_all,
     )
 }
 
@@ -198,4 +222,23 @@ SQL = {
     "flattened_blocks": """
         select vec_id, cast(i as integer) as record_idx, round(cast(embedding[i + 1] as double), 6) as a, round(cast(embedding[i + 21] as double), 6) as b from embeddings, range(20) r(i)
     """,
+    "closest_date_all": """
+        with o as (select o_orderkey, cast(o_orderdate as date) as day from orders), c as (select distinct cast(date_trunc('month', day) as date) as chart from o),
+        d as (select distinct day from o), m as (
+            select day, min_by(chart, abs(date_diff('day', day, chart)) * 10 + case when chart > day then 1 else 0 end) as chart
+            from d join c on abs(date_diff('day', day, chart)) <= 16 group by 1
+        )
+        select o_orderkey, strftime(chart, '%Y-%m-%d') as chart_day from o left join m using (day)
+    """,
+    "valid_interval_all": """
+        with o as (select o_orderkey, cast(o_orderdate as date) as day from orders),
+        c as (select day as start, min(o_orderkey) as chart_id from o group by 1),
+        h as (select d.day, c.chart_id, c.start from (select distinct day from o) d join c on d.day between c.start and c.start + 7),
+        m as (select day, chart_id from h qualify row_number() over (partition by day order by start, chart_id) = 1)
+        select o_orderkey, chart_id from o left join m using (day)
+    """,
+    "patched_product_all": """
+        with s as (select l_orderkey as o_orderkey, max(l_extendedprice) as price from lineitem group by 1)
+        select o_orderkey, round(coalesce(price * 2, o_totalprice), 6) + 0.0 as tide, o_custkey as other from orders left join s using (o_orderkey)
+    """,
 }

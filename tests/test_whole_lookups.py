@@ -1,9 +1,14 @@
 """Lookups do the whole job: no reach, no subset."""
 
+import os
+
 import numpy as np
 import pytest
 
 from firnline.operators import lookups
+from firnline.plans import catalogue
+
+DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 def test_edge_proximity_has_no_reach(spark):
@@ -21,3 +26,11 @@ def test_edge_proximity_has_no_reach(spark):
     assert all(got[(1, y, x)] == pytest.approx(d) for (y, x), d in zip(ice.tolist(), far))
     assert all(got[(1, y, x)] == 0.0 for y, x in sea.tolist()) and got[(1, 41, 0)] == 0.0
     assert {got[(2, y, x)] for y in range(6) for x in range(6)} == {None}
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="test tables are not here")
+def test_catalogues_are_whole(spark):
+    """Every order has a chart; sibling records come for all orders with lines."""
+    for name, column in (("closest_date_all", "chart_day"), ("valid_interval_all", "chart_id")):
+        out = catalogue.QUERIES[name](spark, DATA)
+        assert out.count() == spark.read.parquet(f"{DATA}/orders.parquet").count() and out.filter(f"{column} is null").isEmpty()
