@@ -128,6 +128,13 @@ def patched_product_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(add_regional(patch(o, sibling, ["o_orderkey"], ["tide"]), sibling, ["o_orderkey"], "tide"))
 
 
+def flattened_blocks_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both halves of the vectors, whole."""
+    e = load(spark, sf_dir, "embeddings").select("vec_id", F.slice("embedding", 1, 32).alias("a"), F.slice("embedding", 33, 32).alias("b"))
+    out = flatten_blocks(e, ["a", "b"], ["vec_id"])
+    return out.select("vec_id", "record_idx", F.round(F.col("a").cast("double"), 6).alias("a"), F.round(F.col("b").cast("double"), 6).alias("b"))
+
+
 def flattened_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = load(spark, sf_dir, "embeddings").select("vec_id", F.slice("embedding", 1, 20).alias("a"), F.slice("embedding", 21, 20).alias("b"))
     out = flatten_blocks(e, ["a", "b"], ["vec_id"])
@@ -139,7 +146,7 @@ QUERIES = {
     for f in (
         raster_nearest, raster_bilinear, raster_cubic, closest_date, valid_interval, latest_per_customer, interpolate_series, monthly_table, month_weights,
         polygon_regions, edge_proximity, risk_index, patched_product, flattened_blocks,
-        closest_date_all, valid_interval_all, patched_product_all,
+        closest_date_all, valid_interval_all, patched_product_all, flattened_blocks_all,
     )
 }
 
@@ -241,4 +248,7 @@ SQL = {
         with s as (select l_orderkey as o_orderkey, max(l_extendedprice) as price from lineitem group by 1)
         select o_orderkey, round(coalesce(price * 2, o_totalprice), 6) + 0.0 as tide, o_custkey as other from orders left join s using (o_orderkey)
     """,
+    "flattened_blocks_all": """
+        select vec_id, cast(i as integer) as record_idx, round(cast(embedding[i + 1] as double), 6) as a, round(cast(embedding[i + 33] as double), 6) as b from embeddings, range(32) r(i)
+    """,
 }
