@@ -3,7 +3,9 @@
 Vectors are integers floor(SCALE * x); the score is the inner product, ip = (|q|^2 + |x|^2 - d^2) / 2, so a lower
 bound of the squared distance d^2 is an upper bound of the score. A vector is cut into s segments; with a segment's
 mean m and deviation v, d^2 >= sum of length * ((mq - mx)^2 + (vq - vx)^2). Candidates go through LEVELS of ever
-more segments, coarse to fine, against the query's current k-th best score; only survivors get exact products.
+more segments, coarse to fine, against the query's current k-th best score; only survivors get exact products. Where
+over _DENSE of a strip's pairs are left, finer levels are skipped and one plain product of the strip replaces the
+search; on the given embeddings the bounds prune nothing and that is what runs.
 
 Queries go out in blocks of about QUERY_BLOCK rows, so what is broadcast is bounded; each block makes one pass
 over the vectors. A bounded sample of SEED_ROWS vectors gives every query a first k-th best score, a true lower
