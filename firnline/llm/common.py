@@ -63,6 +63,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names like the wanted ones that no column of df has, in whatever case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def quoted(name: str) -> str:
+    """A column's name as select() takes it, dots and backticks included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def split_mod(id_col: str, mod: int) -> Column:
     """crc32 of the id's decimal text, modulo mod (the held-out rule of the query contracts)."""
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(mod).cast("long"))

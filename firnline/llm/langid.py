@@ -2,7 +2,8 @@
 blanks at word edges) of a document, in order, against each language's; the out-of-place distance sums how far
 each n-gram is from its place in the profile, MISSING places if it isn't there.
 
-The profiles are fitted on about SAMPLE_PER_LANG documents of each language, chosen by a hash of the id.
+The profiles are fitted on about SAMPLE_PER_LANG documents of each language, chosen by a hash of the id. There may be any
+number of languages; the model holds PROFILE n-grams of each and is the only thing the driver sees.
 
 Defined cases: a null text and a text without a letter get `und` with score 0; ties go to the first language by
 name; texts of any length are profiled whole; with nothing to learn from every text is `und`; an empty table gives
@@ -20,14 +21,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from firnline.llm.common import bounded, class_sizes, load, sample_per_class, split_mod
+from firnline.llm.common import bounded, load, split_mod
 
 PROFILE = 300
 SAMPLE_PER_LANG = 2000
-MAX_LANGS = 512
 _CHUNK_CHARS = 1 << 20
 _CHUNK_ROWS = 4096
 _ROW_SHIFT = 50
+_CELLS = 1 << 22  # (text, language) pairs that are summed at once
 
 
 @lru_cache(maxsize=1)
@@ -116,48 +117,56 @@ def _count_langs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit_profiles(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, top: int = PROFILE) -> dict[str, list[int]]:
     """lang -> its most frequent n-grams in order. docs: doc_id, text, lang of the rows to learn from."""
-    ids = docs.filter(F.col("lang").isNotNull()).select("doc_id", "lang").distinct()
-    sample = sample_per_class(ids, "doc_id", "lang", per_lang, class_sizes(ids, "lang", MAX_LANGS))
-    # about MAX_LANGS * per_lang ids at most
-    texts = docs.join(F.broadcast(sample), ["doc_id", "lang"]).filter(F.col("text").isNotNull()).select("text", "lang")
+    known = docs.filter(F.col("lang").isNotNull()).select("doc_id", "lang", "text")
+    sizes = known.select("doc_id", "lang").distinct().groupBy("lang").agg(F.count("*").alias("__n")).withColumnRenamed("lang", "__lang")
+    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < F.least(F.lit(1.0), per_lang / F.col("__n")) * float(1 << 32)
+    # a row per language: far less than the model, which goes to every worker as well
+    texts = known.join(F.broadcast(sizes), F.col("lang") == F.col("__lang")).filter(chosen & F.col("text").isNotNull()).select("text", "lang")
     grams = texts.mapInArrow(_count_langs, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     place = W.partitionBy("lang").orderBy(F.desc("n"), "gram")
     best = grams.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= top)
-    out: dict[str, list[int]] = {}
-    rows = best.select("lang", "gram", "rank").limit(MAX_LANGS * top + 1).collect()
-    if len(rows) > MAX_LANGS * top:
-        raise ValueError(f"more than {MAX_LANGS} languages")
-    for r in sorted(rows, key=lambda r: (r["lang"], r["rank"])):
-        out.setdefault(r["lang"], []).append(r["gram"])
-    return out
+    table = best.select("lang", "gram", "rank").toPandas().sort_values(["lang", "rank"])
+    return {lang: part["gram"].tolist() for lang, part in table.groupby("lang", sort=True)}
 
 
 class Profiles:
     def __init__(self, profiles: dict[str, list[int]], top: int = PROFILE):
         self.top = top
         self.names = sorted(profiles)
-        self.grams = np.unique(np.array([g for p in profiles.values() for g in p], np.int64))
-        self.place = np.full((len(self.names), len(self.grams) + 1), -1, np.int64)
-        for i, name in enumerate(self.names):
-            self.place[i, np.searchsorted(self.grams, np.array(profiles[name], np.int64))] = np.arange(len(profiles[name]))
+        gram = np.array([g for name in self.names for g in profiles[name]], np.int64)
+        lang = np.repeat(np.arange(len(self.names)), [len(profiles[name]) for name in self.names])
+        place = np.concatenate([np.arange(len(profiles[name])) for name in self.names]) if self.names else np.zeros(0, np.int64)
+        order = np.lexsort((lang, gram))
+        # the languages, and the places there, of each n-gram
+        self.grams, first = np.unique(gram[order], return_index=True)
+        self.first = np.append(first, len(gram))
+        self.lang, self.place = lang[order], place[order]
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        n = len(texts)
+        if not self.names:
+            return ["und"] * len(texts), np.zeros(len(texts))
+        most, names, scores = max(1, _CELLS // len(self.names)), [], [np.zeros(0)]
+        for at in range(0, len(texts), most):
+            best, score, used = self._nearest(texts[at : at + most])
+            names += [self.names[b] if u else "und" for b, u in zip(best.tolist(), used.tolist())]
+            scores.append(np.where(used > 0, np.clip(score, 0, 1), 0.0))
+        return names, np.concatenate(scores)
+
+    def _nearest(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        n, k = len(texts), len(self.names)
         row, gram, rank = ranked(*gram_counts(texts), n, self.top)
         used = np.bincount(row, minlength=n)
-        if not self.names:
-            return ["und"] * n, np.zeros(n)
         at = np.searchsorted(self.grams, gram)
-        at[(at < len(self.grams)) & (self.grams[np.minimum(at, len(self.grams) - 1)] != gram)] = len(self.grams)
-        away = np.empty((len(self.names), n))
-        for i in range(len(self.names)):
-            place = self.place[i, at]
-            d = np.where(place < 0, self.top, np.abs(place - rank))
-            away[i] = np.bincount(row, d, minlength=n)
-        best = away.argmin(axis=0)
-        score = 1 - away[best, np.arange(n)] / np.maximum(used * self.top, 1)
-        names = [self.names[b] if u else "und" for b, u in zip(best.tolist(), used.tolist())]
-        return names, np.where(used > 0, np.clip(score, 0, 1), 0.0)
+        hit = self.grams[np.minimum(at, len(self.grams) - 1)] == gram if len(self.grams) else np.zeros(len(gram), bool)
+        row, rank, at = row[hit], rank[hit], at[hit]
+        size = self.first[at + 1] - self.first[at]
+        ends = np.cumsum(size)
+        post = np.repeat(self.first[at] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+        # an n-gram that a profile lacks is `top` places away, so what each one found saves is summed
+        saved = self.top - np.minimum(np.abs(self.place[post] - np.repeat(rank, size)), self.top)
+        away = (used[:, None] * self.top).astype(float) - np.bincount(np.repeat(row, size) * k + self.lang[post], saved, minlength=n * k).reshape(n, k)
+        best = away.argmin(axis=1)
+        return best, 1 - away[np.arange(n), best] / np.maximum(used * self.top, 1), used
 
 
 def identify(docs: DataFrame, profiles: dict[str, list[int]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

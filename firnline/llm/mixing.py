@@ -6,9 +6,14 @@ random, in a way that keeps the expectation of each and the sum of both, until o
 The other, still fractional, meets the next document. Groups of documents (source, hash bucket) are rounded
 independently; the at most one residual of each group goes up a reduction tree of fixed fan-in, so no task
 ever holds a whole source. About RESERVE documents of each source and size class (powers of two) wait for the
-root, which settles documents in falling order of size, each against all smaller ones as one partner; what is
-left at the very end, rounded by its own probability, is a small one. A source misses its target by less than
-that one document.
+root (2 * RESERVE at most), which settles documents in falling order of size, each against all smaller ones as one
+partner; what is left at the very end, rounded by its own probability, is a small one. A source misses its target by
+less than that one document. Up to BROADCAST_SOURCES classes are joined by broadcast, more by a shuffle; that changes
+the plan, not the result.
+
+Rows that agree in id, text and source are counted first and rounded as one: of n rows with the fractional copy number
+p, floor(n * p) take one copy more, and what is left of n * p is rounded like any document. Targets come from prefix
+sums over sources in order, by ranges of sources, so that no task holds all of them.
 
 Defined cases: null or wordless texts have size 0, are never taken (taken 0) and take no part in the
 rounding; a null source is a source of its own, ordered last; repeated rows are separate rows, each with
@@ -22,11 +27,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from firnline.llm.common import bounded, load, materialize
+from firnline.llm.common import bounded, free_names, load, materialize, quoted
 
 WORD = r"[^\x20\x09-\x0D]+"
 SOURCE_WEIGHTS = (1, 2, 3)
@@ -36,37 +41,40 @@ FAN_IN = 256  # residuals that meet at one node of the tree, per source
 RESERVE = 32  # documents of each source and size class that are rounded at the root
 BROADCAST_SOURCES = 10_000  # more sources than this are joined by a shuffle
 
-_UNIT = "doc_id long, source string, size long, source_size long, target double, whole int, p double, bucket long, u double, h long"
+SPLIT = 1 << 16  # repeated rows that a task writes from one counted row
+
+_UNIT = "doc_id long, source string, size long, source_size long, target double, whole int, times long, full long, p double, bucket long, u double, h long"
+
+
+def _ordered(df: DataFrame, order: list, sums: dict[str, Column], name: str) -> DataFrame:
+    """df with running sums (without the row itself) along a total order: sums within ranges of rows, each sorted by
+    itself, on top of the ranges' totals, of which there are as many as partitions."""
+    ranged = materialize(df.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), name)
+    totals = ranged.groupBy("part").agg(*[F.sum(c).alias(f"sum_{k}") for k, c in sums.items()])
+    parts = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+    totals = totals.select(F.col("part").alias("at"), *[F.coalesce(F.sum(f"sum_{k}").over(parts), zero).alias(f"base_{k}") for k in sums])
+    rows = W.partitionBy("part").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    inside = ranged.select("*", *[F.coalesce(F.sum(c).over(rows), zero).alias(f"in_{k}") for k, c in sums.items()])
+    out = inside.join(F.broadcast(totals), F.col("part") == F.col("at"))
+    return out.select(*df.columns, *[(F.col(f"base_{k}") + F.col(f"in_{k}")).alias(k) for k in sums])
 
 
 def source_targets(units: DataFrame) -> DataFrame:
     """(source, source_size, target): weights 1, 2, 3, repeating, share all words; a target stops at MAX_REPEAT
     times its source's size and the excess is shared by weight. This is water-filling: with sources ordered by
-    cap/weight, a prefix is capped and the rest share the remaining words at one level."""
-    per = units.groupBy("source").agg(F.sum("size").alias("source_size"))
-    n = len(SOURCE_WEIGHTS)
-    by_name = W.orderBy(F.asc_nulls_last("source"))
-    weights = F.array(*[F.lit(float(w)) for w in SOURCE_WEIGHTS])
-    per = per.withColumn("idx", F.row_number().over(by_name) - 1).withColumn(
-        "w", F.element_at(weights, (F.col("idx") % n + 1).cast("int"))
-    )
-    per = per.withColumn("cap", F.lit(float(MAX_REPEAT)) * F.col("source_size")).withColumn(
-        "r", F.col("cap") / F.col("w")
-    )
-    by_ratio = W.orderBy("r", "idx")
-    before = by_ratio.rowsBetween(W.unboundedPreceding, -1)
-    after = by_ratio.rowsBetween(0, W.unboundedFollowing)
-    everything = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    per = per.withColumn("total", F.sum("source_size").over(everything).cast("double"))
-    per = per.withColumn(
-        "level",
-        (F.col("total") - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("w").over(after),
-    )
-    open_level = F.min(F.when(F.col("r") > F.col("level"), F.struct("r", "idx", "level"))).over(everything)
-    level = F.coalesce(open_level["level"], F.lit(float("inf")))
-    return per.select(
-        "source", "source_size", F.least(F.col("cap"), F.col("w") * level).alias("target")
-    )
+    cap/weight, a prefix is capped and the rest share the remaining words at one level. units: source, size, times."""
+    per = units.groupBy("source").agg(F.sum(F.col("size") * F.col("times")).alias("source_size"))
+    per = _ordered(per, [F.asc_nulls_last("source")], {"idx": F.lit(1).cast("long")}, "mix-sources")
+    weights = F.array(*[F.lit(w).cast("long") for w in SOURCE_WEIGHTS])
+    per = per.withColumn("w", F.element_at(weights, (F.col("idx") % len(SOURCE_WEIGHTS) + 1).cast("int")))
+    per = per.withColumn("r", (MAX_REPEAT * F.col("source_size")).cast("double") / F.col("w"))
+    per = materialize(_ordered(per, [F.asc("r"), F.asc("idx")], {"sizes": F.col("source_size"), "weights": F.col("w")}, "mix-ratios"), "mix-ordered")
+    whole = per.agg(F.sum("source_size").alias("size"), F.sum("w").alias("w")).first()
+    at = (F.lit(float(whole["size"] or 0)) - (MAX_REPEAT * F.col("sizes")).cast("double")) / (F.lit(whole["w"] or 1) - F.col("weights"))
+    level = per.filter(F.col("r") > at).agg(F.min(F.struct("r", "idx", at.alias("level")))["level"]).first()[0]
+    cap = (MAX_REPEAT * F.col("source_size")).cast("double")
+    return per.select("source", "source_size", (cap if level is None else F.least(cap, F.col("w") * F.lit(level))).alias("target"))
 
 
 def pivot_run(size: np.ndarray, p: np.ndarray, u: np.ndarray, carry: tuple[float, float] | None = None):
@@ -197,20 +205,16 @@ def _round_level(df: DataFrame, name: str) -> DataFrame:
     return materialize(dealt.mapInArrow(_round_stream, _UNIT), name)
 
 
-def mix_sources(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 20
-) -> DataFrame:
-    """One row per input row: doc_id, h (hash of id, text and source), source, size, source_size, target, copies,
-    taken (copies * size)."""
-    units = materialize(
-        docs.select(
-            F.col(id_col).cast("long").alias("doc_id"),
-            F.col(source_col).cast("string").alias("source"),
-            F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            F.xxhash64(id_col, text_col, source_col).alias("h"),
-        ),
-        "mix-units",
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 20) -> DataFrame:
+    """One row per kind of rows that agree in id, text and source: doc_id, h (hash of the three), source, size,
+    source_size, target, times (rows of the kind), whole (copies that each takes), more (how many take one more)."""
+    units = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(source_col).cast("string").alias("source"),
+        F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.xxhash64(id_col, text_col, source_col).alias("h"),
     )
+    units = materialize(units.groupBy("doc_id", "source", "size", "h").agg(F.count("*").alias("times")), "mix-units")
     n = units.count()
     targets = materialize(source_targets(units), "mix-targets")
     size_class = F.log2(F.greatest("size", F.lit(1)).cast("double")).cast("int")
@@ -220,29 +224,27 @@ def mix_sources(
     buckets = max(1, -(-n // GROUP_ROWS))
     f = F.when(F.col("t.source_size") > 0, F.col("t.target") / F.col("t.source_size")).otherwise(0.0)
     rows = units.alias("d").join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")))
-    rows = rows.select(
-        "d.doc_id", "d.source", "d.size", "t.source_size", "t.target", f.alias("f"), F.col("d.h").alias("h"),
-        size_class.alias("size_class"),
-    )
+    rows = rows.select("d.doc_id", "d.source", "d.size", "t.source_size", "t.target", f.alias("f"), "d.times", F.col("d.h").alias("h"), size_class.alias("size_class"))
     rows = rows.alias("d").join(
         classes.alias("c"),
         F.col("d.source").eqNullSafe(F.col("c.source")) & (F.col("d.size_class") == F.col("c.size_class")),
     ).select("d.*", "c.in_class")
     uniform = lambda salt: F.pmod(F.xxhash64(F.lit(seed + salt), "h"), F.lit(1 << 52)) / float(1 << 52)
+    rest = F.col("times") * (F.col("f") - F.floor("f"))  # copies beyond the whole ones
     rows = rows.select(
-        "doc_id", "source", "size", "source_size", "target",
-        F.floor("f").cast("int").alias("whole"),
-        (F.col("f") - F.floor("f")).alias("p"),
+        "doc_id", "source", "size", "source_size", "target", F.floor("f").cast("int").alias("whole"), "times",
+        F.floor(rest).cast("long").alias("full"), (rest - F.floor(rest)).alias("p"),
         F.pmod(F.xxhash64(F.lit(seed), "h"), F.lit(buckets)).cast("long").alias("bucket"),
-        uniform(1).alias("u"),
-        "h",
-        (uniform(2) * F.col("in_class") < RESERVE).alias("waits"),
-    )
+        uniform(1).alias("u"), "h", "size_class", uniform(2).alias("wait"), (uniform(2) * F.col("in_class") < RESERVE).alias("waits"),
+    )
+    columns = [c.split()[0] for c in _UNIT.split(", ")]
     takes_part = (F.col("p") > 0) & (F.col("p") < 1) & (F.col("size") > 0)
-    done = [rows.filter(~takes_part).withColumn("p", F.lit(0.0)).drop("waits")]
+    done = [rows.filter(~takes_part).withColumn("p", F.lit(0.0)).select(*columns)]
     todo, level = rows.filter(takes_part), 0
-    waiting = todo.filter("waits").drop("waits").withColumn("bucket", F.lit(0).cast("long"))
-    todo = todo.filter(~F.col("waits")).drop("waits")
+    in_class = W.partitionBy("source", "size_class").orderBy("wait", "doc_id", "h")
+    chosen = todo.filter("waits").withColumn("nth", F.row_number().over(in_class))
+    waiting = chosen.filter(F.col("nth") <= 2 * RESERVE).withColumn("bucket", F.lit(0).cast("long")).select(*columns)
+    todo = todo.filter(~F.col("waits")).select(*columns).unionByName(chosen.filter(F.col("nth") > 2 * RESERVE).select(*columns))
     while buckets > 1:
         out = _round_level(todo, f"mix-level{level}")
         open_ = (F.col("p") > 0) & (F.col("p") < 1)
@@ -251,14 +253,26 @@ def mix_sources(
         buckets, level = -(-buckets // FAN_IN), level + 1
         todo = todo.withColumn("bucket", F.floor(F.col("bucket") / FAN_IN).cast("long"))
     done.append(todo.unionByName(waiting).groupBy("source").applyInPandas(_root, _UNIT))
-    whole = done[0]
+    all_rows = done[0]
     for part in done[1:]:
-        whole = whole.unionByName(part)
-    copies = (F.col("whole") + F.col("p").cast("int")).cast("int")
-    return whole.select(
-        "doc_id", "h", "source", "size", "source_size", "target", copies.alias("copies"),
-        (copies * F.col("size")).cast("long").alias("taken"),
-    )
+        all_rows = all_rows.unionByName(part)
+    return all_rows.select("doc_id", "h", "source", "size", "source_size", "target", "times", "whole", (F.col("full") + F.col("p").cast("long")).alias("more"))
+
+
+def mix_sources(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 20
+) -> DataFrame:
+    """One row per input row: doc_id, h (hash of id, text and source), source, size, source_size, target, copies,
+    taken (copies * size)."""
+    kinds = mixed(docs, id_col, text_col, source_col, seed)
+    # rows that are repeated often are written out by many tasks
+    many = kinds.filter("times > 1").withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("times") - 1) / SPLIT))))
+    many = many.repartition("h", "slice")
+    first, last = F.col("slice") * SPLIT, F.least("times", (F.col("slice") + 1) * SPLIT) - 1
+    many = many.withColumn("nth", F.explode(F.sequence(first, last))).drop("slice")
+    rows = kinds.filter("times = 1").withColumn("nth", F.lit(0).cast("long")).unionByName(many)
+    copies = (F.col("whole") + (F.col("nth") < F.col("more")).cast("int")).cast("int")
+    return rows.select("doc_id", "h", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
 
 
 @bounded
@@ -269,16 +283,21 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @bounded
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix itself: a document appears as often as the mix takes it (wordless rows at least once).
+    """The mix itself: a document appears as often as the mix takes it (wordless rows stay).
     Rows that agree in id, text and source are one document whose copies add up."""
     del spark, sf_dir
-    key = F.xxhash64("doc_id", "text", "source")
-    took = mix_sources(docs).groupBy("doc_id", "h").agg(
-        F.sum(F.when(F.col("size") > 0, F.col("copies")).otherwise(F.greatest("copies", F.lit(1)))).alias("__n")
-    ).filter("__n > 0")
-    one = docs.withColumn("__h", key)
-    first = W.partitionBy("doc_id", "__h").orderBy(F.lit(0))
-    one = one.withColumn("__rn", F.row_number().over(first)).filter("__rn = 1").drop("__rn")
-    took = took.select(F.col("doc_id").alias("__id"), F.col("h").alias("__th"), "__n")
-    out = one.join(took, one["doc_id"].eqNullSafe(F.col("__id")) & (one["__h"] == F.col("__th")))
-    return out.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))).alias("__c")).drop("__c")
+    took = mixed(docs).withColumn("n", F.when(F.col("size") > 0, F.col("times") * F.col("whole") + F.col("more")).otherwise(F.col("times")))
+    took = materialize(took.filter("n > 0").select("doc_id", "h", "times", "n"), "mix-took")
+    own, h, n, nth = free_names(docs, "took_id", "took_h", "took_n", "nth")
+
+    def taken(kinds: DataFrame) -> DataFrame:
+        keys = kinds.select(F.col("doc_id").alias(own), F.col("h").alias(h), F.col("n").alias(n))
+        return docs.join(keys, F.col("doc_id").eqNullSafe(F.col(own)) & (F.xxhash64("doc_id", "text", "source") == F.col(h)))
+
+    out = taken(took.filter("times = 1")).withColumn(nth, F.explode(F.sequence(F.lit(1).cast("long"), n)))
+    if not took.filter("times > 1").isEmpty():
+        # one of the rows of each kind stands for all: which, nothing tells apart but other columns
+        one = taken(took.filter("times > 1")).groupBy(own, h).agg(F.first(F.struct(*[F.col(quoted(c)) for c in docs.columns])).alias(nth), F.first(n).alias(n))
+        one = one.withColumn(n, F.explode(F.sequence(F.lit(1).cast("long"), n))).select(f"{nth}.*")
+        return out.select(*[quoted(c) for c in docs.columns]).unionByName(one)
+    return out.select(*[quoted(c) for c in docs.columns])

@@ -92,7 +92,7 @@ def _statistics_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for a, b, data, offsets in chunks(batch.column("text")):
             x = statistics(data, offsets)
             flat = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), len(FEATURES)).cast(pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([batch.column("label").slice(a, b - a), flat], ["label", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), batch.column("label").slice(a, b - a), flat], ["doc_id", "label", "x"])
 
 
 def labelled_sample(labels: DataFrame, column: str, per_class: int, train) -> tuple[DataFrame, dict[int, int]]:
@@ -106,8 +106,9 @@ def labelled_sample(labels: DataFrame, column: str, per_class: int, train) -> tu
 def fit_quality(docs: DataFrame, labels: DataFrame, train, per_class: int = SAMPLE_PER_CLASS) -> boosting.Trees:
     """docs: doc_id, text. labels: doc_id, quality. train: the rows of labels to learn from (a Column)."""
     sample, sizes = labelled_sample(labels, "quality", per_class, train)
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("label", "text")
-    rows = texts.mapInArrow(_statistics_of, "label int, x array<double>").toPandas()
+    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(F.col("doc_id").cast("long").alias("doc_id"), "label", "text")
+    # one row of each id, however often it is repeated, so that what the driver gets is bounded by the sample
+    rows = texts.mapInArrow(_statistics_of, "doc_id long, label int, x array<double>").groupBy("doc_id", "label").agg(F.min("x").alias("x")).toPandas()
     x = np.array(rows["x"].tolist(), float).reshape(len(rows), len(FEATURES))
     y = rows["label"].to_numpy(float)
     order = np.lexsort((*x.T, y))  # the fit does not depend on the order of arrival

@@ -7,9 +7,11 @@ more segments, coarse to fine, against the query's current k-th best score; only
 over _DENSE of a strip's pairs are left, finer levels are skipped and one plain product of the strip replaces the
 search; on the given embeddings the bounds prune nothing and that is what runs.
 
-Queries go out in blocks of about QUERY_BLOCK rows, so what is broadcast is bounded; each block makes one pass
-over the vectors. A bounded sample of SEED_ROWS vectors gives every query a first k-th best score, a true lower
-bound of the final one, so that tasks return few rows beyond the result.
+Queries and vectors make a grid of blocks in one job: query rows that are equal in id and vector are one query with a
+count, blocks hold QUERY_BLOCK queries on average, slabs SLAB vectors, dealt by row number, so no key decides how much a
+cell gets. A cell's rows are sorted, queries first; a task holds the queries of one cell and streams its vectors. A
+sample of SEED_ROWS vectors, the only rows that the driver sees, gives every query a first k-th best score, a true lower
+bound of the final one, so that cells return few rows beyond the result.
 
 Defined cases: vectors that are null, empty or hold null or non-finite components take no part; only vectors of
 the query's length are its candidates; rows with the query's id are never its candidates; repeated candidate rows
@@ -27,21 +29,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from firnline.llm.common import load
+from firnline.llm.common import bounded, load, materialize
 
 SCALE = 1024
 K = 10
 LEVELS = (4, 16)
-QUERY_BLOCK = 8192
+QUERY_BLOCK = 16384
+SLAB = 16384
 SEED_ROWS = 4096
 _CHUNK = 1024  # vectors scored at once
 _STRIP = 512  # queries scored at once
 _DENSE = 0.2  # share of survivors from which a dense product is cheaper than gathered ones
 
 
-def vectors_of(ids: pa.Array, column: pa.Array, scale: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(ids, matrix of whole numbers as doubles) for each length among the usable vectors."""
-    ids = ids.to_numpy(zero_copy_only=False)
+def usable(column: pa.Array, scale: float = SCALE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, matrix of whole numbers as doubles) for each length among the usable vectors."""
     present = ~column.is_null().to_numpy(zero_copy_only=False)
     off = column.offsets.to_numpy().astype(np.int64)
     values = column.values
@@ -49,10 +51,10 @@ def vectors_of(ids: pa.Array, column: pa.Array, scale: float) -> Iterator[tuple[
     good = np.isfinite(numbers)
     bad = np.concatenate([[0], np.cumsum(~good)])
     length = np.diff(off)
-    usable = present & (length > 0) & (bad[off[1:]] == bad[off[:-1]])
-    for n in np.unique(length[usable]).tolist():
-        rows = np.flatnonzero(usable & (length == n))
-        yield ids[rows], np.floor(scale * numbers[off[rows][:, None] + np.arange(n)])
+    fit = present & (length > 0) & (bad[off[1:]] == bad[off[:-1]])
+    for n in np.unique(length[fit]).tolist():
+        rows = np.flatnonzero(fit & (length == n))
+        yield rows, np.floor(scale * numbers[off[rows][:, None] + np.arange(n)])
 
 
 def segment_statistics(x: np.ndarray, parts: int) -> np.ndarray:
@@ -137,69 +139,112 @@ class Search:
         self.floor[q[last]] = np.maximum(self.floor[q[last]], s[last])
 
 
-def _best_of(vectors: DataFrame, queries: dict[int, tuple], k: int) -> DataFrame:
-    """Each task's best k for each query (number, query_id, vec_id, score). queries: length -> (numbers, ids, matrix,
-    floors)."""
-    sent = vectors.sparkSession.sparkContext.broadcast(queries)
+def _numbers(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False)
+
+
+def _with_floor(seed_ids: np.ndarray, seeds: dict[int, tuple[np.ndarray, np.ndarray]], k: int):
+    """Adds to queries (block, number, times, vec_id, embedding) the k-th best score among the seed vectors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        searches = {n: Search(ids, q, floor, k) for n, (_, ids, q, floor) in sent.value.items()}
         for batch in batches:
-            for ids, x in vectors_of(batch.column("vec_id"), batch.column("embedding"), SCALE):
-                if (search := searches.get(x.shape[1])) is not None:
-                    for at in range(0, len(x), _CHUNK):
-                        search.add(ids[at : at + _CHUNK], x[at : at + _CHUNK])
-        for n, search in searches.items():
-            numbers, ids = sent.value[n][:2]
-            q, s, i = search.found
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(numbers[q]), pa.array(ids[q]), pa.array(i), pa.array(s.astype(np.int64))], ["number", "query_id", "vec_id", "score"]
-            )
+            ids, floor = _numbers(batch.column("vec_id")), np.full(batch.num_rows, -np.inf)
+            for rows, q in usable(batch.column("embedding")):
+                own, x = seeds.get(q.shape[1], (seed_ids[:0], np.zeros((0, q.shape[1]))))
+                search = Search(ids[rows], q, np.full(len(rows), -np.inf), k)
+                for at in range(0, len(x), _CHUNK):
+                    search.add(own[at : at + _CHUNK], x[at : at + _CHUNK])
+                floor[rows] = search.floor
+            yield batch.append_column("floor", pa.array(floor))
 
-    return vectors.mapInArrow(run, "number long, query_id long, vec_id long, score long")
+    return run
 
 
-def _top(rows: DataFrame, k: int) -> DataFrame:
-    place = W.partitionBy("number").orderBy(F.desc("score"), "vec_id")
-    return rows.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k)
+def _search_cells(k: int):
+    """Rows sorted by (block, slab, kind), queries (kind 0) before vectors: each cell's best k of each of its queries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, waiting, searches = None, [], {}
+
+        def results() -> Iterator[pa.RecordBatch]:
+            for number, times, search in searches.values():
+                q, s, i = search.found
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(number[q]), pa.array(times[q]), pa.array(search.ids[q]), pa.array(i), pa.array(s.astype(np.int64))],
+                    ["number", "times", "query_id", "vec_id", "score"],
+                )
+
+        def prepared(parts: list[pa.RecordBatch]) -> dict:
+            found: dict[int, list] = {}
+            for part in parts:
+                columns = [_numbers(part.column(c)) for c in ("number", "times", "vec_id", "floor")]
+                for rows, q in usable(part.column("embedding")):
+                    found.setdefault(q.shape[1], []).append((*(c[rows] for c in columns), q))
+            out = {}
+            for n, groups in found.items():
+                number, times, ids, floor, q = (np.concatenate(c) for c in zip(*groups))
+                out[n] = number, times, Search(ids, q, floor, k)
+            return out
+
+        for batch in batches:
+            block, slab, kind = (_numbers(batch.column(c)) for c in ("block", "slab", "kind"))
+            cuts = np.flatnonzero((np.diff(block) != 0) | (np.diff(slab) != 0) | (np.diff(kind) != 0)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                if a == b:
+                    continue
+                if cell != (block[a], slab[a]):
+                    yield from results()
+                    cell, waiting, searches = (block[a], slab[a]), [], {}
+                part = batch.slice(a, b - a)
+                if kind[a] == 0:
+                    waiting.append(part)
+                    continue
+                if waiting:
+                    searches, waiting = prepared(waiting), []
+                ids = _numbers(part.column("vec_id"))
+                for rows, x in usable(part.column("embedding")):
+                    if x.shape[1] in searches:
+                        for at in range(0, len(x), _CHUNK):
+                            searches[x.shape[1]][2].add(ids[rows[at : at + _CHUNK]], x[at : at + _CHUNK])
+        yield from results()
+
+    return run
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score): the k highest inner products for every row that is_query holds for.
     vectors: vec_id, embedding."""
     vectors = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").filter("vec_id is not null")
-    asked = vectors.filter(is_query)
-    n_queries = asked.count()
-    blocks = -(-n_queries // QUERY_BLOCK)
-    seed = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SEED_ROWS) if n_queries else None
-    out = None
-    for block in range(blocks):
-        mine = asked.filter(F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.lit(blocks)) == block)  # QUERY_BLOCK on average
-        table = mine.toArrow().combine_chunks()
-        queries, at = {}, 0
-        column = table.column("embedding").combine_chunks()
-        column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
-        ids = table.column("vec_id").combine_chunks()
-        for own, q in vectors_of(ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids, column, SCALE):
-            order = np.argsort(own, kind="stable")
-            numbers = block * (1 << 40) + at + np.arange(len(own))
-            queries[q.shape[1]] = (numbers, own[order], q[order], np.full(len(own), -np.inf))
-            at += len(own)
-        if not queries:
-            continue
-        first = _top(_best_of(seed, queries, k), k).filter(F.col("rank") == k).select("number", "score").toPandas()
-        known = dict(zip(first["number"].tolist(), first["score"].tolist()))
-        queries = {
-            n: (numbers, own, q, np.array([known.get(x, -np.inf) for x in numbers.tolist()]))
-            for n, (numbers, own, q, _) in queries.items()
-        }
-        part = _best_of(vectors, queries, k)
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        out = vectors.sparkSession.createDataFrame([], "number long, query_id long, vec_id long, score long")
-    return _top(out, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    asked = vectors.filter(is_query).filter("embedding is not null").groupBy("vec_id", "embedding").agg(F.count("*").alias("times"))
+    asked = materialize(asked, "topk-asked")
+    n_blocks, n_slabs = max(1, -(-asked.count() // QUERY_BLOCK)), max(1, -(-vectors.count() // SLAB))
+    block = F.pmod(F.xxhash64(F.lit("block"), "vec_id", "embedding"), F.lit(n_blocks)).cast("int")
+    in_block = W.partitionBy("block").orderBy("vec_id", "embedding")  # QUERY_BLOCK rows on average, all different
+    number = F.col("block").cast("long") * (1 << 40) + F.row_number().over(in_block)
+    queries = asked.withColumn("block", block).select("block", number.alias("number"), "times", "vec_id", "embedding")
+    seed = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SEED_ROWS).toArrow().combine_chunks()
+    seeds, seed_ids = {}, _numbers(pa.chunked_array(seed.column("vec_id")).combine_chunks())
+    if len(seed_ids):
+        seeds = {x.shape[1]: (seed_ids[rows], x) for rows, x in usable(pa.chunked_array(seed.column("embedding")).combine_chunks())}
+    ddl = "block int, number long, times long, vec_id long, embedding array<float>, floor double"
+    ddl = ddl.replace("array<float>", dict(vectors.dtypes)["embedding"])
+    queries = materialize(queries.mapInArrow(_with_floor(seed_ids, seeds, k), ddl), "topk-queries")
+    slabs, blocks = F.sequence(F.lit(0), F.lit(n_slabs - 1)), F.sequence(F.lit(0), F.lit(n_blocks - 1))
+    nothing = F.lit(0).cast("long")
+    left = queries.select("block", F.explode(slabs).alias("slab"), F.lit(0).alias("kind"), "number", "times", "vec_id", "embedding", "floor")
+    dealt = F.pmod(F.monotonically_increasing_id(), F.lit(n_slabs)).cast("int")
+    right = vectors.withColumn("slab", dealt).select(
+        F.explode(blocks).alias("block"), "slab", F.lit(1).alias("kind"), nothing.alias("number"), nothing.alias("times"), "vec_id", "embedding", F.lit(0.0).alias("floor")
+    )
+    cells = left.unionByName(right).repartition(n_blocks * n_slabs, "block", "slab").sortWithinPartitions("block", "slab", "kind")
+    rows = cells.mapInArrow(_search_cells(k), "number long, times long, query_id long, vec_id long, score long")
+    place = W.partitionBy("number").orderBy(F.desc("score"), "vec_id")
+    best = rows.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k)
+    best = best.withColumn("again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
+    return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
+@bounded
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 

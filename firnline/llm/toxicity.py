@@ -37,7 +37,6 @@ PREFIXES = (4, 6)
 PRIOR = 0.1
 Z_MIN = 2.5
 DRIFT = 1.0
-LEXICON = 30_000
 THRESHOLD = 0.5
 _CALIBRATION = 4  # one in so many sample documents calibrates, the others make the lexicon
 
@@ -199,13 +198,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train, per_class: int = SAM
     """docs: doc_id, text. labels: doc_id, toxic. train: the rows of labels to learn from (a Column)."""
     sample, sizes = labelled_sample(labels, "toxic", per_class, train)
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").filter(F.col("text").isNotNull())
-    # equal texts once, under their smallest id, so that the fit does not depend on the order of arrival; one pass
+    # one text of each id, however often it is repeated, and equal texts once, under their smallest id: the sample is
+    # bounded, and the fit does not depend on the order of arrival
+    texts = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     texts = texts.groupBy("label", "text").agg(F.min("doc_id").alias("doc_id"))
     texts = materialize(texts, "toxicity-sample")
     calibrates = F.pmod(F.xxhash64(F.lit("calibrate"), "doc_id"), F.lit(_CALIBRATION)) == 0
     counts = texts.filter(~calibrates).select("label", "text").mapInArrow(_unit_counts, "unit long, t long, c long")
     odds = log_odds(materialize(counts.groupBy("unit").agg(F.sum("t").alias("t"), F.sum("c").alias("c")), "toxicity-units"))
-    kept = odds.filter(F.abs("z") >= Z_MIN).orderBy(F.desc(F.abs("z")), "unit").limit(LEXICON).toPandas().sort_values("unit")
+    kept = odds.filter(F.abs("z") >= Z_MIN).toPandas().sort_values("unit")  # of the sample's units
     model = Model(kept["unit"].to_numpy(np.int64), kept["delta"].to_numpy(float))
     held = texts.filter(calibrates).select("label", "text")
     ddl = "label int, evidence double, kinds array<double>, n array<long>"

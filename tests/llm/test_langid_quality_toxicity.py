@@ -169,3 +169,25 @@ def test_prefix_units_are_code_points(x, y):
     w = Words(c[2], c[3], toxicity.LETTERS)
     h = toxicity.unit_hashes(c[2], w)[toxicity.PREFIXES.index(x)]
     assert h[0] == h[1] != h[2]
+
+
+def test_any_number_of_languages(spark):
+    rows = [(i, f"{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyz'[i // 100 % 6]} " * 5, f"l{i % 600:03d}") for i in range(1200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    profiles = langid.fit_profiles(frame)
+    assert len(profiles) == 600
+    out = {r["doc_id"]: r["lang_pred"] for r in langid.identify(frame, profiles).collect()}
+    assert all(out[i] == lang for i, _, lang in rows)
+
+
+def test_profiles_equal_a_plain_loop():
+    profiles = {"b": [5, 9, 7], "a": [9, 5], "c": []}
+    texts = ["abc abd", "zz", "", "a b c d"]
+    model = langid.Profiles(profiles, 4)
+    row, gram, rank = langid.ranked(*langid.gram_counts(texts), len(texts), 4)
+    for i in range(len(texts)):
+        mine = [(g, r) for x, g, r in zip(row.tolist(), gram.tolist(), rank.tolist()) if x == i]
+        away = {n: sum(abs(p.index(g) - r) if g in p else 4 for g, r in mine) for n, p in profiles.items()}
+        want = min(sorted(away), key=away.get) if mine else "und"
+        names, score = model.predict(texts)
+        assert names[i] == want and abs(score[i] - (1 - away[want] / (4 * len(mine)) if mine else 0)) < 1e-12

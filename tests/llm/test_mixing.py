@@ -95,3 +95,42 @@ def test_stage_repeats_documents(spark, docs):
         got[r["doc_id"]] = got.get(r["doc_id"], 0) + 1
     assert got == {k: v for k, v in took.items() if v}
     assert out[0].asDict().keys() == {"doc_id", "text", "lang", "source", "n_chars"}
+
+
+def test_many_repeated_rows(spark, docs, monkeypatch):
+    monkeypatch.setattr(mixing, "GROUP_ROWS", 16)
+    monkeypatch.setattr(mixing, "SPLIT", 100)
+    rows = corpus(400, 7) + [(5, "one two three", "en", "a", 13)] * 3000
+    out = mixing.mix_sources(docs(rows)).collect()
+    assert len(out) == len(rows)
+    size = {}
+    for _, t, _, s, _ in rows:
+        size[s] = size.get(s, 0) + len((t or "").split())
+    want = targets_by_force(size)
+    for s in size:
+        mine = [r for r in out if r["source"] == s]
+        assert abs(mine[0]["target"] - want[s]) < 1e-6 and abs(sum(r["taken"] for r in mine) - want[s]) <= max(r["size"] for r in mine)
+    assert all(0 <= r["taken"] <= 3 * r["size"] for r in out)
+    stage = mixing.stage(spark, docs(rows), "").filter("doc_id = 5").count()
+    assert stage == sum(r["copies"] for r in out if r["doc_id"] == 5)
+
+
+@pytest.mark.parametrize("n", [1, 7, 500])
+def test_targets_of_many_sources(spark, n):
+    rng = random.Random(n)
+    sizes = {f"s{rng.randrange(10**6)}": rng.randrange(0, 900) for _ in range(n)} | {None: 4}
+    units = spark.createDataFrame([(s, v, 1) for s, v in sizes.items()], "source string, size long, times long").repartition(3)
+    got = {r["source"]: r["target"] for r in mixing.source_targets(units).collect()}
+    want = targets_by_force(sizes)
+    assert got.keys() == want.keys() and all(abs(got[s] - want[s]) < 1e-6 * max(1, want[s]) for s in want)
+
+
+def test_stage_with_helper_names(spark, docs):
+    from pyspark.sql import functions as F
+
+    rows = corpus(60, 3) + [(3, "same words", "en", "a", 10)] * 2
+    plain = mixing.stage(spark, docs(rows), "").count()
+    names = ["__n", "__id", "__th", "__h", "__rn", "__c", "took_id", "took_h", "took_n", "nth", "times", "a.b", "N"]
+    odd = docs(rows).withColumns({c: F.lit(c) for c in names})
+    out = mixing.stage(spark, odd, "")
+    assert out.columns == odd.columns and out.count() == plain and all(r[c] == c for r in out.limit(5).collect() for c in names)

@@ -58,3 +58,12 @@ def test_pruning_leaves_few():
     for a in range(0, 3000, 500):
         s.add(np.arange(a, a + 500), x[a : a + 500])
     assert s.tested < 0.3 * s.total
+
+
+def test_grid_of_many_cells_and_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(T, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(T, "SLAB", 50)
+    rng = random.Random(9)
+    rows = [(i % 300, [rng.gauss(0, 0.3) for _ in range(8)], 0) for i in range(900)]
+    rows += [rows[100]] * 60 + [(500, rows[1][1][:5], 0), (501, rows[2][1][:5], 0)]
+    assert found(spark.createDataFrame(rows, SCHEMA).repartition(3)) == force(rows)
