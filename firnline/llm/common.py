@@ -60,7 +60,43 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     with small_batches(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete materialized tables that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+class Sieve:
+    """A Bloom filter as a table of 64-bit words: 16 bits a key and three bits of one word set by each, and at most
+    MOST_WORDS words, so the table may be broadcast whatever the keys are. Rows that it lets through are then joined
+    exactly; the others need not move. With more keys than it is made for it lets more rows through, at worst all."""
+
+    MOST_WORDS = 1 << 19
+
+    def __init__(self, keys: DataFrame, key: Column):
+        wanted = 1 << max(6, (keys.count() // 4).bit_length())
+        self.words = min(self.MOST_WORDS, wanted)
+        word, bits = self._place(key)
+        table = keys.select(word.alias("word"), bits.alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+        self.table = materialize(table, "sieve")
+
+    def _place(self, key: Column) -> tuple[Column, Column]:
+        bit = lambda salt: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(F.lit(salt), key), F.lit(64)).cast("int"))
+        return F.pmod(F.xxhash64(F.lit(-1), key), F.lit(self.words)), bit(0).bitwiseOR(bit(1)).bitwiseOR(bit(2))
+
+    def marked(self, df: DataFrame, key: Column, out: str) -> DataFrame:
+        """df with a boolean column: whether the key may be one of the keys (it is not, where this is false)."""
+        w, b = free_names(df, "sieve_word", "sieve_bits")
+        word, bits = self._place(key)
+        joined = df.join(F.broadcast(self.table.select(F.col("word").alias(w), F.col("bits").alias(b))), word == F.col(w), "left")
+        return joined.withColumn(out, F.coalesce(F.col(b).bitwiseAND(bits) == bits, F.lit(False))).drop(w, b)
 
 
 def free_names(df: DataFrame, *wanted: str) -> list[str]:

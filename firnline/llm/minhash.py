@@ -18,7 +18,8 @@ node's weight in shingles that any other of them has bounds its similarity to al
 threshold leave. The rest is compared with the node of the largest shared part in each bucket. What then lies outside
 its bucket's largest component is compared with every node of another component that has one of its rarest shingles
 (a prefix filter: without one of these a pair cannot reach the threshold), so that no candidate pair is left out whose
-link could join two classes.
+link could join two classes. Buckets that hold more than one in HOT of all rows (at most HOT buckets) are dealt over
+SALTS tasks wherever rows meet by bucket. Texts move only where a sieve cannot rule out that they are wanted.
 
 Defined cases: null texts and texts without words are in no bucket and are classes of their own, each row by its
 id; texts of fewer than five words have one shingle of all their words; texts of any length are shingled whole;
@@ -39,13 +40,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from firnline.llm.common import bounded, load, materialize
+from firnline.llm.common import Sieve, bounded, discard, free_names, load, materialize, quoted
 from firnline.llm.textkern import NOT_SPACE, Words, chunks, lower_chunks, mix, shingles
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 5  # a pair at the threshold misses all buckets with probability (1 - 0.8**5)**24 = 7e-5
 _COORDINATES = BANDS * ROWS
+HOT, SALTS = 2000, 32
 _DARTS = _COORDINATES * (np.log(_COORDINATES) + 2)
 _U64 = np.uint64
 _UNIT = 1.0 / (1 << 53)
@@ -190,8 +192,10 @@ def components(edges: DataFrame) -> DataFrame:
         step = labels.join(near, labels["node"] == near["u"]).select("node", F.least("component", "near").alias("to"), F.col("component").alias("was"))
         step = materialize(step, "minhash-step")
         jump = step.select(F.col("node").alias("to"), F.col("to").alias("far"))
-        labels = materialize(step.join(jump, "to").select("node", F.least("far", "to").alias("component"), "was"), "minhash-labels")
+        before, labels = labels, materialize(step.join(jump, "to").select("node", F.least("far", "to").alias("component"), "was"), "minhash-labels")
+        discard(before, step)
         if labels.filter(F.col("component") != F.col("was")).isEmpty():
+            discard(both)
             return labels.select("node", "component")
 
 
@@ -211,10 +215,16 @@ def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
     return materialize(old.unionByName(lone), "minhash-found")
 
 
+def _by_bucket(member: DataFrame, *values: Column) -> DataFrame:
+    """A row per bucket, repeated for each of its salts, with values over its rows."""
+    per = member.groupBy("bucket").agg(*values, F.max("salts").alias("salts"))
+    return per.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+
+
 def _unsettled(member: DataFrame) -> DataFrame:
-    """The rows of buckets (bucket, node, component) that hold more than one component."""
-    per = member.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"))
-    return member.join(per.filter(F.col("a") != F.col("b")).select("bucket"), "bucket", "left_semi")
+    """The rows of buckets (bucket, salt, salts, node, component) that hold more than one component."""
+    per = _by_bucket(member, F.min("component").alias("a"), F.max("component").alias("b"))
+    return member.join(per.filter(F.col("a") != F.col("b")).select("bucket", "salt"), ["bucket", "salt"], "left_semi")
 
 
 def _untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
@@ -279,10 +289,10 @@ def _within_reach(member: DataFrame) -> DataFrame:
     """Without the nodes that no text of their bucket can reach the threshold with. The common weight of a pair is at
     most the node's shared part p and the other's total; with the bucket's smallest total at least p, the similarity is
     at most p / (total + smallest - p), else at most p / total."""
-    smallest = member.groupBy("bucket").agg(F.min("total").alias("smallest"))
+    smallest = _by_bucket(member, F.min("total").alias("smallest"))
     p, t, least = F.col("part"), F.col("total"), F.col("smallest")
     bound = F.when(least >= p, p / (t + least - p)).otherwise(p / t)
-    return member.join(smallest, "bucket").filter(bound >= THRESHOLD - 1e-9).drop("smallest")
+    return member.join(smallest, ["bucket", "salt"]).filter(bound >= THRESHOLD - 1e-9).drop("smallest")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -293,10 +303,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = signed.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"))
     nodes = materialize(nodes, "minhash-nodes")
     buckets = nodes.select(F.explode("bands").alias("bucket"), "node")
-    shared = buckets.groupBy("bucket").agg(F.min("node").alias("center"), F.count("*").alias("n")).filter("n > 1")
-    shared = materialize(buckets.join(shared, "bucket").select("bucket", "node", "center"), "minhash-buckets")
-    wanted = shared.select("node").distinct().join(nodes.select("node", "first_id"), "node")
-    texts = slim.withColumn("node", _node()).join(
+    centers = buckets.groupBy("bucket").agg(F.min("node").alias("center"), F.count("*").alias("n")).filter("n > 1")
+    centers = materialize(centers, "minhash-centers")
+    # fewer than HOT buckets can hold more than one in HOT of the rows
+    hot = centers.filter(F.col("n") * HOT > nodes.count() * BANDS).select(F.col("bucket").alias("hot"))
+    salted = Sieve(centers, F.col("bucket")).marked(buckets, F.col("bucket"), "may").filter("may")
+    salted = salted.join(F.broadcast(hot), F.col("bucket") == F.col("hot"), "left")
+    salted = salted.withColumn("salt", F.when(F.col("hot").isNull(), 0).otherwise(F.pmod(F.xxhash64("node"), F.lit(SALTS))).cast("int"))
+    each = centers.join(F.broadcast(hot), F.col("bucket") == F.col("hot"), "left").withColumn("salts", F.when(F.col("hot").isNull(), 1).otherwise(SALTS))
+    each = each.select("bucket", "center", "salts", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    shared = materialize(salted.join(each, ["bucket", "salt"]).select("bucket", "salt", "salts", "node", "center"), "minhash-buckets")
+    wanted = materialize(shared.select("node").distinct().join(nodes.select("node", "first_id"), "node"), "minhash-wanted")
+    may = Sieve(wanted, F.xxhash64("first_id", "node")).marked(slim.withColumn("node", _node()), F.xxhash64("doc_id", "node"), "may")
+    texts = may.filter("may").select("node", "doc_id", "text").join(
         wanted.select(F.col("node").alias("n"), "first_id").hint("shuffle_hash"),
         F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("node") == F.col("n")),
     )
@@ -319,13 +338,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         tested = tested.union(stars)
 
     # buckets whose nodes are not yet in one component, without the nodes that can have no link there
-    member = materialize(_unsettled(_labelled(shared.select("bucket", "node"), "node", found, "component")), "minhash-open")
+    member = materialize(_unsettled(_labelled(shared.select("bucket", "salt", "salts", "node"), "node", found, "component")), "minhash-open")
     if not member.isEmpty():
         sets = _sets(member.select("node").distinct().join(texts, "node"))
         member = materialize(_unsettled(_within_reach(member.join(_shared_weight(sets), "node"))), "minhash-open")
         # against the bucket's node with the largest shared part, the least changed of many copies of one text
-        best = member.groupBy("bucket").agg(F.max(F.struct(F.col("part") / F.col("total"), "node"))["node"].alias("best"))
-        rays = member.join(best, "bucket").filter(F.col("node") != F.col("best")).select("node", "best", "component")
+        best = _by_bucket(member, F.max(F.struct(F.col("part") / F.col("total"), "node"))["node"].alias("best"))
+        rays = member.join(best, ["bucket", "salt"]).filter(F.col("node") != F.col("best")).select("node", "best", "component")
         rays = _labelled(rays, "best", found, "cb").filter(F.col("component") != F.col("cb"))
         pairs = _untested(rays.select(F.col("node").alias("u"), F.col("best").alias("v")), tested)
         more = _links(pairs, texts, "minhash-links")
@@ -334,11 +353,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         tested = tested.union(pairs)
 
         # every pair that is left
-        member = _unsettled(_labelled(member.select("bucket", "node", "part", "total"), "node", found, "component"))
+        member = _unsettled(_labelled(member.select("bucket", "salt", "salts", "node", "part", "total"), "node", found, "component"))
         member = materialize(member, "minhash-open")
-        sizes = member.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.min("total").alias("smallest"))
-        largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("largest"), F.min("smallest").alias("smallest"))
-        minor = member.join(largest, "bucket").filter(F.col("component") != F.col("largest"))
+        sizes = member.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.min("total").alias("smallest"), F.max("salts").alias("salts"))
+        largest = _by_bucket(sizes, F.max(F.struct("n", "component"))["component"].alias("largest"), F.min("smallest").alias("smallest"))
+        minor = member.join(largest, ["bucket", "salt"]).filter(F.col("component") != F.col("largest"))
         minor = minor.groupBy(F.col("node").alias("u")).agg(
             F.first("component").alias("cu"), F.first("part").alias("pu"), F.first("total").alias("tu"), F.min("smallest").alias("smallest")
         )
@@ -350,6 +369,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 links, found = links.union(more), _merged(found, more)
     classes = _labelled(nodes.select("node", "first_id"), "node", found, "component")
     classes = materialize(classes, "minhash-classes")
+    discard(nodes, centers, shared, wanted, texts)
     smallest = F.struct(F.col("first_id").isNull().alias("no_id"), "first_id", "node")
     least = classes.groupBy("component").agg(F.min(smallest).alias("keeper"))
     classes = classes.join(least, "component").select("node", F.col("keeper.first_id").alias("class_id"), (F.col("keeper.node") == F.col("node")).alias("keeper"))
@@ -365,16 +385,24 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @bounded
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class stays, the one with the smallest id; documents without words stay all."""
+    """One document of each class stays, the one with the smallest id; documents without words stay all. Only rows that
+    may have to go (and rows that are repeated as a whole) move; all others stay where they are."""
     del spark, sf_dir
-    _, classes, _ = near_duplicates(docs)
-    keep = classes.filter("keeper").select(F.col("node").alias("__n"), F.col("class_id").alias("__id"))
-    rows = docs.withColumn("__node", _node())
-    wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    copy = W.partitionBy("__node", "doc_id").orderBy(F.lit(0))
-    kept = rows.filter(~wordless).join(keep.hint("shuffle_hash"), (F.col("__node") == F.col("__n")) & F.col("doc_id").eqNullSafe(F.col("__id")))
-    kept = kept.withColumn("__rn", F.row_number().over(copy)).filter("__rn = 1")
-    return kept.select(*docs.columns).unionByName(docs.filter(wordless))
+    signed, classes, _ = near_duplicates(docs)
+    rows = signed.filter("node is not null").groupBy("doc_id", "node").agg(F.count("*").alias("n")).join(classes, "node")
+    stays = F.col("keeper") & F.col("doc_id").eqNullSafe(F.col("class_id"))
+    marked = materialize(rows.withColumn("stays", stays).filter(~F.col("stays") | (F.col("n") > 1)).select("doc_id", "node", "stays"), "minhash-marked")
+    own, node, may, stay, n = free_names(docs, "marked_id", "marked_node", "marked_may", "marked_stays", "own_node")
+    columns = [quoted(c) for c in docs.columns]
+    sieve = Sieve(marked, F.xxhash64("doc_id", "node"))
+    dealt = sieve.marked(docs.withColumn(n, _node()), F.xxhash64(F.col("doc_id").cast("long"), F.col(n)), may)
+    keys = marked.select(F.col("doc_id").alias(own), F.col("node").alias(node), F.col("stays").alias(stay))
+    checked = dealt.filter(F.col(may)).join(keys, F.col("doc_id").eqNullSafe(F.col(own)) & (F.col(n) == F.col(node)), "left")
+    out = dealt.filter(~F.col(may)).select(*columns).unionByName(checked.filter(F.col(stay).isNull()).select(*columns))
+    if marked.filter("stays").isEmpty():
+        return out
+    one = checked.filter(F.col(stay)).groupBy(own, node).agg(F.first(F.struct(*columns)).alias(n)).select(f"{n}.*")
+    return out.unionByName(one)
 
 
 SQL = r"""

@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from firnline.llm import minhash as M
 from firnline.llm.textkern import chunks
@@ -120,3 +121,34 @@ def test_clashing_columns(docs, extra):
 
     frame = docs([(1, "a b c d e f"), (2, "a b c d e f")]).withColumn(extra, F.lit(1))
     assert found(frame) == {1: 1, 2: 1}
+
+
+def test_stage_with_helper_names(spark, docs):
+    base = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(1, base), (2, base), (3, base + " more"), (4, "quite another text of some words"), (4, "quite another text of some words"), (None, "no id here at all"), (5, ""), (5, "")]
+    names = ["__n", "__id", "__node", "__rn", "node", "doc", "n", "may", "stays", "own_node", "marked_id", "sieve_word", "a.b", "marked_MAY"]
+    odd = docs(rows).withColumns({c: F.lit(c) for c in names})
+    out = M.stage(spark, odd, "")
+    got = out.collect()
+    assert out.columns == odd.columns and all(r[c] == c for r in got for c in names)
+    assert sorted((r["doc_id"] or -1) for r in got) == [-1, 1, 4, 5, 5]
+
+
+def test_hot_buckets_are_salted(spark, docs, monkeypatch):
+    monkeypatch.setattr(M, "HOT", 10**6)
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(500)]
+    base = [rng.choice(words) for _ in range(60)]
+    rows = []
+    for i in range(150):
+        t = list(base)
+        t[rng.randrange(60)] = f"x{i % 40}"
+        rows.append((i, " ".join(t)))
+    out = {r["doc_id"]: r["class_id"] for r in classes_of(docs(rows))}
+    monkeypatch.setattr(M, "HOT", 1)
+    assert out == {r["doc_id"]: r["class_id"] for r in classes_of(docs(rows))} and len(set(out.values())) < 20
+
+
+def classes_of(df):
+    rows, classes, _ = M.near_duplicates(df)
+    return rows.join(classes, "node", "left").collect()
