@@ -11,6 +11,10 @@ becomes the backpointer.
    first, the boundary falls if at some point the touching parts make a piece that merges earlier. So exactly one
    path survives the maxima, and it is the one that merging finds.
 
+A BPE word of over _LONG characters is cut into overlapping windows that advance together like words. Two windows that
+have a piece in common in their overlap are joined there: as each pair of neighbours is one that merging keeps, the joined
+path is the one that merging finds. Without such a piece the windows are doubled.
+
 A word that no piece covers falls back to bytes character by character (or to the unknown id). Words are encoded once
 per worker while they stay in a cache of CACHE_WORDS.
 
@@ -45,7 +49,9 @@ _MEMO = 1 << 20
 _LEAD = 20
 _CHUNK_CHARS = 1 << 20
 _UNKNOWN_PENALTY = 10.0
-_ROWS = 1 << 15  # words of one length that advance together
+_ROWS = 1 << 15  # words of one length that advance together,
+_CELLS = 1 << 20  # and their characters
+_LONG = 256
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -275,32 +281,80 @@ class Encoder:
             best[:, i], piece[:, i], back[:, i] = score[rows, pick], found[rows, pick], pick + 1
         return piece, back
 
+    def _best(self, group: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
+        """The pieces of words of one length, from the right end of each row (-1: a character without a piece), and
+        which places of the rows are used."""
+        code = np.frombuffer("".join(group).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, size)
+        if size > len(self.power) - 1:
+            self.power, self.inverse = powers(size + 1)
+        piece, back = self._paths(code)
+        n = len(group)
+        path, pos, rows = np.full((n, size), -2, np.int64), np.full(n, size), np.arange(n)
+        for step in range(size - 1, -1, -1):
+            open_ = pos > 0
+            if not open_.any():
+                break
+            path[:, step] = np.where(open_, piece[rows, pos], -2)
+            pos = np.where(open_, pos - back[rows, pos], 0)
+        return path, path > -2
+
     def _encode_words(self, words: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
         """(words, their ids in a row, number of ids of each), a group of equal length at a time."""
         length = np.array([len(w) for w in words])
+        if self.v.model_type == BPE and (length > _LONG).any():
+            for i in np.flatnonzero(length > _LONG).tolist():
+                path = self._long_path(words[i])
+                ids = self._fallback(words[i], path) if (path < 0).any() else path
+                yield [words[i]], ids, np.array([len(ids)])
+            words = [w for w in words if len(w) <= _LONG]
+            length = np.array([len(w) for w in words])
         for size in np.unique(length).tolist():
             where = np.flatnonzero(length == size)
-            for first in range(0, len(where), _ROWS):
-                group = [words[i] for i in where[first : first + _ROWS].tolist()]
-                code = np.frombuffer("".join(group).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, size)
-                if size > len(self.power) - 1:
-                    self.power, self.inverse = powers(size + 1)
-                piece, back = self._paths(code)
-                n = len(group)
-                path, pos, rows = np.full((n, size), -2, np.int64), np.full(n, size), np.arange(n)
-                for step in range(size - 1, -1, -1):
-                    open_ = pos > 0
-                    if not open_.any():
-                        break
-                    path[:, step] = np.where(open_, piece[rows, pos], -2)
-                    pos = np.where(open_, pos - back[rows, pos], 0)
-                used = path > -2
+            at_once = max(1, min(_ROWS, _CELLS // size))
+            for first in range(0, len(where), at_once):
+                group = [words[i] for i in where[first : first + at_once].tolist()]
+                path, used = self._best(group, size)
                 lone = (path == -1).any(axis=1)
                 yield [group[i] for i in np.flatnonzero(~lone).tolist()], path[~lone][used[~lone]], used[~lone].sum(axis=1)
                 for i in np.flatnonzero(lone).tolist():
                     ids = self._fallback(group[i], path[i][used[i]])
                     yield [group[i]], ids, np.array([len(ids)])
 
+    def _long_path(self, word: str) -> np.ndarray:
+        """The pieces of a long word by windows of `size` characters that overlap by a quarter."""
+        n, size = len(word), _LONG
+        while size < n:
+            starts = [*range(0, n - size, size - size // 4), n - size]
+            found: tuple[np.ndarray, np.ndarray] | None = None  # starts and pieces of what is joined so far
+            parts: list[tuple[np.ndarray, np.ndarray]] = []
+            at_once = max(1, _CELLS // size)
+            for first in range(0, len(starts), at_once):
+                mine = starts[first : first + at_once]
+                path, used = self._best([word[s : s + size] for s in mine], size)
+                for k, start in enumerate(mine):
+                    piece = path[k][used[k]]
+                    length = np.where(piece >= 0, self.v.length[piece], 1)
+                    at = start + np.cumsum(length) - length
+                    if found is None:
+                        found = at, piece
+                        continue
+                    common = np.intersect1d(found[0] << 24 | (found[1] + 1), at << 24 | (piece + 1), assume_unique=True)
+                    if not len(common):
+                        found = None
+                        break
+                    join = common[0] >> 24
+                    before = found[0] <= join
+                    parts.append((found[0][before], found[1][before]))
+                    found = at[at > join], piece[at > join]
+                else:
+                    continue
+                break
+            if found is not None:
+                return np.concatenate([*[p for _, p in parts], found[1]])
+            size *= 2
+        path, used = self._best([word], n)
+        return path[0][used[0]]
+
     def _fallback(self, word: str, path: np.ndarray) -> np.ndarray:
         ids, at = [], 0
         for p in path.tolist():

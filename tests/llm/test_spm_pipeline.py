@@ -1,5 +1,6 @@
 import os
 import random
+import time
 
 import pytest
 
@@ -59,6 +60,22 @@ def test_cache_can_start_over(vocabulary, monkeypatch):
         assert e.encode([t])[0].tolist() == lib.encode(t)
 
 
+def test_unbroken_texts(vocabulary):
+    """Ids equal the library's, and a text without blanks takes no longer for a character than one with them."""
+    rng = random.Random(3)
+    e, lib = spm.Encoder(vocabulary), sentencepiece.SentencePieceProcessor(model_file=spm.MODEL_PATH)
+    stems = ["the", "ing", "tion", "er", "an", "x", "q", "st", "é", "ß", "7", "A", "in"]
+    texts = ["".join(rng.choice(stems) for _ in range(n)) for n in (200, 700, 3000)]
+    texts += [u * (2500 // len(u)) for u in ("a", "ab", "abc", "hello", "=", "ha", "theing", "-=", "1234567", "antidis", "e" * 9 + "s")]
+    texts += ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCXYZ0123456789+/") for _ in range(3000)), "中" * 900 + "文字" * 500, "x" * 257, "ab" * 128 + "c"]
+    for t in texts:
+        assert e.encode([t])[0].tolist() == lib.encode(t), t[:40]
+    began = time.time()
+    long = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(200_000))
+    assert e.encode([long])[0].tolist() == lib.encode(long)
+    assert time.time() - began < 20
+
+
 def test_documents(spark, docs):
     rows = [(1, "Hello world"), (2, None), (3, ""), (4, "word " * 40000), (1, "Hello world"), (5, "a▁b")]
     out = sorted(spm.encode_documents(docs(rows)).collect(), key=lambda r: r["doc_id"])
