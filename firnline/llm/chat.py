@@ -3,7 +3,9 @@
 Messages become items: a call (a tool call in an assistant's JSON message, or a user's request), a result (a tool
 message, or the assistant's reply, which answers the message before it) or context (system messages and the
 rest). Calls and results meet in a hash join by conversation and identifier. Arguments are checked against the
-tool's schema; every reference {"$ref": id} in them must name a call of the conversation. Items are ordered so that
+tool's schema, a JSON Schema with the keywords type, enum, const, minimum, maximum, exclusiveMinimum, exclusiveMaximum,
+minLength, maxLength, pattern, properties, required, additionalProperties (a boolean), items, minItems and maxItems, at any
+depth, and notBlank (a text with something but blanks); every reference {"$ref": id} in them must name a call of the conversation. Items are ordered so that
 each call stands after the calls it refers to: by time, and where a reference runs against time the call is moved
 behind what it needs. Everything is serialised as canonical JSON (keys sorted at every depth, no blanks).
 
@@ -23,14 +25,21 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from firnline.llm.common import load, materialize
 
-#: tool -> field -> (variant type, required, whether a blank string is an error)
-SCHEMAS = {"reply": {"prompt": ("STRING", True, True), "after": ("OBJECT", False, False)}}
+#: tool -> the schema of its arguments
+SCHEMAS = {
+    "reply": {
+        "type": "object", "required": ["prompt"], "additionalProperties": False,
+        "properties": {"prompt": {"type": "string", "notBlank": True}, "after": {"type": "object"}},
+    }
+}
 MAX_ROUNDS = 24  # a name that tests set; rounds go on until none settles a call
 BLOCK_TURNS = 1024  # positions are counted in blocks of so many turns, so that no task holds a conversation
 _STEP = 1 << 20  # places between two turns
@@ -38,6 +47,13 @@ _STEP = 1 << 20  # places between two turns
 _CALLS = "array<struct<id:string,name:string,arguments:string,function:struct<name:string,arguments:string>>>"
 
 
+def references(arguments: Column) -> Column:
+    """The strings under "$ref" anywhere in JSON text, read from its canonical form, so that escapes make no difference."""
+    canonical = F.to_json(F.try_parse_json(F.when(arguments.contains("ref"), arguments)))
+    found = F.regexp_extract_all(F.coalesce(canonical, F.lit("")), F.lit(r'"\$ref":("(?:[^"\\]|\\.)+")'), F.lit(1))
+    return F.when(F.size(found) == 0, F.array().cast("array<string>")).otherwise(F.from_json(F.concat(F.lit("["), F.array_join(found, ","), F.lit("]")), "array<string>"))
+
+
 def items_of(messages: DataFrame) -> DataFrame:
     """(conv_id, turn, idx, kind, call_id, name, arguments, content, refs), a row per call, result or context."""
     turn = F.coalesce(F.col("turn").cast("long"), F.lit(-1).cast("long"))
@@ -60,7 +76,7 @@ def items_of(messages: DataFrame) -> DataFrame:
         "listed",
         lambda c: item(
             "call", c["id"], F.coalesce(c["name"], c["function"]["name"]), F.coalesce(c["arguments"], c["function"]["arguments"]), none,
-            F.regexp_extract_all(F.coalesce(c["arguments"], c["function"]["arguments"], F.lit("")), F.lit(r'"\$ref"\s*:\s*"([^"]+)"'), F.lit(1)),
+            references(F.coalesce(c["arguments"], c["function"]["arguments"])),
         ),
     )
     before = F.when(F.col("turn") >= 2, F.concat(F.lit("c"), (F.col("turn") - 2).cast("string")))
@@ -79,25 +95,96 @@ def items_of(messages: DataFrame) -> DataFrame:
     return src.select("conv_id", "turn", F.posexplode(found).alias("idx", "item")).select("conv_id", "turn", "idx", "item.*")
 
 
+_KINDS = {
+    "string": lambda v, got: got == "STRING", "boolean": lambda v, got: got == "BOOLEAN", "null": lambda v, got: got == "VOID",
+    "object": lambda v, got: got.startswith("OBJECT"), "array": lambda v, got: got.startswith("ARRAY"), "number": lambda v, got: _is_number(got),
+    "integer": lambda v, got: _is_number(got) & (F.try_variant_get(v, "$", "double") == F.floor(F.try_variant_get(v, "$", "double"))),
+}
+_LIMITS = {
+    "minimum": (lambda x, y: x < y, "under"), "maximum": (lambda x, y: x > y, "over"),
+    "exclusiveMinimum": (lambda x, y: x <= y, "not over"), "exclusiveMaximum": (lambda x, y: x >= y, "not under"),
+}
+
+
+def _is_number(got: Column) -> Column:
+    return got.startswith("DECIMAL") | got.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
+
+
+def _canonical(value) -> str:
+    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
+
+def _violations(v: Column, schema: dict, path: str) -> list[Column]:
+    """Texts (null: none) of what is wrong with a variant that is there; path: its name in them."""
+    here = path or "arguments"
+    unknown = set(schema) - {"type", "enum", "const", "notBlank", "minLength", "maxLength", "pattern", "properties", "required", "additionalProperties", "items", "minItems", "maxItems", *_LIMITS}
+    if unknown - {"description", "title", "default"}:
+        raise ValueError(f"unknown schema keywords {sorted(unknown)}")
+    got, found = F.schema_of_variant(v), []
+
+    def say(wrong: Column, text: str) -> None:
+        found.append(F.when(wrong, F.lit(f"{here} is {text}")))
+
+    if "type" in schema:
+        kinds = schema["type"] if isinstance(schema["type"], list) else [schema["type"]]
+        fits = F.lit(False)
+        for kind in kinds:
+            fits = fits | _KINDS[kind](v, got)
+        say(~fits, "not " + " or ".join(kinds))
+    for key in ("enum", "const"):
+        if key in schema:
+            allowed = schema[key] if key == "enum" else [schema[key]]
+            say(~F.to_json(v).isin(*[_canonical(x) for x in allowed]), "not one of " + " ".join(_canonical(x) for x in allowed))
+    number = F.when(_is_number(got), F.try_variant_get(v, "$", "double"))
+    for key, (wrong, text) in _LIMITS.items():
+        if key in schema:
+            say(wrong(number, F.lit(float(schema[key]))), f"{text} {schema[key]}")
+    string = F.when(got == "STRING", F.try_variant_get(v, "$", "string"))
+    if schema.get("notBlank"):
+        say(F.trim(string) == "", "blank")
+    if "minLength" in schema:
+        say(F.length(string) < schema["minLength"], f"shorter than {schema['minLength']}")
+    if "maxLength" in schema:
+        say(F.length(string) > schema["maxLength"], f"longer than {schema['maxLength']}")
+    if "pattern" in schema:
+        say(~string.rlike(schema["pattern"]), f"not like {schema['pattern']}")
+    inside = lambda name: f"{path}.{name}" if path else name
+    is_object = got.startswith("OBJECT")
+    properties = schema.get("properties", {})
+    for name in dict.fromkeys([*properties, *schema.get("required", [])]):
+        quote = next((q for q in "'\"" if q not in name), None)
+        if quote is None or "\\" in name:
+            raise ValueError(f"a field named {name}")
+        child = F.try_variant_get(F.when(is_object, v), f"$[{quote}{name}{quote}]", "variant")
+        if name in schema.get("required", []):
+            found.append(F.when(is_object & (child.isNull() | (F.schema_of_variant(child) == "VOID")), F.lit(f"{inside(name)} is missing")))
+        if properties.get(name):
+            there = child.isNotNull()
+            if "null" not in properties[name].get("type", ""):
+                there &= F.schema_of_variant(child) != "VOID"  # a null is a field that is not there
+            found += [F.when(there, x) for x in _violations(child, properties[name], inside(name))]
+    if schema.get("additionalProperties") is False:
+        extra = F.array_except(F.json_object_keys(F.when(is_object, F.to_json(v))), F.array(*[F.lit(f) for f in properties]).cast("array<string>"))
+        extra = F.array_join(F.transform(F.array_sort(extra), lambda x: F.concat(F.lit(f"{path}." if path else ""), x)), " ")
+        found.append(F.when(F.length(extra) > 0, F.concat(F.lit("unknown field "), extra)))
+    elements = F.when(got.startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>"))
+    if "minItems" in schema:
+        say(F.size(elements) < schema["minItems"], f"of fewer than {schema['minItems']} items")
+    if "maxItems" in schema:
+        say(F.size(elements) > schema["maxItems"], f"of more than {schema['maxItems']} items")
+    if schema.get("items"):
+        texts = F.transform(elements, lambda x: F.concat_ws("; ", *_violations(x, schema["items"], f"{path}[]")))
+        found.append(F.nullif(F.array_join(F.array_distinct(F.filter(texts, lambda x: x != "")), "; "), F.lit("")))
+    return found
+
+
 def schema_errors(name: Column, parsed: Column, schemas: dict) -> Column:
     """Text of all violations, empty if there are none."""
     found = [F.when(parsed.isNull(), F.lit("arguments are not JSON"))]
     found.append(F.when(~F.coalesce(name, F.lit("")).isin(*schemas), F.concat(F.lit("unknown tool "), F.coalesce(name, F.lit("null")))))
-    for tool, fields in schemas.items():
-        mine = name == tool
-        for field, (kind, required, no_blank) in fields.items():
-            value = F.try_variant_get(parsed, f"$.{field}", "variant")
-            got = F.schema_of_variant(value)
-            missing = value.isNull() | (got == "VOID")
-            if required:
-                found.append(F.when(mine & parsed.isNotNull() & missing, F.lit(f"{field} is missing")))
-            found.append(F.when(mine & ~missing & ~got.startswith(kind), F.lit(f"{field} is not {kind.lower()}")))
-            if no_blank:
-                blank = F.trim(F.try_variant_get(parsed, f"$.{field}", "string")) == ""
-                found.append(F.when(mine & ~missing & got.startswith(kind) & blank, F.lit(f"{field} is blank")))
-        keys = F.json_object_keys(F.when(mine, F.to_json(parsed)))
-        extra = F.array_except(keys, F.array(*[F.lit(f) for f in fields]))
-        found.append(F.when(F.size(extra) > 0, F.concat(F.lit("unknown field "), F.array_join(F.array_sort(extra), " "))))
+    for tool, schema in schemas.items():
+        mine = (name == tool) & parsed.isNotNull()
+        found += [F.when(mine, x) for x in _violations(parsed, schema, "")]
     return F.concat_ws("; ", *found)
 
 
@@ -153,25 +240,24 @@ def link_tool_calls(messages: DataFrame, schemas: dict | None = None) -> DataFra
     items = items_of(messages)
     at = F.struct("turn", "idx")
     key = ["conv_id", "call_id"]
-    calls = items.filter((F.col("kind") == "call") & F.col("call_id").isNotNull()).groupBy(*key).agg(F.min(at).alias("call_at"))
-    results = (
-        items.filter((F.col("kind") == "result") & F.col("call_id").isNotNull())
-        .groupBy(*key)
-        .agg(F.min(F.struct("turn", "idx", "content")).alias("result_at"))
-    )
-    ends = calls.join(results, key, "full_outer")
-    rows = items.join(ends, key, "left")
     place = F.col("turn") * _STEP + F.col("idx")
-    rows = rows.withColumn("place", place)
-
-    edges = rows.filter("kind = 'call'").select("conv_id", "call_id", "place", F.explode(F.array_distinct("refs")).alias("dep_id"))
+    named = items.filter(F.col("call_id").isNotNull() & F.col("kind").isin("call", "result"))
+    ends = named.groupBy(*key).agg(
+        F.min(F.when(F.col("kind") == "call", at)).alias("call_at"), F.min(F.when(F.col("kind") == "result", F.struct("turn", "idx", "content"))).alias("result_at")
+    )
+    calls = ends.filter("call_at is not null")
+    edges = items.filter((F.col("kind") == "call") & F.col("call_id").isNotNull()).select("conv_id", "call_id", place.alias("place"), F.explode(F.array_distinct("refs")).alias("dep_id"))
     known = calls.select("conv_id", F.col("call_id").alias("dep_id"), (F.col("call_at.turn") * _STEP + F.col("call_at.idx")).alias("dep_place"))
     edges = materialize(edges.join(known, ["conv_id", "dep_id"], "left").select("conv_id", "call_id", "place", "dep_id", "dep_place"), "chat-refs")
     dangling = edges.filter("dep_place is null").groupBy(*key).agg(F.array_join(F.array_sort(F.collect_set("dep_id")), " ").alias("dangling"))
     places, cyclic = _settle(edges.filter("dep_place is not null"))
-    rows = rows.join(dangling, key, "left")
-    rows = rows.join(places, key, "left") if places is not None else rows.withColumn("moved_to", F.lit(None).cast("long"))
-    rows = rows.join(cyclic, key, "left") if cyclic is not None else rows.withColumn("is_cyclic", F.lit(None).cast("boolean"))
+    ends = ends.join(dangling, key, "left")
+    ends = ends.join(places, key, "left") if places is not None else ends.withColumn("moved_to", F.lit(None).cast("long"))
+    ends = ends.join(cyclic, key, "left") if cyclic is not None else ends.withColumn("is_cyclic", F.lit(None).cast("boolean"))
+    # items without an identifier meet nothing; a salt keeps them from meeting in one task
+    zero = F.pmod(F.xxhash64("call_id"), F.lit(1).cast("long"))
+    salted = items.withColumn("salt", F.when(F.col("call_id").isNull(), F.xxhash64("turn", "idx", "content")).otherwise(zero))
+    rows = salted.join(ends.withColumn("salt", zero), [*key, "salt"], "left").drop("salt").withColumn("place", place)
 
     is_call, is_result = F.col("kind") == "call", F.col("kind") == "result"
     result_at = F.struct(F.col("result_at.turn").alias("turn"), F.col("result_at.idx").alias("idx"))
