@@ -58,7 +58,7 @@ def scaled_power(counts: Column, linear: Column, power: Column) -> Column:
 
 
 def window_ranges(delay: Column, n_bins: int, bandwidth: float = 3.2e8) -> Column:
-    """Range of each bin from the two-way delay to the window's centre."""
+    """Range of each bin from the two-way delay to the window's centre (the user handbook's formula)."""
     step = SPEED_OF_LIGHT / (4.0 * bandwidth)
     first = delay * (SPEED_OF_LIGHT / 2.0) - n_bins * step / 2.0
     return F.transform(F.sequence(F.lit(0), F.lit(n_bins - 1)), lambda i: first + i * step)
@@ -102,12 +102,16 @@ def ocog(w: Column, noise_bins: int = 11) -> tuple[Column, Column]:
     return F.sqrt(F.try_divide(y4, y2)), F.try_divide(y2 * y2, y4)
 
 
-def ocog_position(w: Column) -> Column:
-    y2 = total(w, lambda x: x * x)
-    moment = F.aggregate(
-        F.zip_with(w, F.sequence(F.lit(0), F.size(w) - 1), lambda x, i: x * x * i), F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0.0))
-    )
-    return F.try_divide(moment, y2)
+def ocog_properties(w: Column) -> tuple[Column, Column, Column]:
+    """(centre of gravity, amplitude, width) of the raw power; the first bin counts as 1."""
+    p, pp = total(w), total(w, lambda x: x * x)
+    moment = total(F.zip_with(w, F.sequence(F.lit(1), F.size(w)), lambda x, i: x * i))
+    return F.try_divide(moment, p), F.sqrt(F.try_divide(pp, p)), F.try_divide(p * p, pp)
+
+
+def late_tail_ratio(w: Column, first: int = 100, last: int = 140, noise_bins: int = 11) -> Column:
+    """Late tail over peak after the noise is taken off."""
+    return let(without_noise(w, noise_bins), lambda y: late_tail_to_peak(y, first, last))
 
 
 def late_tail_to_peak(w: Column, first: int, last: int) -> Column:
@@ -229,9 +233,9 @@ def pad_range(r: Column, count: int) -> Column:
 
 
 def thermal_noise(w: Column, first: int = 4, last: int = 12) -> Column:
-    """Median of the bins first .. last - 1 of the sorted first half of the waveform."""
+    """Median of the bins first .. last of the sorted first half of the waveform."""
     half = F.array_sort(F.slice(w, F.lit(1), (F.size(w) / 2).cast("int")))
-    part = F.slice(half, first + 1, last - first)
+    part = F.slice(half, first + 1, last - first + 1)
     n = F.size(part)
     return F.when(n > 0, (F.element_at(part, F.floor((n + 1) / 2).cast("int")) + F.element_at(part, F.floor((n + 2) / 2).cast("int"))) / 2.0)
 
@@ -254,12 +258,56 @@ def misfit(observed: Column, modelled: Column, scale: Column) -> Column:
 def ocog_retrack(w: Column, ranges: Column, share: float) -> tuple[Column, Column]:
     """(bin, range) where power first exceeds a share of the OCOG amplitude, interpolated between bins."""
     y2, y4 = total(w, lambda x: x * x), total(w, lambda x: x * x * x * x)
-    level = F.lit(share) * F.sqrt(F.try_divide(y4, y2))
-    above = F.filter(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.get(w, i) > level)
-    i1 = F.get(above, F.lit(0))
-    i0 = i1 - 1
-    part = F.try_divide(level - F.get(w, i0), F.get(w, i1) - F.get(w, i0))
-    return i0 + part, F.get(ranges, i0) + part * (F.get(ranges, i1) - F.get(ranges, i0))
+
+    def search(level: Column) -> Column:
+        above = F.filter(F.sequence(F.lit(1), F.greatest(F.size(w) - 1, F.lit(1))), lambda i: F.get(w, i) > level)
+        return F.struct(level.alias("level"), F.get(above, F.lit(0)).alias("i"))
+
+    def between(at: Column) -> Column:
+        i1, i0 = at["i"], at["i"] - 1
+        part = F.try_divide(at["level"] - F.get(w, i0), F.get(w, i1) - F.get(w, i0))
+        return F.struct((i0 + part).alias("bin"), (F.get(ranges, i0) + part * (F.get(ranges, i1) - F.get(ranges, i0))).alias("range"))
+
+    found = let(let(F.lit(share) * F.sqrt(F.try_divide(y4, y2)), search), between)
+    return found["bin"], found["range"]
+
+
+def tail_shape(w: Column, at: Column, pad: int = 3) -> Column:
+    """Root mean square deviation of the tail, from `pad` bins behind a bin on and over its mean, from a straight line.
+    NULL with fewer than two bins."""
+
+    def fit(tail: Column) -> Column:
+        n = F.size(tail).cast("double")
+        x = F.transform(tail, lambda _, i: i - (n - 1) / 2)
+        dot = lambda a, b: total(F.zip_with(a, b, lambda u, v: u * v))
+        spread = lambda y: F.greatest(dot(y, y) - dot(x, y) * dot(x, y) / dot(x, x), F.lit(0.0))
+        scaled = let(mean(tail), lambda level: F.transform(tail, lambda v: v / level - 1))
+        return F.when(n >= 2, F.sqrt(let(scaled, spread) / n))
+
+    start = F.floor(at).cast("int") + pad
+    return F.when((at >= 0) & (start < F.size(w)), let(window(w, start, F.size(w) - start), fit))
+
+
+def ocog_ice_retrack(w: Column, ranges: Column, share: float, early: float, skip: int = 0, pad: int = 3) -> dict[str, Column]:
+    """bin, range, leading-edge width (bins between the shares `early` and `share` of the OCOG amplitude) and tail shape.
+    The first `skip` bins take no part in the amplitude and the search. A bin outside the window gives NULL throughout."""
+    part = F.slice(w, skip + 1, F.greatest(F.size(w) - skip, F.lit(0)))
+    ends = F.struct((ocog_retrack(part, part, share)[0] + skip).alias("at"), (ocog_retrack(part, part, early)[0] + skip).alias("first"))
+
+    def properties(e: Column) -> Column:
+        at = F.when(e["at"].between(0, F.size(w) - 1), e["at"])
+        i0 = F.floor(at).cast("int")
+        rng = F.get(ranges, i0) + (at - i0) * (F.coalesce(F.get(ranges, i0 + 1), F.get(ranges, i0)) - F.get(ranges, i0))
+        return F.struct(at.alias("bin"), rng.alias("range"), (at - e["first"]).alias("leading_edge_width"), tail_shape(w, at, pad).alias("tail_shape"))
+
+    found = let(ends, properties)
+    return {k: found[k] for k in ("bin", "range", "leading_edge_width", "tail_shape")}
+
+
+def ocog_ice_valid(found: dict[str, Column], widest: float, roughest: float, first_bin: float, last_bin: float) -> Column:
+    """Whether a retracked waveform passes the filter; a property that is missing does not."""
+    ok = (found["leading_edge_width"] < widest) & (found["tail_shape"] < roughest) & (found["bin"] > first_bin) & (found["bin"] < last_bin)
+    return F.coalesce(ok, F.lit(False))
 
 
 def width_to_nu(width: Column, a: float, b: float, low: float, high: float, widest: float = 50.0) -> Column:

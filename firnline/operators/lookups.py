@@ -11,14 +11,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 48 << 20
+_WIDTH = {"long": 8, "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "int": 4, "date": 4, "float": 4, "smallint": 2, "tinyint": 1, "boolean": 1}
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it has at most so many rows; the count stops at the bound."""
+def small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """df with a broadcast hint if it has at most so many bytes, by its rows (the count stops at the bound) and their fixed
+    width; tables with strings or nested columns count 64 bytes for each of these."""
+    rows = most // max(1, sum(_WIDTH.get(kind, 64) for _, kind in df.dtypes))
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def _is_broadcast(df: DataFrame) -> bool:
+    return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+
+
 def segment_day(df: DataFrame, segment: Sequence[str], time: str, out: str = "segment_day") -> DataFrame:
     """The day of the segment's first record: the key of day-wise side tables."""
     return df.withColumn(out, F.to_date(F.min(time).over(W.partitionBy(*segment))))
@@ -35,10 +42,26 @@ def nearest_cell(df: DataFrame, raster: DataFrame, ix: Column, iy: Column, value
 
 
 def bilinear(df: DataFrame, raster: DataFrame, ix: Column, iy: Column, value: str, row_key: Sequence[str], keys: Sequence[str] = (), out: str | None = None) -> DataFrame:
-    """Bilinear interpolation: each row meets its four cells in one equi-join and sums weighted values. Rows with a
-    missing corner are NULL."""
+    """Bilinear interpolation; rows with a missing corner (of a weight above 0) are NULL. A small raster is looked up four
+    times by map joins, so that no row moves; beyond it each row meets its four cells in one equi-join and sums weighted
+    values."""
     out = out or value
     fx, fy = F.floor(ix), F.floor(iy)
+    cells = small(raster.select(*keys, "ix", "iy", F.col(value).alias("__v")))
+    if _is_broadcast(cells):
+        plain = raster.select(*keys, "ix", "iy", F.col(value).cast("double").alias("__v"))
+        base = df.withColumns({"__fx": fx.cast("int"), "__fy": fy.cast("int"), "__px": ix - fx, "__py": iy - fy})
+        total = F.lit(0.0)
+        for i in (0, 1):
+            for j in (0, 1):
+                corner = plain.select(*[F.col(k).alias(f"__k_{k}") for k in keys], (F.col("ix") - i).alias("__cx"), (F.col("iy") - j).alias("__cy"), F.col("__v").alias(f"__v{i}{j}"))
+                meets = (F.col("__fx") == F.col("__cx")) & (F.col("__fy") == F.col("__cy"))
+                for k in keys:
+                    meets &= F.col(k) == F.col(f"__k_{k}")
+                base = base.join(F.broadcast(corner), meets, "left").drop("__cx", "__cy", *[f"__k_{k}" for k in keys])
+                w = (F.col("__px") if i else 1 - F.col("__px")) * (F.col("__py") if j else 1 - F.col("__py"))
+                total = total + F.when(w > 0, w * F.col(f"__v{i}{j}")).when(w == 0, F.lit(0.0))
+        return base.withColumn("__out", total).select(*[c for c in df.columns if c != out], F.col("__out").alias(out))
     corners = F.array(*[
         F.struct((fx + i).cast("int").alias("ix"), (fy + j).cast("int").alias("iy"),
                  (((ix - fx) if i else (1 - (ix - fx))) * ((iy - fy) if j else (1 - (iy - fy)))).alias("w"))
@@ -115,8 +138,11 @@ def interpolate_to(df: DataFrame, reference: DataFrame, key: Sequence[str], x: s
 
 
 def monthly_coefficients(df: DataFrame, table: DataFrame, month: Column, key: str = "month") -> DataFrame:
-    """The twelve-row coefficient table joined by month."""
-    return df.withColumn(key, month.cast("int")).join(F.broadcast(table.limit(12)), key, "left")
+    """The coefficient table joined by month; a month that it holds twice is an error."""
+    twice = table.groupBy(key).count().filter("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"month {twice[0][key]} has several rows of coefficients")
+    return df.withColumn(key, month.cast("int")).join(small(table), key, "left")
 
 
 def between_months(day: Column, reference_day: int = 15) -> tuple[Column, Column, Column]:

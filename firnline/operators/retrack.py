@@ -194,128 +194,197 @@ def retrack_by_surface(df: DataFrame, retrackers: Mapping[int, Column], altitude
     }).drop("__r")
 
 
-def least_squares(model, x: np.ndarray, y: np.ndarray, start: np.ndarray, low=None, high=None, rounds: int = 60) -> tuple[np.ndarray, np.ndarray]:
-    """Levenberg-Marquardt with a numerical Jacobian and box bounds. (parameters, residual)."""
+def least_squares(model, y: np.ndarray, start: np.ndarray, low=None, high=None, weight: np.ndarray | None = None, rounds: int = 80) -> tuple[np.ndarray, np.ndarray]:
+    """Levenberg-Marquardt for many series at once, with numerical Jacobians and box bounds. model: (rows, parameters)
+    -> (rows, bins); y: (rows, bins); weight: 0 for bins that take no part. (parameters, residuals)."""
     p = np.array(start, float)
-    low = np.full(len(p), -np.inf) if low is None else np.asarray(low, float)
-    high = np.full(len(p), np.inf) if high is None else np.asarray(high, float)
-    p, damping = np.clip(p, low, high), 1e-2
-    res = y - model(x, p)
-    cost = float(res @ res)
-    for _ in range(rounds):
-        h = 1e-6 * np.maximum(np.abs(p), 1e-3)
-        jac = np.stack([(model(x, p + np.eye(len(p))[k] * h[k]) - model(x, p - np.eye(len(p))[k] * h[k])) / (2 * h[k]) for k in range(len(p))], axis=1)
-        a, g = jac.T @ jac, jac.T @ res
-        for _ in range(12):
-            try:
-                step = np.linalg.solve(a + damping * np.diag(np.diag(a) + 1e-12), g)
-            except np.linalg.LinAlgError:
-                damping *= 10
-                continue
-            new = np.clip(p + step, low, high)
-            new_res = y - model(x, new)
-            new_cost = float(new_res @ new_res)
-            if np.isfinite(new_cost) and new_cost < cost:
+    k = p.shape[1]
+    low = np.full(k, -np.inf) if low is None else np.asarray(low, float)
+    high = np.full(k, np.inf) if high is None else np.asarray(high, float)
+    w = np.ones_like(y) if weight is None else weight
+    p, damping, live = np.clip(p, low, high), np.full(len(p), 1e-2), np.ones(len(p), bool)
+    with np.errstate(all="ignore"):
+        res = (y - model(p)) * w
+        cost = (res * res).sum(1)
+        for _ in range(rounds):
+            if not live.any():
                 break
-            damping *= 10
-        else:
-            break
-        done = cost - new_cost <= 1e-12 * (cost + 1e-30)
-        p, res, cost, damping = new, new_res, new_cost, max(damping / 10, 1e-9)
-        if done:
-            break
+            h = 1e-6 * np.maximum(np.abs(p), 1e-3)
+            jac = np.stack([(model(p + h * (np.arange(k) == j)) - model(p - h * (np.arange(k) == j))) / (2 * h[:, j : j + 1]) * w for j in range(k)], axis=2)
+            jac = np.nan_to_num(jac)
+            a, g = np.einsum("rbi,rbj->rij", jac, jac), np.einsum("rbi,rb->ri", jac, res)
+            scale = np.einsum("rii->ri", a) + 1e-12
+            waiting, moved = live.copy(), np.zeros(len(p), bool)
+            for _ in range(12):
+                if not waiting.any():
+                    break
+                step = np.linalg.solve(a + (damping[:, None] * scale)[:, :, None] * np.eye(k), g[:, :, None])[:, :, 0]
+                new = np.clip(p + step, low, high)
+                new_res = (y - model(new)) * w
+                new_cost = (new_res * new_res).sum(1)
+                better = waiting & np.isfinite(new_cost) & (new_cost < cost)
+                done = better & (cost - new_cost <= 1e-13 * (cost + 1e-30))
+                p[better], res[better], cost[better] = new[better], new_res[better], new_cost[better]
+                damping[better] = np.maximum(damping[better] / 10, 1e-9)
+                live[done] = False
+                moved |= better
+                waiting &= ~better
+                damping[waiting] *= 10
+            live &= moved
     return p, res
 
 
 def lead_model(t: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """Amplitude * exp(-F^2): F is linear on the leading edge, joined by a cubic to a square root on the tail. Parameters:
-    amplitude, epoch, width, tail scale, joint."""
-    a, t0, sigma, k, tb = p
-    sigma, tb, k = max(abs(sigma), 1e-6), max(abs(tb), 1e-6), max(abs(k), 1e-6)
-    d = t - t0
-    root = np.sqrt(k * tb)
-    slope_end = k / (2 * root)
-    # cubic c1 d + c2 d^2 + c3 d^3 meets the line's slope at 0 and the root's value and slope at tb
-    c1 = 1 / sigma
-    c3 = (slope_end * tb + c1 * tb - 2 * root) / tb**3
-    c2 = (root - c1 * tb - c3 * tb**3) / tb**2
-    f = np.where(d < 0, d / sigma, np.where(d < tb, c1 * d + c2 * d**2 + c3 * d**3, np.sqrt(np.maximum(k * d, 0))))
-    return a * np.exp(-np.minimum(f * f, 700))
-
-
-def lead_retracker(max_rms: float = 0.3, max_tail: float = 100.0):
-    """A pandas UDF (power, range) -> range, amplitude, rms, tail power, flag of the lead model's fit."""
-
-    @F.pandas_udf("struct<range:double,amplitude:double,rms:double,tail:double,ok:boolean>")
-    def retrack(power: pd.Series, rng: pd.Series) -> pd.DataFrame:
-        out = []
-        for w, r in zip(power, rng):
-            if w is None or r is None or not np.isfinite(np.asarray(w, float)).all() or len(w) < 8 or max(w) <= 0:
-                out.append((None, None, None, None, False))
+    """alpha * exp(-F^2) for rows of parameters (epoch, k, sigma, alpha): F is a line of slope 1 / sigma up to the epoch, a
+    square root of k times the delay from k sigma^2 behind it on, and a cubic with the same values and slopes between."""
+    t0, k, sigma, alpha = (p[:, i : i + 1] for i in range(4))
+    d, joint = t - t0, k * sigma**2
+    cubic = d / sigma + d**2 / (2 * k * sigma**3) - d**3 / (2 * k**2 * sigma**5)
+    f = np.where(d <= 0, d / sigma, np.where(d < joint, cubic, np.sqrt(np.maximum(k * d, 0))))
+    return alpha * np.exp(-np.minimum(f * f, 700))
+
+
+@dataclass(frozen=True)
+class LeadFilter:
+    """Bounds that a lead must keep, all strict; sigma0_least None: no bound."""
+
+    sigma_most: float = 20.0
+    peak_bin_least: float = 0.0
+    sigma0_least: float | None = None
+    peak_away_most: float = 10.0
+    tail_most: float = 100.0
+    rms_most: float = 0.3
+    first_bin: float = 0.0
+    last_bin: float = 1e9
+
+
+def fit_leads(w: np.ndarray, skip: int = 0, k: float = 1.0, sigma: float = 1.0) -> dict[str, np.ndarray]:
+    """The lead model fitted to rows of finite power, from their peak with k and sigma as first guess. rms: over the five
+    bins that end at the retracked one; tail: power from three bins behind it on; both over alpha."""
+    part = w[:, skip:]
+    top = part.argmax(axis=1)
+    scale = np.maximum(part.max(axis=1), 1e-300)
+    t = np.arange(part.shape[1], dtype=float)[None, :]
+    start = np.column_stack([top, np.full(len(w), k), np.full(len(w), sigma), np.ones(len(w))])
+    p, _ = least_squares(lambda q: lead_model(t, q), part / scale[:, None], start, [-np.inf, 1e-4, 1e-4, 1e-6])
+    p = p * np.column_stack([np.ones((len(w), 3)), scale])
+    at = skip + p[:, 0]
+    shifted = np.column_stack([at, p[:, 1:]])
+    model = lead_model(np.arange(w.shape[1], dtype=float)[None, :], shifted)
+    point = np.trunc(at)[:, None]
+    bins = np.arange(w.shape[1])[None, :]
+    near = (bins >= point - 4) & (bins <= point)
+    rms = np.sqrt((np.where(near, w - model, 0.0) ** 2).sum(1) / 5) / p[:, 3]
+    tail = np.where(bins >= point + 3, w, 0.0).sum(1) / p[:, 3]
+    return {"retracked_bin": at, "maximum_power_bin": top.astype(float), "k": p[:, 1], "sigma": p[:, 2], "alpha": p[:, 3], "rms": rms, "tail": tail}
+
+
+def lead_retracker(bounds: LeadFilter = LeadFilter(), skip: int = 0, k: float = 1.0, sigma: float = 1.0):
+    """A pandas UDF (power, range, sigma0) -> range, retracked bin, peak bin, k, sigma, alpha, rms, tail and whether all
+    bounds are kept. Waveforms that are missing, not finite or without power have none; range is NULL outside the window."""
+    fields = ("range", "retracked_bin", "maximum_power_bin", "k", "sigma", "alpha", "rms", "tail")
+
+    @F.pandas_udf("struct<" + ",".join(f"{f}:double" for f in fields) + ",ok:boolean>")
+    def retrack(power: pd.Series, rng: pd.Series, sigma0: pd.Series) -> pd.DataFrame:
+        w, r = _matrix(power), _matrix(rng)
+        out = {f: np.full(len(power), np.nan) for f in fields}
+        lengths = power.map(lambda x: 0 if x is None else len(x)).to_numpy()
+        for n in np.unique(lengths[lengths >= skip + 8]).tolist():
+            rows = np.flatnonzero((lengths == n) & np.isfinite(w[:, :n]).all(axis=1) & (w[:, skip:n].max(axis=1, initial=0) > 0))
+            if not len(rows):
                 continue
-            y, x = np.asarray(w, float), np.arange(len(w), dtype=float)
-            top = int(y.argmax())
-            scale = y[top]
-            p, res = least_squares(lead_model, x, y / scale, np.array([1.0, top, 1.0, 1.0, 3.0]))
-            near = slice(max(top - 2, 0), top + 3)
-            rms = float(np.sqrt(np.mean(res[near] ** 2)) / max(abs(p[0]), 1e-9))
-            tail = float(y[top + 3 :].sum() / scale / max(abs(p[0]), 1e-9))
-            ok = bool(0 <= p[1] <= len(y) - 1 and rms <= max_rms and tail <= max_tail)
-            out.append((float(np.interp(p[1], x, np.asarray(r, float))) if ok else None, float(p[0] * scale), rms, tail, ok))
-        return pd.DataFrame(out, columns=["range", "amplitude", "rms", "tail", "ok"])
+            got = fit_leads(w[rows, :n], skip, k, sigma)
+            for f, v in got.items():
+                out[f][rows] = v
+            at, inside = got["retracked_bin"], (got["retracked_bin"] >= 0) & (got["retracked_bin"] <= n - 1)
+            i = np.clip(np.floor(np.nan_to_num(at)), 0, n - 2).astype(int)
+            if r.shape[1] >= n:
+                value = r[rows, i] + (at - i) * (r[rows, i + 1] - r[rows, i])
+                out["range"][rows] = np.where(inside, value, np.nan)
+        ok = (out["sigma"] < bounds.sigma_most) & (out["maximum_power_bin"] > bounds.peak_bin_least) & (np.abs(out["retracked_bin"] - out["maximum_power_bin"]) < bounds.peak_away_most)
+        ok &= (out["tail"] < bounds.tail_most) & (out["rms"] < bounds.rms_most) & (out["retracked_bin"] > bounds.first_bin) & (out["retracked_bin"] < bounds.last_bin)
+        if bounds.sigma0_least is not None:
+            ok &= sigma0.to_numpy(float) > bounds.sigma0_least
+        return pd.DataFrame({f: pd.Series(v).where(np.isfinite(v), None) for f, v in out.items()} | {"ok": ok})
 
     return retrack
 
 
-def lower_envelope(y: np.ndarray, start: int, passes: int = 5) -> np.ndarray:
-    """Bins of the trailing edge that are local minima and, after up to five cleaning passes, fall monotonically."""
-    n = len(y)
-    at = np.arange(n)
-    inner = (at > start) & (at < n - 1)
-    left, right = np.roll(y, 1), np.roll(y, -1)
-    keep = inner & (y <= left) & (y <= right)
+def lower_envelope(y: np.ndarray, start: int, noise: float = 0.02, passes: int = 5) -> np.ndarray:
+    """Indices of the trailing edge's lower envelope: its first and last bin and the strict local minima between, without
+    those that do not fall below the one before (in some passes) and without those above any earlier one by the noise level
+    (in shares of the edge's highest power)."""
+    tail = y[start:] / np.nanmax(y[start:])
+    inner = np.flatnonzero((tail[1:-1] < tail[:-2]) & (tail[1:-1] < tail[2:])) + 1
+    rows = np.concatenate([[0], inner, [len(tail) - 1]])
     for _ in range(passes):
-        rows = np.flatnonzero(keep)
-        if len(rows) < 3:
-            break
-        high = np.zeros(len(rows), bool)
-        high[1:-1] = y[rows[1:-1]] > np.maximum(y[rows[:-2]], y[rows[2:]])
-        if not high.any():
+        falls = np.concatenate([[True], np.diff(tail[rows]) < 0])
+        if falls.all():
             break
-        keep[rows[high]] = False
-    return keep
-
-
-def trailing_edge_fit(floor: float = 0.02):
-    """A pandas UDF power -> decay, offset, R^2, MAD, width, quality and power ratio of an inverse-power fit to the
-    lower envelope of the trailing edge, its scale fixed to the peak."""
-
-    @F.pandas_udf("struct<decay:double,offset:double,r2:double,mad:double,width:double,quality:double,power_ratio:double>")
-    def fit(power: pd.Series) -> pd.DataFrame:
-        out = []
-        for w in power:
-            y = np.asarray(w, float) if w is not None else np.zeros(0)
-            if len(y) < 8 or not np.isfinite(y).all() or y.max() <= 0:
-                out.append((None,) * 7)
-                continue
-            y = y / y.max()
-            top = int(y.argmax())
-            mask = lower_envelope(y, top)
-            rows = np.flatnonzero(mask)
-            if len(rows) < 3:
-                out.append((None,) * 7)
-                continue
-            x, v = (rows - top + 1).astype(float), y[rows]
-            model = lambda t, p: t ** (-p[0]) + p[1]
-            p, res = least_squares(model, x, v, np.array([1.0, 0.0]), [0.0, -1.0], [20.0, 1.0])
-            tot = float(((v - v.mean()) ** 2).sum())
-            full_x = np.arange(1, len(y) - top + 1, dtype=float)
-            fitted = model(full_x, p)
-            over = np.flatnonzero(fitted < floor)
-            width = float(over[0]) if len(over) else float(len(full_x))
-            ratio = float(y[top:].sum() / max(fitted.sum(), 1e-12))
-            quality = float(np.abs(y[top:] - fitted).mean())
-            out.append((float(p[0]), float(p[1]), 1 - float(res @ res) / tot if tot > 0 else None, float(np.median(np.abs(res - np.median(res)))), width, quality, ratio))
-        return pd.DataFrame(out, columns=["decay", "offset", "r2", "mad", "width", "quality", "power_ratio"])
+        rows = rows[falls]
+    if len(rows) > 1:
+        lowest = np.minimum.accumulate(tail[rows[:-1]])[np.minimum(np.arange(len(rows)), len(rows) - 2)]
+        rows = rows[tail[rows] < lowest + noise]
+    return rows + start
+
+
+_TRAILING = ("scale", "decay", "offset", "r2", "mad", "width", "quality", "power_ratio")
+
+
+def trailing_edge(w: np.ndarray, start: np.ndarray, floor: float = 0.05, oversampling: int = 10, noise: float = 0.005) -> dict[str, np.ndarray]:
+    """Rows of finite power of one length: scale * x^-decay + offset (scale: the power at the first maximum, x from 1 there)
+    fitted to the lower envelope behind the first maximum, and over the whole trailing edge the fit's R^2, the median
+    absolute deviation, the bins until the fit falls to `floor` of the scale, the share of power drops, and the power
+    above fit and noise over the waveform's."""
+    n, bins = w.shape
+    scale = w[np.arange(n), start]
+    at = np.arange(bins)[None, :]
+    x = np.maximum(at - start[:, None] + 1.0, 1.0)
+    mask = np.zeros((n, bins))
+    for i in range(n):
+        mask[i, lower_envelope(w[i], int(start[i]), noise)] = 1.0
+    tail = at >= start[:, None]
+    unit = np.maximum(scale, 1e-300)[:, None]
+    model = lambda p: x ** -p[:, :1] + p[:, 1:]
+    p, _ = least_squares(model, w / unit, np.tile([0.75, 0.0], (n, 1)), [0.0, -np.inf], [5.0, np.inf], mask)
+    fit = model(p) * unit
+    size = tail.sum(1)
+    mean = np.where(tail, w, 0.0).sum(1) / size
+    residual = np.where(tail, w - fit, np.nan)
+    total = np.where(tail, (w - mean[:, None]) ** 2, 0.0).sum(1)
+    drops = np.where(tail[:, :-1], np.maximum(w[:, :-1] - w[:, 1:], 0.0), 0.0).sum(1)
+    higher = tail & (w > fit + noise * scale[:, None])
+    width = np.full(n, np.nan)
+    for i in range(n):
+        fine = np.around(np.linspace(0, size[i] - 1, size[i] * oversampling + 1) + start[i], 1)
+        level = np.interp(fine, np.arange(start[i], bins), fit[i, start[i] :])
+        under = np.flatnonzero(level <= floor * scale[i])
+        if len(under):
+            width[i] = fine[under[0]] - start[i]
+    with np.errstate(all="ignore"):
+        return {
+            "scale": scale, "decay": p[:, 0], "offset": p[:, 1] * scale, "r2": np.where(total > 0, 1 - np.nansum(residual**2, axis=1) / total, np.nan),
+            "mad": np.nanmedian(np.abs(residual), axis=1), "width": width, "quality": drops / scale,
+            "power_ratio": np.where(higher, w - fit, 0.0).sum(1) / w.sum(1),
+        }
+
+
+def trailing_edge_fit(floor: float = 0.05, oversampling: int = 10, first: int = 0, last: int = 1 << 30):
+    """A pandas UDF (power, first maximum index) -> the outputs of trailing_edge(). Waveforms whose first maximum is outside
+    first .. last, with fewer than four bins behind it, or without finite power have none."""
+
+    @F.pandas_udf("struct<" + ",".join(f"{f}:double" for f in _TRAILING) + ">")
+    def fit(power: pd.Series, index: pd.Series) -> pd.DataFrame:
+        w, start = _matrix(power), index.fillna(-1).to_numpy(np.int64)
+        out = {f: np.full(len(power), np.nan) for f in _TRAILING}
+        lengths = power.map(lambda x: 0 if x is None else len(x)).to_numpy()
+        for n in np.unique(lengths[lengths > 0]).tolist():
+            ok = (lengths == n) & (start >= max(first, 0)) & (start <= min(last, n - 4)) & np.isfinite(w[:, :n]).all(axis=1)
+            rows = np.flatnonzero(ok)
+            rows = rows[w[rows, start[rows]] > 0]
+            if len(rows):
+                for f, v in trailing_edge(w[rows, :n], start[rows], floor, oversampling).items():
+                    out[f][rows] = v
+        return pd.DataFrame({f: pd.Series(v).where(np.isfinite(v), None) for f, v in out.items()})
 
     return fit

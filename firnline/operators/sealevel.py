@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from firnline.functions.geodesy import great_circle
 from firnline.functions.physics import sea_level_uncertainty
 from firnline.functions.vocab import is_surface
-from firnline.operators.windows import Track, box_smooth, fill_gaps, flag_distance
+from firnline.operators.windows import Track, box_smooth, fill_gaps, flag_distance, odd_window
 
 
 def footprint_spacing(df: DataFrame, track: Track, lon: str = "longitude", lat: str = "latitude", out: str = "spacing") -> DataFrame:
@@ -89,30 +89,52 @@ def lowess_smooth(df: DataFrame, track: Track, column: str, window: str | int, o
     return _per_segment(df, track, out or f"{column}_lowess", values)
 
 
-def gaussian_process(df: DataFrame, track: Track, column: str, length: float, noise: float, out: str | None = None) -> DataFrame:
-    """Gaussian-process mean with a Matern 3/2 kernel over the record index plus white noise, at every record."""
+def matern_mean(y: np.ndarray, length: float, noise: float) -> np.ndarray:
+    """The mean of a Gaussian process over the index with a Matern 3/2 kernel of variance var(y) plus white noise. Such a
+    process is a linear recursion of two states (value and slope), so a filter forth and a smoother back give it exactly,
+    in time linear in the series; values that are missing are skipped."""
+    known = np.isfinite(y)
+    if known.sum() < 2:
+        return np.full(len(y), np.nan)
+    mean, var = y[known].mean(), max(y[known].var(), 1e-12)
+    rate = np.sqrt(3.0) / length
+    decay = np.exp(-rate)
+    step = decay * np.array([[1 + rate, 1.0], [-(rate**2), 1 - rate]])
+    rest = var * np.diag([1.0, rate**2])
+    drive = rest - step @ rest @ step.T
+    n, unsure = len(y), noise**2 + 1e-10
+    m, c = np.zeros(2), rest
+    ahead_m, ahead_c, now_m, now_c = np.zeros((n, 2)), np.zeros((n, 2, 2)), np.zeros((n, 2)), np.zeros((n, 2, 2))
+    for i in range(n):
+        if i:
+            m, c = step @ m, step @ c @ step.T + drive
+        ahead_m[i], ahead_c[i] = m, c
+        if known[i]:
+            gain = c[:, 0] / (c[0, 0] + unsure)
+            m, c = m + gain * (y[i] - mean - m[0]), c - np.outer(gain, c[0])
+        now_m[i], now_c[i] = m, c
+    out = np.empty(n)
+    out[-1] = m[0]
+    for i in range(n - 2, -1, -1):
+        gain = now_c[i] @ step.T @ np.linalg.inv(ahead_c[i + 1])
+        m = now_m[i] + gain @ (m - ahead_m[i + 1])
+        out[i] = m[0]
+    return out + mean
 
-    def values(pdf: pd.DataFrame) -> np.ndarray:
-        y = pdf[column].to_numpy(float)
-        ok = np.isfinite(y)
-        if ok.sum() < 2:
-            return np.full(len(y), np.nan)
-        x = np.arange(len(y), dtype=float)
-        kernel = lambda a, b: (1 + np.sqrt(3) * np.abs(a[:, None] - b) / length) * np.exp(-np.sqrt(3) * np.abs(a[:, None] - b) / length)
-        mean, var = y[ok].mean(), max(y[ok].var(), 1e-12)
-        chol = np.linalg.cholesky(var * kernel(x[ok], x[ok]) + (noise**2 + 1e-10) * np.eye(ok.sum()))
-        alpha = np.linalg.solve(chol.T, np.linalg.solve(chol, y[ok] - mean))
-        return mean + var * kernel(x, x[ok]) @ alpha
 
-    return _per_segment(df, track, out or f"{column}_gp", values)
+def gaussian_process(df: DataFrame, track: Track, column: str, length: float, noise: float, out: str | None = None) -> DataFrame:
+    """Gaussian-process mean with a Matern 3/2 kernel over the record index plus white noise, at every record."""
+    return _per_segment(df, track, out or f"{column}_gp", lambda pdf: matern_mean(pdf[column].to_numpy(float), length, noise))
 
 
 @dataclass(frozen=True)
 class SeaLevel:
-    """Options: filter widths in records; tie points from these surface types; uncertainty from u_min at a tie point to u_max
-    at u_dist records; values farther than max_dist records from a tie point are dropped."""
+    """Options: filter width in records, or (filter_width_m) in metres; tie points from these surface types; uncertainty from
+    u_min at a tie point to u_max at u_dist; values farther than max_dist from a tie point are dropped. Distances are records,
+    or metres with filter_width_m, converted by the segment's footprint spacing."""
 
     filter_window: int = 51
+    filter_width_m: float | None = None
     tie_types: Sequence[str] = ("lead",)
     u_min: float = 0.02
     u_max: float = 0.10
@@ -126,17 +148,26 @@ def tie_points(surface: Column, elevation: Column, names: Sequence[str]) -> Colu
     return F.coalesce(is_surface(surface, *names) & elevation.isNotNull(), F.lit(False))
 
 
-def smoothed_linear(df: DataFrame, track: Track, o: SeaLevel = SeaLevel(), elevation: str = "elevation", mss: str = "mean_sea_surface", surface: str = "surface_type") -> DataFrame:
+def smoothed_linear(
+    df: DataFrame, track: Track, o: SeaLevel = SeaLevel(), elevation: str = "elevation", mss: str = "mean_sea_surface", surface: str = "surface_type",
+    longitude: str = "longitude", latitude: str = "latitude", spacing: str | None = None,
+) -> DataFrame:
     """sea_level_anomaly_raw (at tie points), sea_level_anomaly and its uncertainty, tie_distance: tie points are
     smoothed, restricted to tie points, interpolated to all records (ends held) and smoothed again."""
     tie = tie_points(F.col(surface), F.col(elevation), o.tie_types)
     base = df.withColumns({"__tie": tie, "__pos": track.position()})
     base = base.withColumn("sea_level_anomaly_raw", F.when(F.col("__tie"), F.col(elevation) - F.col(mss)))
-    base = box_smooth(base, track, "sea_level_anomaly_raw", o.filter_window, "__s1")
+    window: int | str = o.filter_window
+    if o.filter_width_m is not None:
+        base = footprint_spacing(base, track, longitude, latitude, "__metres") if spacing is None else base.withColumn("__metres", F.col(spacing))
+        window, base = "__window", base.withColumn("__window", odd_window(F.lit(float(o.filter_width_m)), F.col("__metres")))
+    base = box_smooth(base, track, "sea_level_anomaly_raw", window, "__s1")
     base = base.withColumn("__s1", F.when(F.col("__tie"), F.col("__s1")))
     base = base.withColumn("__s2", fill_gaps(track, F.col("__s1"), F.col("__pos"), "hold"))
-    base = box_smooth(base, track, "__s2", o.filter_window, "__s3")
+    base = box_smooth(base, track, "__s2", window, "__s3")
     distance = flag_distance(track, F.col("__tie"), F.col("__pos"))
+    if o.filter_width_m is not None:
+        distance = distance * F.col("__metres")
     ties = F.sum(F.col("__tie").cast("int")).over(track.whole)
     base = base.withColumns({"tie_distance": distance, "__ties": ties})
     drop = F.col("__ties") < o.least_ties
@@ -146,7 +177,7 @@ def smoothed_linear(df: DataFrame, track: Track, o: SeaLevel = SeaLevel(), eleva
         drop = drop | is_surface(F.col(surface), *o.drop_types)
     sla = F.when(~drop, F.col("__s3"))
     unc = F.when(sla.isNotNull(), sea_level_uncertainty(F.col("tie_distance"), o.u_min, o.u_max, o.u_dist))
-    return base.withColumns({"sea_level_anomaly": sla, "sea_level_anomaly_uncertainty": unc}).drop("__tie", "__pos", "__s1", "__s2", "__s3", "__ties")
+    return base.withColumns({"sea_level_anomaly": sla, "sea_level_anomaly_uncertainty": unc}).drop("__tie", "__pos", "__s1", "__s2", "__s3", "__ties", "__metres", "__window")
 
 
 def raw_anomaly(surface: Column, elevation: Column, mss: Column, names: Sequence[str]) -> Column:
@@ -164,37 +195,95 @@ def deviation_filter(df: DataFrame, track: Track, column: str, half: int, up: fl
     return base.withColumn(keep, F.coalesce(inside, F.lit(False))).drop("__fit", "__res", "__sd")
 
 
-def transition_zone(df: DataFrame, track: Track, sic: str, width: str, freeboard: str, reach: int, ocean_reach: int, width_least: float, gradient_least: float, out: str = "flag_miz") -> DataFrame:
-    """Marginal-ice-zone flag at ice edges: 1 on the ice side within `reach` records of an edge; 2 on the impacted
-    range (from the edge while the smoothed freeboard falls) if the ocean side's mean edge width or the freeboard
-    gradient at the edge is large. The first edge along the track that flags a record decides."""
+@dataclass(frozen=True)
+class IceEdge:
+    """Options of the marginal zone at ice edges: filter widths in metres, freeboard gradient in metres per kilometre."""
+
+    ice_width: float
+    ocean_width: float
+    smoother_width: float
+    gradient_least: float
+    edge_width_least: float
+    post_window: int = 11
+
+
+def _records(width: float, spacing: float) -> int:
+    return int(width / spacing) // 2 * 2 + 1
+
+
+def filtered_freeboard(freeboard: np.ndarray, window: int, post: int = 11) -> np.ndarray:
+    """Local regression without gaps, then a moving mean but for `post` records at each end of what it reaches."""
+    known = np.flatnonzero(np.isfinite(freeboard))
+    n = len(freeboard)
+    if len(known) < 2:
+        return np.full(n, np.nan)
+    fit = lowess(freeboard[known], window, 3, known.astype(float))
+    whole = np.interp(np.arange(n), known, fit, np.nan, np.nan)
+    ok = np.isfinite(whole)
+    half = post // 2
+    count = np.convolve(ok, np.ones(post), "full")[half : half + n]
+    total = np.convolve(np.where(ok, whole, 0.0), np.ones(post), "full")[half : half + n]
+    out = np.where(count > 0, total / np.maximum(count, 1), np.nan)
+    first, last = max(known[0] - half, 0), min(known[-1] + half, n - 1)
+    out[first : first + post] = whole[first : first + post]
+    out[max(last - post, 0) : last + 1] = whole[max(last - post, 0) : last + 1]
+    return out
+
+
+def impacted_records(level: np.ndarray, gradient: np.ndarray, edge: int, ice_is_left: bool) -> np.ndarray:
+    """From the edge to the first reversal of the freeboard's trend; reversals go on being passed while every second one
+    is lower still."""
+    sign = np.sign(gradient)
+    turns = np.flatnonzero((sign[1:] != sign[:-1]) & np.isfinite(gradient[:-1]))[:-1]  # the last is the data's end
+    if not len(turns):
+        return turns
+    order = turns[[len(turns) - 1, *range(len(turns) - 2, 0, -2)]] if ice_is_left else turns[::2]
+    reach = order[0]
+    for turn in order[1:]:
+        if not level[reach] > level[turn]:
+            break
+        reach = turn
+    return np.arange(reach, edge + 1) if ice_is_left else np.arange(edge, reach)
+
+
+def ice_edge_flags(sic: np.ndarray, width: np.ndarray, freeboard: np.ndarray, distance: np.ndarray, spacing: float, o: IceEdge) -> np.ndarray:
+    """-1 away from ice edges, 1 near one, 2 where the freeboard is under the waves' influence. The first edge along the
+    track that says something of a record decides."""
+    n = len(sic)
+    flag = np.full(n, -1)
+    if n < 3 or not np.isfinite(spacing) or spacing <= 0:
+        return flag
+    ice = sic > 15.0
+    edges = [i for i in np.flatnonzero(ice[1:] != ice[:-1]).tolist() if i >= 1 and np.isfinite(sic[i - 1 : i + 2]).all()]
+    if not edges:
+        return flag
+    level = filtered_freeboard(freeboard, _records(o.smoother_width, spacing), o.post_window)
+    gradient = np.concatenate([[np.nan], np.diff(level)]) * (1000.0 / spacing)
+    sloped = np.flatnonzero(np.isfinite(gradient))
+    at = np.arange(n)
+    for edge in edges:
+        ice_is_left = bool(sic[edge + 1] < 15.0)
+        near = (distance <= o.ice_width) & np.isfinite(sic) & (np.abs(at - edge) <= _records(o.ice_width, spacing))
+        reach = _records(o.ocean_width, spacing)
+        ocean = width[edge + 1 : min(edge + reach, n)] if ice_is_left else width[max(edge - reach, 0) : edge + 1]
+        if not freeboard[near].any() or not ocean.any() or len(sloped) < 2 or not np.isfinite(ocean).any():
+            continue
+        at_edge = abs(gradient[sloped[-1] if ice_is_left else sloped[1]])
+        mine = np.where(near, 1, 0)
+        if at_edge >= o.gradient_least or np.nanmean(ocean) >= o.edge_width_least:
+            hit = impacted_records(level, gradient, edge, ice_is_left)
+            mine[hit[(hit >= 0) & (hit < n)]] = 2
+        flag = np.where((flag == -1) & (mine > 0), mine, flag)
+    return flag
+
+
+def transition_zone(df: DataFrame, track: Track, sic: str, width: str, freeboard: str, distance: str, spacing: str, o: IceEdge, out: str = "flag_miz") -> DataFrame:
+    """ice_edge_flags() of each segment, 0 where there is no flag. spacing: a column of metres between records."""
 
     def values(pdf: pd.DataFrame) -> np.ndarray:
-        s = pdf[sic].to_numpy(float)
-        lew, frb = pdf[width].to_numpy(float), pdf[freeboard].to_numpy(float)
-        n = len(s)
-        flag = np.full(n, -1.0)
-        ice = s > 15
-        fin = np.isfinite(s)
-        edges = [i for i in range(1, n - 1) if fin[i - 1] and fin[i] and fin[i + 1] and ice[i] != ice[i - 1]]
-        known = np.flatnonzero(np.isfinite(frb))
-        smooth = np.interp(np.arange(n), known, lowess(frb[known], min(2 * reach + 1, len(known)), 1, known.astype(float))) if len(known) > 2 else np.full(n, np.nan)
-        grad = np.gradient(smooth) if n > 1 else np.zeros(n)
-        for e in edges:
-            step = 1 if ice[e] else -1  # towards the ice
-            first = e if ice[e] else e - 1
-            side = [i for i in range(first, first + step * reach, step) if 0 <= i < n]
-            side = side[: next((k for k, i in enumerate(side) if not ice[i]), len(side))]
-            sea = [i for i in range(first - step, first - step * (ocean_reach + 1), -step) if 0 <= i < n and not ice[i] and fin[i]]
-            wide = np.nanmean(lew[sea]) if len(sea) and np.isfinite(lew[sea]).any() else np.nan
-            strong = (np.isfinite(wide) and wide >= width_least) or (np.isfinite(grad[first]) and abs(grad[first]) >= gradient_least)
-            hit = 0
-            while strong and hit + 1 < len(side) and smooth[side[hit + 1]] < smooth[side[hit]]:
-                hit += 1
-            for k, i in enumerate(side):
-                if flag[i] < 0:
-                    flag[i] = 2 if strong and k <= hit else 1
-        return np.where(flag < 0, 0, flag)
+        step = pd.to_numeric(pdf[spacing]).iloc[0] if len(pdf) else np.nan
+        columns = [pd.to_numeric(pdf[c]).to_numpy(float) for c in (sic, width, freeboard, distance)]
+        return np.maximum(ice_edge_flags(*columns, float(step) if step is not None else np.nan, o), 0)
 
     return _per_segment(df, track, out, values).withColumn(out, F.col(out).cast("tinyint"))
 

@@ -88,15 +88,18 @@ def rolling_by_spacing(df: DataFrame, track: Track, column: str, window: str, pr
     return out.select(*kept, mean.alias(f"{prefix}_rolling_mean"), sdev.alias(f"{prefix}_rolling_sdev"))
 
 
-def box_smooth(df: DataFrame, track: Track, column: str, window: int, out: str | None = None) -> DataFrame:
+def box_smooth(df: DataFrame, track: Track, column: str, window: int | str, out: str | None = None) -> DataFrame:
     """Box mean whose half width shrinks towards the segment's ends (min(i, n - 1 - i, half)), of the values
-    present. Constant frames for the interior; the few shrunk frames at the ends are cases of their own."""
+    present. Constant frames for the interior; the few shrunk frames at the ends are cases of their own. window: records,
+    or a column of them (NULL gives NULL)."""
     out = out or f"{column}_smooth"
-    half = (window - 1) // 2
+    half = (window - 1) // 2 if isinstance(window, int) else F.floor((F.col(window) - 1) / 2).cast("int")
     c = F.col(column)
     base = df.withColumns({"__i": track.position(), "__n": F.count(F.lit(1)).over(track.whole)})
     reach = F.least(F.col("__i"), F.col("__n") - 1 - F.col("__i"), F.lit(half))
-    if half <= 32:
+    if not isinstance(half, int):
+        reach = F.when(half.isNotNull(), reach)
+    elif half <= 32:
         value = F.avg(c).over(track.rows(-half, half))
         for h in range(half):
             value = F.when(reach == h, F.avg(c).over(track.rows(-h, h))).otherwise(value)

@@ -36,21 +36,6 @@ def raster_cubic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def closest_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each order's chart: catalogue days are those of customers 1 to 40."""
-    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"))
-    charts = o.filter(F.col("o_custkey") <= 40).select(F.col("day").alias("chart_day")).distinct()
-    out = L.closest_date(o.select("o_orderkey", "day"), "day", charts, "chart_day", 7)
-    return out.select("o_orderkey", F.date_format("chart_day", "yyyy-MM-dd").alias("chart_day"))
-
-
-def valid_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"))
-    charts = o.filter(F.col("o_custkey") <= 40).select("day", F.date_add("day", 7).alias("until"), F.col("o_orderkey").alias("chart_id"))
-    out = L.valid_interval(o.select("o_orderkey", "day"), "day", charts, "day", "until", ["chart_id"], 8)
-    return out.select("o_orderkey", "chart_id")
-
-
-def closest_date_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order's nearest month chart; the catalogue is that of the months of all orders."""
     o = load(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
     charts = o.select(F.trunc("day", "month").alias("chart_day")).distinct()
@@ -58,7 +43,7 @@ def closest_date_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("o_orderkey", F.date_format("chart_day", "yyyy-MM-dd").alias("chart_day"))
 
 
-def valid_interval_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def valid_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders are charts, so intervals overlap and many start on one day."""
     o = load(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
     charts = o.select("day", F.date_add("day", 7).alias("until"), F.col("o_orderkey").alias("chart_id"))
@@ -103,10 +88,9 @@ def polygon_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edge_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distances of all ice cells; cells without ice are NULL, as in the SQL."""
     cells = _raster(spark, sf_dir).select(F.col("iy").alias("yj"), F.col("ix").alias("xi"), F.col("v").alias("sic"))
     out = L.edge_proximity(cells, "sic", 60.0, 12.5, 4)
-    return rounded(out.select("yj", "xi", F.when(F.col("sic") >= 60, F.col("distance")).alias("distance")))
+    return rounded(out.select("yj", "xi", "distance"))
 
 
 def risk_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,37 +100,24 @@ def risk_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def patched_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = load(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").alias("tide"), F.col("o_custkey").alias("other"))
-    sibling = o.filter(F.col("o_orderkey") % 4 == 0).select("o_orderkey", (F.col("tide") * 2).alias("tide"))
-    return rounded(add_regional(patch(o, sibling, ["o_orderkey"], ["tide"]), sibling, ["o_orderkey"], "tide"))
-
-
-def patched_product_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sibling product is that of the order lines, for every order that has one."""
     o = load(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").alias("tide"), F.col("o_custkey").alias("other"))
     sibling = load(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_extendedprice").alias("tide"))
     return rounded(add_regional(patch(o, sibling, ["o_orderkey"], ["tide"]), sibling, ["o_orderkey"], "tide"))
 
 
-def flattened_blocks_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flattened_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both halves of the vectors, whole."""
     e = load(spark, sf_dir, "embeddings").select("vec_id", F.slice("embedding", 1, 32).alias("a"), F.slice("embedding", 33, 32).alias("b"))
     out = flatten_blocks(e, ["a", "b"], ["vec_id"])
     return out.select("vec_id", "record_idx", F.round(F.col("a").cast("double"), 6).alias("a"), F.round(F.col("b").cast("double"), 6).alias("b"))
 
 
-def flattened_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = load(spark, sf_dir, "embeddings").select("vec_id", F.slice("embedding", 1, 20).alias("a"), F.slice("embedding", 21, 20).alias("b"))
-    out = flatten_blocks(e, ["a", "b"], ["vec_id"])
-    return out.select("vec_id", "record_idx", F.round(F.col("a").cast("double"), 6).alias("a"), F.round(F.col("b").cast("double"), 6).alias("b"))
-
-
 QUERIES = {
     f.__name__: f
     for f in (
         raster_nearest, raster_bilinear, raster_cubic, closest_date, valid_interval, latest_per_customer, interpolate_series, monthly_table, month_weights,
         polygon_regions, edge_proximity, risk_index, patched_product, flattened_blocks,
-        closest_date_all, valid_interval_all, patched_product_all, flattened_blocks_all,
     )
 }
 
@@ -180,20 +151,6 @@ SQL = {
         ), h as (select c.*, v from c left join raster on ix = cx and iy = cy)
         select o_orderkey, round(case when count(v) = 16 then sum(w * v) end, 6) + 0.0 as v from h group by 1
     """,
-    "closest_date": """
-        with o as (select o_orderkey, o_custkey, cast(o_orderdate as date) as day from orders), c as (select distinct day as chart from o where o_custkey <= 40),
-        d as (select distinct day from o), m as (
-            select day, min_by(chart, abs(date_diff('day', day, chart)) * 10 + case when chart > day then 1 else 0 end) as chart
-            from d join c on abs(date_diff('day', day, chart)) <= 7 group by 1
-        )
-        select o_orderkey, strftime(chart, '%Y-%m-%d') as chart_day from o left join m using (day)
-    """,
-    "valid_interval": """
-        with o as (select o_orderkey, o_custkey, cast(o_orderdate as date) as day from orders),
-        h as (select d.day, c.o_orderkey as chart_id, c.day as start from (select distinct day from o) d join o c on c.o_custkey <= 40 and d.day between c.day and c.day + 7),
-        m as (select day, chart_id from h qualify row_number() over (partition by day order by start, chart_id) = 1)
-        select o_orderkey, chart_id from o left join m using (day)
-    """,
     "latest_per_customer": "select o_orderkey, o_custkey, o_orderdate from orders qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey) = 1",
     "interpolate_series": """
         with e as (select event_id, user_id, event_type, value, epoch_us(ts) as t from events),
@@ -218,18 +175,14 @@ SQL = {
     "edge_proximity": f"""
         with {_RASTER}, c as (select iy as yj, ix as xi, v >= 60 as ice from raster),
         e as (select distinct a.yj, a.xi from c a join c b on not a.ice and b.ice and abs(a.yj - b.yj) <= 1 and abs(a.xi - b.xi) <= 1),
-        d as (select c.yj, c.xi, min((c.yj - e.yj) ** 2 + (c.xi - e.xi) ** 2) as d2 from c join e on c.ice and (c.yj - e.yj) ** 2 + (c.xi - e.xi) ** 2 <= 16 group by 1, 2)
-        select c.yj, c.xi, round(sqrt(d2) * 12.5, 6) + 0.0 as distance from c left join d using (yj, xi)
+        d as (select c.yj, c.xi, min((c.yj - e.yj) ** 2 + (c.xi - e.xi) ** 2) as d2 from c join e on c.ice group by 1, 2)
+        select c.yj, c.xi, case when ice then round(sqrt(d2) * 12.5, 6) else 0.0 end::double + 0.0 as distance from c left join d using (yj, xi)
     """,
     "risk_index": """
         with s as (select s_suppkey, s_suppkey % 3 as a, s_suppkey % 5 as b, s_suppkey % 7 as c, s_suppkey % 2 as ca, s_suppkey % 3 as cb, s_suppkey % 4 as cc from supplier)
         select s_suppkey, cast((3 - a) * ca + (3 - b) * cb + (3 - c) * cc + (10 - ca - cb - cc) * 3 as double) as rio from s
     """,
-    "patched_product": "select o_orderkey, round(case when o_orderkey % 4 = 0 then o_totalprice * 4 else o_totalprice end, 6) + 0.0 as tide, o_custkey as other from orders",
-    "flattened_blocks": """
-        select vec_id, cast(i as integer) as record_idx, round(cast(embedding[i + 1] as double), 6) as a, round(cast(embedding[i + 21] as double), 6) as b from embeddings, range(20) r(i)
-    """,
-    "closest_date_all": """
+    "closest_date": """
         with o as (select o_orderkey, cast(o_orderdate as date) as day from orders), c as (select distinct cast(date_trunc('month', day) as date) as chart from o),
         d as (select distinct day from o), m as (
             select day, min_by(chart, abs(date_diff('day', day, chart)) * 10 + case when chart > day then 1 else 0 end) as chart
@@ -237,18 +190,18 @@ SQL = {
         )
         select o_orderkey, strftime(chart, '%Y-%m-%d') as chart_day from o left join m using (day)
     """,
-    "valid_interval_all": """
+    "valid_interval": """
         with o as (select o_orderkey, cast(o_orderdate as date) as day from orders),
         c as (select day as start, min(o_orderkey) as chart_id from o group by 1),
         h as (select d.day, c.chart_id, c.start from (select distinct day from o) d join c on d.day between c.start and c.start + 7),
         m as (select day, chart_id from h qualify row_number() over (partition by day order by start, chart_id) = 1)
         select o_orderkey, chart_id from o left join m using (day)
     """,
-    "patched_product_all": """
+    "patched_product": """
         with s as (select l_orderkey as o_orderkey, max(l_extendedprice) as price from lineitem group by 1)
         select o_orderkey, round(coalesce(price * 2, o_totalprice), 6) + 0.0 as tide, o_custkey as other from orders left join s using (o_orderkey)
     """,
-    "flattened_blocks_all": """
+    "flattened_blocks": """
         select vec_id, cast(i as integer) as record_idx, round(cast(embedding[i + 1] as double), 6) as a, round(cast(embedding[i + 33] as double), 6) as b from embeddings, range(32) r(i)
     """,
 }

@@ -283,7 +283,7 @@ def _wave_zone(df, track, o):
 
 
 @step(
-    "marginal_zone_flag", ["sea_ice_concentration", "leading_edge_width_rolling_mean", "peakiness_rolling_sdev", "radar_freeboard", "distance_to_low_ice_concentration"], ["flag_miz"],
+    "marginal_zone_flag", ["sea_ice_concentration", "leading_edge_width_rolling_mean", "peakiness_rolling_sdev", "radar_freeboard", "distance_to_low_ice_concentration", "distance_to_ocean"], ["flag_miz"],
     ("proximity", "transition"), "filter",
 )
 def _marginal_zone(df, track, o):
@@ -293,8 +293,10 @@ def _marginal_zone(df, track, o):
         F.col("distance_to_low_ice_concentration"), F.col("sea_ice_concentration"), F.col("leading_edge_width_rolling_mean"), F.col("peakiness_rolling_sdev"),
         p["max_distance"], p["sic_max"], p["width_min"], p["sdev_max"],
     )
+    edge = sealevel.IceEdge(t["ice_width"], t["ocean_width"], t["smoother_width"], t["gradient_min"], t["width_min"])
+    base = df if "spacing" in df.columns else sealevel.footprint_spacing(df, track)
     base = sealevel.transition_zone(
-        df, track, "sea_ice_concentration", "leading_edge_width_rolling_mean", "radar_freeboard", int(t["ice_records"]), int(t["ocean_records"]), t["width_min"], t["gradient_min"], "__transition"
+        base, track, "sea_ice_concentration", "leading_edge_width_rolling_mean", "radar_freeboard", "distance_to_ocean", "spacing", edge, "__transition"
     )
     flag = F.greatest(near, F.col("__transition"))
     return base.withColumn("flag_miz", F.when(flag > 1, 1).otherwise(0).cast("tinyint") if o.get("boolean") else flag).drop("__transition"), None

@@ -23,7 +23,8 @@ def echo_peakiness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def echo_ocog(spark: SparkSession, sf_dir: str) -> DataFrame:
     amplitude, width = V.ocog(F.col("w"))
-    return rounded(_echoes(spark, sf_dir).select("vec_id", amplitude.alias("amplitude"), width.alias("width"), V.ocog_position(F.col("w")).alias("centre")))
+    raw = [c.alias(f"raw_{k}") for k, c in zip(("centre", "amplitude", "width"), V.ocog_properties(F.col("w")))]
+    return rounded(_echoes(spark, sf_dir).select("vec_id", amplitude.alias("amplitude"), width.alias("width"), *raw))
 
 
 def echo_late_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,11 +74,12 @@ def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lead_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _retrack_input(spark, sf_dir).select("vec_id", T.lead_retracker()("w", "r").alias("t")).select("vec_id", "t.*")
+    return _retrack_input(spark, sf_dir).select("vec_id", T.lead_retracker(T.LeadFilter(sigma0_least=1.0))("w", "r", (F.col("vec_id") % 10).cast("double")).alias("t")).select("vec_id", "t.*")
 
 
 def trailing_edge_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _retrack_input(spark, sf_dir).select("vec_id", T.trailing_edge_fit()("w").alias("t")).select("vec_id", "t.*")
+    df = _retrack_input(spark, sf_dir).withColumn("at", V.leading_edge(F.col("w"), 0.5, 6, 0)["first_maximum_index"])
+    return df.select("vec_id", "at", T.trailing_edge_fit()("w", "at").alias("t")).select("vec_id", "at", "t.*")
 
 
 def _along(spark, sf_dir) -> DataFrame:
@@ -106,8 +108,9 @@ def deviation_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transition_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _along(spark, sf_dir).withColumn("sic", F.col("value"))
-    return S.transition_zone(df, EVENTS, "sic", "lew", "frb", 4, 4, 3.0, 0.2).select("event_id", F.col("flag_miz").cast("int").alias("flag_miz"))
+    df = _along(spark, sf_dir).withColumns({"sic": F.col("value"), "distance": F.col("event_id") % 5 * 400.0, "spacing": F.lit(300.0)})
+    edge = S.IceEdge(ice_width=1200.0, ocean_width=1500.0, smoother_width=2000.0, gradient_least=0.2, edge_width_least=3.0)
+    return S.transition_zone(df, EVENTS, "sic", "lew", "frb", "distance", "spacing", edge).select("event_id", F.col("flag_miz").cast("int").alias("flag_miz"))
 
 
 QUERIES = {
@@ -132,11 +135,11 @@ SQL = {
     """,
     "echo_ocog": f"""
         with {_W}, {_B}, n as (select vec_id, avg(x) as n from b where i < 11 group by 1), y as (select vec_id, i, x, greatest(x - n, 0) as y from b join n using (vec_id))
-        select vec_id, round(sqrt(sum(y**4) / sum(y**2)), 6) + 0.0 as amplitude, round(sum(y**2) ** 2 / sum(y**4), 6) + 0.0 as width, round(sum(x * x * i) / sum(x * x), 6) + 0.0 as centre from y group by 1
+        select vec_id, round(sqrt(sum(y**4) / sum(y**2)), 6) + 0.0 as amplitude, round(sum(y**2) ** 2 / sum(y**4), 6) + 0.0 as width, round(sum((i + 1) * x) / sum(x), 6) + 0.0 as raw_centre, round(sqrt(sum(x * x) / sum(x)), 6) + 0.0 as raw_amplitude, round(sum(x) ** 2 / sum(x * x), 6) + 0.0 as raw_width from y group by 1
     """,
     "echo_late_tail": f"""
         with {_W}, {_B}, {_P}, t as (select vec_id, case when min(pa) + 20 < 64 then avg(x) filter (i between pa + 10 and pa + 20) / min(pk) end as ltpp from b join p using (vec_id) group by 1),
-        h as (select vec_id, x, row_number() over (partition by vec_id order by x) as k from b where i < 32), n as (select vec_id, median(x) as noise from h where k between 5 and 12 group by 1)
+        h as (select vec_id, x, row_number() over (partition by vec_id order by x) as k from b where i < 32), n as (select vec_id, median(x) as noise from h where k between 5 and 13 group by 1)
         select vec_id, round(ltpp, 6) + 0.0 as ltpp, round(noise, 6) + 0.0 as noise from t join n using (vec_id)
     """,
     "echo_leading_edge": f"""

@@ -32,7 +32,7 @@ def test_edge_proximity_has_no_reach(spark):
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="test tables are not here")
 def test_catalogues_are_whole(spark):
     """Every order has a chart; sibling records come for all orders with lines."""
-    for name, column in (("closest_date_all", "chart_day"), ("valid_interval_all", "chart_id")):
+    for name, column in (("closest_date", "chart_day"), ("valid_interval", "chart_id")):
         out = catalogue.QUERIES[name](spark, DATA)
         assert out.count() == spark.read.parquet(f"{DATA}/orders.parquet").count() and out.filter(f"{column} is null").isEmpty()
 
@@ -40,7 +40,7 @@ def test_catalogues_are_whole(spark):
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="test tables are not here")
 def test_blocks_hold_every_component(spark):
     vectors = {r["vec_id"]: list(r["embedding"]) for r in spark.read.parquet(f"{DATA}/embeddings.parquet").limit(50).collect()}
-    out = catalogue.QUERIES["flattened_blocks_all"](spark, DATA).filter(F.col("vec_id").isin(*vectors)).orderBy("vec_id", "record_idx").collect()
+    out = catalogue.QUERIES["flattened_blocks"](spark, DATA).filter(F.col("vec_id").isin(*vectors)).orderBy("vec_id", "record_idx").collect()
     for vec_id, v in vectors.items():
         mine = [r for r in out if r["vec_id"] == vec_id]
         assert [r["a"] for r in mine] + [r["b"] for r in mine] == pytest.approx(v, abs=1e-6)
