@@ -65,6 +65,13 @@ def echo_scaling(spark: SparkSession, sf_dir: str) -> DataFrame:
     ), 7)
 
 
+def echo_backscatter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Backscatter by radar mode: peak and SAR footprint, or OCOG amplitude and pulse-limited footprint."""
+    options = {"wavelength": 0.022, "gain": 18197.0, "bandwidth": 3.2e8, "ptr_width": 2.8e-9, "burst": 0.001, "bias": {"lrm": 0.1, "sar": 0.2, "sin": -0.3}}
+    mode, sent, r, v = (F.col("vec_id") % 4).cast("int"), F.lit(20.0) + F.col("vec_id") % 3, F.lit(720000.0) + F.col("vec_id"), F.lit(7500.0)
+    return rounded(_echoes(spark, sf_dir).select("vec_id", radar.sigma0_by_mode(mode, F.col("w"), sent, r, v, options).alias("sigma0"), radar.by_mode(mode, {"lrm": F.lit(1), "sin": F.lit(3)}).alias("kind")))
+
+
 def echo_ice_retracker(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = F.col("w")
     got = V.ocog_ice_retrack(w, V.window_ranges(F.lit(0.0048), 64), 0.6, 0.3, 2)
@@ -243,7 +250,7 @@ def sea_level_metres(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        radar_geometry, echo_scaling, echo_ice_retracker, retracker_thresholds, retracked_surfaces, record_steps, combined_conditions, reflected_mean, candidate_files,
+        radar_geometry, echo_scaling, echo_backscatter, echo_ice_retracker, retracker_thresholds, retracked_surfaces, record_steps, combined_conditions, reflected_mean, candidate_files,
         masked_cells, auxiliary_constants, auxiliary_rasters, session_chains, daily_cells, level1_custom_orbit, level1_half_orbit, level1_full_orbit, record_spacing, sea_level_metres,
     )
 }
@@ -339,6 +346,14 @@ SQL = {
                round(case vec_id % 3 when 2 then cut else t end, 7) + 0.0 as resampled, round(90 - (vec_id / 1000.0::double + 0.75), 7) + 0.0 as angle, round(case when pa + 20 < 64 then lt / cpk end, 7) + 0.0 as late_tail
         from c join d using (vec_id) join p using (vec_id) join q using (vec_id)
     """,
+    "echo_backscatter": f"""
+        with {_W}, {_B}, n as (select vec_id, avg(x) as n from b where i < 11 group by 1), c as (select vec_id, max(x) as pk, sqrt(sum(greatest(x - n, 0) ** 4) / sum(greatest(x - n, 0) ** 2)) as amp from b join n using (vec_id) group by 1),
+        k as (select *, 720000.0::double + vec_id as r, 20.0 + vec_id % 3 as sent from c),
+        a as (select *, 2 * sqrt({299792458.0 * 2.8e-9!r}::double * r / (1 + r / 6371000.0::double)) * (0.022::double * r / (2 * 7500.0::double * 0.001::double)) as sar, pi() * (r * 299792458.0::double / 320000000.0::double) / 1e6 as lrm from k)
+        select vec_id, round(case vec_id % 4 when 0 then 10 * log10(amp / sent) + 10 * log10({_SIGMA / 2!r}::double * r ** 4 / lrm) + 0.1 when 1 then 10 * log10(pk / sent) + 10 * log10({_SIGMA / 2!r}::double * r ** 4 / sar) + 0.2
+                              when 2 then 10 * log10(pk / sent) + 10 * log10({_SIGMA / 2!r}::double * r ** 4 / sar) - 0.3 end, 6) + 0.0 as sigma0,
+               cast(case vec_id % 4 when 0 then 1 when 2 then 3 end as integer) as kind from a
+    """,
     "echo_ice_retracker": f"""
         with {_W}, {_B}, hi as {_KNEE(0.6)}, lo as {_KNEE(0.3)}, n as (select *, lag(x) over (partition by vec_id order by i) as px from b),
         h as (select n.vec_id, min(i) as i1 from n join hi using (vec_id) where i >= 3 and x > level group by 1), l as (select n.vec_id, min(i) as i1 from n join lo using (vec_id) where i >= 3 and x > level group by 1),

@@ -65,12 +65,23 @@ OPTIONS = T.FirstMaximum(range_bias=(0.0, -0.022, 0.047), uncertainty=0.1)
 
 def first_maximum_retracker(spark: SparkSession, sf_dir: str) -> DataFrame:
     udf = T.first_maximum_retracker(OPTIONS)
-    return _retrack_input(spark, sf_dir).select("vec_id", udf("w", "r", "mode", "valid", F.lit(0.5)).alias("t")).select("vec_id", "t.*")
+    return rounded(_retrack_input(spark, sf_dir).select("vec_id", udf("w", "r", "mode", "valid", F.lit(0.5)).alias("t")).select("vec_id", "t.*"), 5)
 
 
 def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     udf = T.threshold_sweep([0.3, 0.5, 0.7], OPTIONS)
-    return _retrack_input(spark, sf_dir).select("vec_id", F.posexplode(udf("w", "r", "mode", "valid")).alias("k", "range"))
+    return rounded(_retrack_input(spark, sf_dir).select("vec_id", F.posexplode(udf("w", "r", "mode", "valid")).alias("k", "range")), 5)
+
+
+def threshold_freeboards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Freeboards of several thresholds and the leading edge's width."""
+    df = _retrack_input(spark, sf_dir).withColumns({
+        "waveform_power": F.col("w"), "waveform_range": F.col("r"), "radar_mode": F.col("mode"), "is_valid": F.col("valid"), "altitude": F.lit(719500.0) + F.col("vec_id") % 50,
+        "total_range_correction": F.col("vec_id") % 3 * 0.1, "mean_sea_surface": F.col("vec_id") % 7 * 1.5, "sea_level_anomaly": F.col("vec_id") % 5 * 0.01,
+        "snow_geometric_correction": F.when(F.col("vec_id") % 4 > 0, F.lit(0.05)),
+    })
+    out = T.multi_threshold_freeboards(df, [0.4, 0.6], OPTIONS)
+    return rounded(out.select("vec_id", F.get("threshold_freeboards", F.lit(0)).alias("low"), F.get("threshold_freeboards", F.lit(1)).alias("high")), 5)
 
 
 def lead_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +127,7 @@ def transition_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        echo_peakiness, echo_ocog, echo_late_tail, echo_leading_edge, echo_trailing_edge, echo_windows, echo_ranges, first_maximum_retracker, threshold_sweep,
+        echo_peakiness, echo_ocog, echo_late_tail, echo_leading_edge, echo_trailing_edge, echo_windows, echo_ranges, first_maximum_retracker, threshold_sweep, threshold_freeboards,
         lead_fit, trailing_edge_fit, sea_level_linear, local_regression, gaussian_process, deviation_filter, transition_zone,
     )
 }
@@ -126,8 +137,41 @@ _B = "b as (select vec_id, cast(i as integer) as i, w[i + 1] as x from e, range(
 _P = "p as (select vec_id, max(x) as pk, min(case when x = m then i end) as pa from (select *, max(x) over (partition by vec_id) as m from b) group by 1)"
 _ORDER = "partition by user_id order by ts, event_id"
 _STEP = "(299792458.0::double / 1280000000.0::double)"
+#: Oversampled, smoothed and normalised echoes (y over fine bins k, range g), their first maximum f, its power yf and the peak.
+_FINE = f"""
+    {_W}, x as (select vec_id, cast(k as integer) as k, k * (63.0::double / 639.0::double) as x, w, vec_id % 3 as m from e, range(640) r(k)), j as (select *, cast(least(floor(x), 62) as integer) as i from x),
+    o as (select vec_id, m, k, w[i + 1] * (1 - (x - i)) + w[i + 2] * (x - i) as v, 0.0048::double * 149896229.0::double - 32 * {_STEP} + x * {_STEP} as g from j),
+    s as (select vec_id, m, k, g, case when m = 2 then sum(v) over (partition by vec_id order by k rows between 25 preceding and 25 following) / 51 else sum(v) over (partition by vec_id order by k rows between 5 preceding and 5 following) / 11 end as v from o),
+    q as (select *, v / max(v) over (partition by vec_id) as y, max(v) over (partition by vec_id) as norm from s),
+    u as (select *, lag(y, 1, -1e-6) over (partition by vec_id order by k) as y0, lead(y, 1, -1e-6) over (partition by vec_id order by k) as y2, lag(g) over (partition by vec_id order by k) as g0,
+                 min(case when y = 1 then k end) over (partition by vec_id) as top, avg(case when k < 50 then y end) over (partition by vec_id) + case when m = 2 then 0.45 else 0.15 end as need from q),
+    h as (select vec_id, coalesce(min(k) filter (k <= top and y >= need and y > y0 and (k = top or y > y2)), min(top)) as f from u group by 1),
+    z as (select u.*, f, max(case when k = f then y end) over (partition by u.vec_id) as yf, case m when 0 then 0.0 when 1 then -0.022 else 0.047 end::double as bias from u join h using (vec_id))
+"""
+
+
+def _hit(name: str, share: str) -> str:
+    """A CTE with the range where the power first exceeds a share of the first maximum's."""
+    return f"{name} as (select vec_id, min_by(g0 + ({share} * yf - y0) / (y - y0) * (g - g0), k) as g from z where k >= 50 and k < f and y > {share} * yf group by 1)"
+
 
 SQL = {
+    "first_maximum_retracker": f"""
+        with {_FINE}, {_hit('a', '0.5::double')}, {_hit('lo', '0.05::double')}, {_hit('hi', '0.95::double')}, d as (select vec_id, min(f) as f, min(yf) as yf, min(norm) as norm, min(bias) as bias from z group by 1)
+        select vec_id, round(a.g - bias, 5) + 0.0 as range, round(case when a.g is not null then 0.5 * yf * norm end, 5) + 0.0 as power, case when a.g is not null then 0.1::double end as uncertainty,
+               cast(f // 10 as integer) as first_maximum_index, round(case when hi.g >= lo.g then hi.g - lo.g end, 5) + 0.0 as leading_edge_width
+        from d left join a using (vec_id) left join lo using (vec_id) left join hi using (vec_id)
+    """,
+    "threshold_sweep": f"""
+        with {_FINE}, {_hit('a', '0.3::double')}, {_hit('b', '0.5::double')}, {_hit('c', '0.7::double')}, d as (select vec_id, min(bias) as bias from z group by 1)
+        select vec_id, cast(n as integer) as k, round(case n when 0 then a.g when 1 then b.g else c.g end - bias, 5) + 0.0 as range from d left join a using (vec_id) left join b using (vec_id) left join c using (vec_id), range(3) t(n)
+    """,
+    "threshold_freeboards": f"""
+        with {_FINE}, {_hit('a', '0.4::double')}, {_hit('b', '0.6::double')}, d as (select vec_id, min(bias) as bias from z group by 1),
+        t as (select vec_id, 719500.0::double + vec_id % 50 - vec_id % 3 * 0.1::double - vec_id % 7 * 1.5::double - vec_id % 5 * 0.01::double + case when vec_id % 4 > 0 then 0.05::double else 0 end + bias as base, a.g as a, b.g as b
+              from d left join a using (vec_id) left join b using (vec_id))
+        select vec_id, round(base - a, 5) + 0.0 as low, round(base - b, 5) + 0.0 as high from t
+    """,
     "echo_peakiness": f"""
         with {_W}, {_B}, {_P}, s as (select vec_id, sum(x) as t, sum(x) filter (i >= 5) as t5, max(x) filter (i >= 5) as m5 from b group by 1)
         select vec_id, round(pk, 6) + 0.0 as peak, pa as peak_at, round(pk / t * 64.0, 6) + 0.0 as peakiness, round(m5 / t5 * 83.0, 6) + 0.0 as skipped, round(10 * log10(pk), 6) + 0.0 as db

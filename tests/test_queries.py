@@ -13,7 +13,7 @@ DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 #: Queries without SQL; tests/test_retrackers.py holds their results against plain loops, row by row.
-FORCED = {"first_maximum_retracker", "threshold_sweep", "lead_fit", "trailing_edge_fit", "local_regression", "gaussian_process", "deviation_filter", "transition_zone"}
+FORCED = {"lead_fit", "trailing_edge_fit", "local_regression", "gaussian_process", "deviation_filter", "transition_zone"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="test tables are not here")
 
