@@ -194,9 +194,10 @@ def retrack_by_surface(df: DataFrame, retrackers: Mapping[int, Column], altitude
     }).drop("__r")
 
 
-def least_squares(model, y: np.ndarray, start: np.ndarray, low=None, high=None, weight: np.ndarray | None = None, rounds: int = 80) -> tuple[np.ndarray, np.ndarray]:
+def least_squares(model, y: np.ndarray, start: np.ndarray, low=None, high=None, weight: np.ndarray | None = None, rounds: int = 80, through=lambda x: x) -> tuple[np.ndarray, np.ndarray]:
     """Levenberg-Marquardt for many series at once, with numerical Jacobians and box bounds. model: (rows, parameters)
-    -> (rows, bins); y: (rows, bins); weight: 0 for bins that take no part. (parameters, residuals)."""
+    -> (rows, bins); y: (rows, bins); weight: 0 for bins that take no part; bounds: one for all rows, or one for each; through: a linear map of residuals.
+    (parameters, residuals)."""
     p = np.array(start, float)
     k = p.shape[1]
     low = np.full(k, -np.inf) if low is None else np.asarray(low, float)
@@ -204,13 +205,13 @@ def least_squares(model, y: np.ndarray, start: np.ndarray, low=None, high=None,
     w = np.ones_like(y) if weight is None else weight
     p, damping, live = np.clip(p, low, high), np.full(len(p), 1e-2), np.ones(len(p), bool)
     with np.errstate(all="ignore"):
-        res = (y - model(p)) * w
+        res = through((y - model(p)) * w)
         cost = (res * res).sum(1)
         for _ in range(rounds):
             if not live.any():
                 break
             h = 1e-6 * np.maximum(np.abs(p), 1e-3)
-            jac = np.stack([(model(p + h * (np.arange(k) == j)) - model(p - h * (np.arange(k) == j))) / (2 * h[:, j : j + 1]) * w for j in range(k)], axis=2)
+            jac = np.stack([through((model(p + h * (np.arange(k) == j)) - model(p - h * (np.arange(k) == j))) / (2 * h[:, j : j + 1]) * w) for j in range(k)], axis=2)
             jac = np.nan_to_num(jac)
             a, g = np.einsum("rbi,rbj->rij", jac, jac), np.einsum("rbi,rb->ri", jac, res)
             scale = np.einsum("rii->ri", a) + 1e-12
@@ -220,7 +221,7 @@ def least_squares(model, y: np.ndarray, start: np.ndarray, low=None, high=None,
                     break
                 step = np.linalg.solve(a + (damping[:, None] * scale)[:, :, None] * np.eye(k), g[:, :, None])[:, :, 0]
                 new = np.clip(p + step, low, high)
-                new_res = (y - model(new)) * w
+                new_res = through((y - model(new)) * w)
                 new_cost = (new_res * new_res).sum(1)
                 better = waiting & np.isfinite(new_cost) & (new_cost < cost)
                 done = better & (cost - new_cost <= 1e-13 * (cost + 1e-30))
