@@ -78,12 +78,41 @@ def _nearest(df: DataFrame, raster: DataFrame, grid: Grid, values: Sequence[str]
     return L.nearest_cell(df, raster, ix, iy, values, keys, outside)
 
 
+def record_version(day: Column, cut_over, before: str = "cdr", after: str = "icdr") -> Column:
+    """The data record that holds a day: the climate record before a date, the interim one from it on."""
+    return F.when(day < F.lit(cut_over).cast("date"), F.lit(before)).otherwise(F.lit(after))
+
+
 @provider("sic", "nearest", ["sea_ice_concentration"], ["sic"], ["grid"])
 def _sic(df, tables, o):
-    """Concentration of the nearest cell; values beyond 0 to 100 count as 0."""
-    out = _nearest(df, tables["sic"], o["grid"], ["sea_ice_concentration"])
+    """Concentration of the nearest cell; values beyond 0 to 100 count as 0. cut_over: the table has a column `version`, and
+    days from this date on take `icdr`, earlier ones `cdr`. pole_hole: {"latitude", "value"} for gaps near the pole."""
+    raster = tables["sic"]
+    if "cut_over" in o:
+        raster = raster.filter(F.col("version") == record_version(F.col("day"), o["cut_over"])).drop("version")
+    out = _nearest(df, raster, o["grid"], ["sea_ice_concentration"])
     c = F.col("sea_ice_concentration")
-    return out.withColumn("sea_ice_concentration", F.when(c.between(0, 100), c).when(c.isNotNull(), F.lit(0.0)))
+    value = F.when(c.between(0, 100), c).when(c.isNotNull(), F.lit(0.0))
+    if "pole_hole" in o:
+        value = F.when(value.isNull() & (F.col("latitude") >= o["pole_hole"]["latitude"]), F.lit(float(o["pole_hole"]["value"]))).otherwise(value)
+    return out.withColumn("sea_ice_concentration", value)
+
+
+@provider("sic", "distances", ["distance_to_ocean", "distance_to_low_ice_concentration"], ["sic"], ["grid"])
+def _sic_distances(df, tables, o):
+    """Metres, by bilinear lookup, to the next cell under 15 and under 70 per cent; no distance to the ocean where the record's
+    concentration is under 15. The raster's negative concentrations are missing."""
+    cells, grid = tables["sic"], o["grid"]
+    keys = ["day"] if "day" in cells.columns else []
+    cells = cells.select(*keys, F.col("iy").alias("yj"), F.col("ix").alias("xi"), F.when(F.col("sea_ice_concentration") >= 0, F.col("sea_ice_concentration")).alias("sic"))
+    ix, iy = grid_index(grid, F.col("longitude"), F.col("latitude"))
+    out = df
+    for name, bound in (("distance_to_ocean", 15.0), ("distance_to_low_ice_concentration", 70.0)):
+        raster = L.edge_proximity(cells, "sic", bound, grid.dx, int(o.get("reach", 16)), keys)
+        raster = raster.select(*keys, F.col("yj").alias("iy"), F.col("xi").alias("ix"), F.col("distance").alias(name))
+        out = L.bilinear(out, raster, ix, iy, name, ["segment_id", "record_idx"], keys)
+    far = F.col("sea_ice_concentration") < 15
+    return out.withColumn("distance_to_ocean", F.when(~F.coalesce(far, F.lit(False)), F.col("distance_to_ocean")))
 
 
 @provider("sitype", "codes", ["sea_ice_type", "sea_ice_type_uncertainty"], ["sitype"], ["grid"])

@@ -21,6 +21,7 @@ from firnline.operators.sealevel import SeaLevel, footprint_spacing, smoothed_li
 from firnline.plans.level1 import preprocess, processor
 from firnline.plans.steps import Pipeline
 from firnline.plans.tables import EVENTS, SURFACE_SQL, events, load, rounded, surface_of_line
+from firnline.sources import adapters
 from firnline.sources.manifest import polar_ocean_files, xml_fields
 from firnline.sources.records import daily_merge
 from firnline.streaming.sessions import chains, grid_counts
@@ -227,6 +228,54 @@ def level1_full_orbit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _processed(spark, sf_dir, "full_orbit")
 
 
+def _products(spark, sf_dir) -> DataFrame:
+    """A file for each user, with the variables of four products made of the events; every third event is a low-rate one."""
+    e = events(spark, sf_dir, "value").withColumns({"pos": F.row_number().over(EVENTS.along) - 1, "t": F.unix_micros(F.col("ts").cast("timestamp")) / 1e6 - 946684800.0})
+    rows = F.array_sort(F.collect_list(F.struct("pos", "event_id", "t", "value")))
+    e = e.groupBy("user_id").agg(rows.alias("high")).withColumn("low", F.filter("high", lambda r: r["pos"] % 3 == 0))
+    of = lambda side, body: F.transform(side, body)
+    high = {
+        "time_20_ku": lambda r: r["t"], "time_20hz": lambda r: r["t"], "event": lambda r: r["event_id"], "lon_20_ku": lambda r: r["value"] * 2, "lat_20_ku": lambda r: r["value"], "alt_20_ku": lambda r: r["value"] + 700000,
+        "lon_20hz": lambda r: r["value"] * 3 - 40, "lat_20hz": lambda r: r["value"] * 1.5, "alt_20hz": lambda r: r["value"], "window_del_20_ku": lambda r: r["value"] * 1e-6, "tracker_range_20_ku": lambda r: r["value"] * 10,
+        "tracker_range_20hz": lambda r: r["value"] * 10, "pwr_waveform_20_ku": lambda r: F.array(r["value"], r["value"] * 2, F.lit(1.0), F.lit(2.0)), "ku_wf": lambda r: F.array(r["value"], F.lit(3.0)),
+        "waveform_20_ku": lambda r: F.array(r["value"], F.lit(5.0), F.lit(6.0)), "echo_scale_factor_20_ku": lambda r: r["value"] / 7, "echo_scale_pwr_20_ku": lambda r: r["event_id"] % 4, "scale_factor_20_ku": lambda r: r["value"] / 5,
+        "flag_mcd_20_ku": lambda r: r["event_id"] % 3 * 3000, "alt_state_flag_20hz": lambda r: r["event_id"] % 5, "instr_op_mode_20_ku": lambda r: r["event_id"] % 3, "op_mode": lambda r: r["event_id"] % 3,
+    }
+    low = {
+        "time_cor_01": lambda r: r["t"], "time_01": lambda r: r["t"], "mod_dry_tropo_cor_01": lambda r: r["value"], "pole_tide_01": lambda r: r["value"] / 7, "surf_type_01": lambda r: r["event_id"] % 5,
+        "off_nadir_roll_angle_pf_01": lambda r: r["value"] / 3, "mod_dry_tropo_cor": lambda r: r["value"], "surface_type": lambda r: r["event_id"] % 5,
+    }
+    return e.select("user_id", *[of("high", f).alias(c) for c, f in high.items()], *[of("low", f).alias(c) for c, f in low.items()])
+
+
+def _adapted(spark, sf_dir, name: str) -> DataFrame:
+    out = adapters.records(_products(spark, sf_dir), adapters.ADAPTERS[name], "user_id", {"event_id": "event"})
+    return rounded(out.select(
+        "event_id", F.date_format("time", "yyyy-MM-dd HH:mm:ss").alias("time"), "mission", "longitude", "latitude", "altitude", V.total(F.col("waveform_power")).alias("power"),
+        F.get("waveform_range", F.lit(0)).alias("first_range"), F.element_at("waveform_range", -1).alias("last_range"), "radar_mode", "is_valid", "surface_type", F.col("dry_troposphere").alias("dry"),
+        (F.col("antenna_roll") if "antenna_roll" in out.columns else F.lit(None).cast("double")).alias("roll"),
+    ), 5)
+
+
+def adapted_cryosat2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _adapted(spark, sf_dir, "cryosat2")
+
+
+def adapted_sentinel3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _adapted(spark, sf_dir, "sentinel3")
+
+
+def adapted_ers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _adapted(spark, sf_dir, "ers")
+
+
+def adapted_envisat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The third product's variables under the second's names, with faults and a high-rate surface class."""
+    files = _products(spark, sf_dir).withColumnsRenamed({"time_20hz": "time_20", "lon_20hz": "lon_20", "lat_20hz": "lat_20", "alt_20hz": "alt_20", "ku_wf": "waveform_fft_20_ku", "op_mode": "waveform_fault_id_20", "alt_state_flag_20hz": "surf_class_20"})
+    out = adapters.records(files, adapters.ADAPTERS["envisat"], "user_id", {"event_id": "event"})
+    return rounded(out.select("event_id", "longitude", "altitude", V.total(F.col("waveform_power")).alias("power"), F.element_at("waveform_range", -1).alias("last_range"), "radar_mode", "is_valid", "surface_type", F.col("geocentric_polar_tide").alias("pole_tide")), 5)
+
+
 def _metres(spark, sf_dir) -> DataFrame:
     df = events(spark, sf_dir, "event_type", "value")
     return df.withColumns({
@@ -251,7 +300,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         radar_geometry, echo_scaling, echo_backscatter, echo_ice_retracker, retracker_thresholds, retracked_surfaces, record_steps, combined_conditions, reflected_mean, candidate_files,
-        masked_cells, auxiliary_constants, auxiliary_rasters, session_chains, daily_cells, level1_custom_orbit, level1_half_orbit, level1_full_orbit, record_spacing, sea_level_metres,
+        masked_cells, auxiliary_constants, auxiliary_rasters, session_chains, daily_cells, level1_custom_orbit, level1_half_orbit, level1_full_orbit, adapted_cryosat2, adapted_sentinel3, adapted_ers, adapted_envisat, record_spacing, sea_level_metres,
     )
 }
 
@@ -426,6 +475,39 @@ SQL = {
 }
 
 
+#: High-rate rows h with the low-rate rows around them: i0, i1 positions among the file's, w the weight of the later.
+_LOW = f"""
+    h as (select user_id, event_id, ts, epoch_us(ts) / 1e6 - 946684800.0 as t, value as v, row_number() over ({_ORDER}) - 1 as pos, count(*) over (partition by user_id) as n from events),
+    l as (select user_id, t, v, event_id, pos // 3 as k, count(*) over (partition by user_id) as m, max(t) over (partition by user_id) as t_max from h where pos % 3 = 0),
+    i as (select h.event_id, max(l.k) as k, min(t_max) as t_max, min(m) as m from h join l on h.user_id = l.user_id and l.t <= h.t group by 1),
+    a as (select h.*, i.k, coalesce((h.t - l0.t) / nullif(l1.t - l0.t, 0), 0) as w, l0.v as v0, l1.v as v1, l0.event_id as e0, l1.event_id as e1
+          from h left join i on h.event_id = i.event_id and h.t <= i.t_max left join l l0 on h.user_id = l0.user_id and i.k = l0.k left join l l1 on h.user_id = l1.user_id and i.k + 1 = l1.k),
+    b as (select *, case when k is null then null when w = 0 then v0 else v0 + w * (v1 - v0) end as low, case when k is null then null when w > 0.5 then e1 else e0 end as near from a)
+"""
+_TYPE = lambda code: f"cast(case {code} when 0 then 1 when 1 then 5 when 2 then 6 when 3 then 7 else 0 end as integer)"
+_R = lambda x: f"round({x}, 5) + 0.0"
+SQL["adapted_cryosat2"] = f"""
+    with {_LOW} select event_id, strftime(ts - interval 37 second, '%Y-%m-%d %H:%M:%S') as time, 'cryosat2' as mission, {_R('v * 2')} as longitude, {_R('v')} as latitude, {_R('v + 700000')} as altitude,
+        {_R('(v * 3 + 3) * (v / 7 * 2 ** (event_id % 4))')} as power, {_R(f'v * 1e-6::double * 149896229.0::double - 2 * {_STEP}')} as first_range, {_R(f'v * 1e-6::double * 149896229.0::double + {_STEP}')} as last_range,
+        cast(event_id % 3 as integer) as radar_mode, event_id % 3 * 3000 <= 4096 as is_valid, {_TYPE('near % 5')} as surface_type, {_R('low')} as dry, cast(null as double) as roll from b
+"""
+SQL["adapted_sentinel3"] = f"""
+    with {_LOW} select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as time, 'sentinel3' as mission, {_R('v * 2')} as longitude, {_R('v')} as latitude, {_R('v + 700000')} as altitude, {_R('(v + 11) * v / 5')} as power,
+        {_R('v * 10 - 43 * 0.234212857813::double')} as first_range, {_R('v * 10 - 41 * 0.234212857813::double')} as last_range, cast(case when event_id % 3 = 0 then 0 else 1 end as integer) as radar_mode, true as is_valid,
+        {_TYPE('near % 5')} as surface_type, {_R('low')} as dry, {_R('low / 3')} as roll from b
+"""
+SQL["adapted_ers"] = f"""
+    with {_LOW}, g as (select h.*, l.v as lv, l.event_id as le, abs(h.v * 1.5) <= 90 and abs(h.v * 3 - 40) <= 180 as ok from h join (select user_id, max(m) as mm from l group by 1) using (user_id) left join l on h.user_id = l.user_id and l.k = cast(floor(h.pos * mm / h.n) as integer))
+    select event_id, strftime(ts - interval 3652 day, '%Y-%m-%d %H:%M:%S') as time, 'ers2' as mission, {_R('case when ok then (v * 3 - 40 + 180) - 360 * floor((v * 3 - 40 + 180) / 360) - 180 end')} as longitude, {_R('case when ok then v * 1.5 end')} as latitude,
+        {_R('case when ok then v end')} as altitude, {_R('v + 3')} as power, {_R('v * 10 - 32.5 * 0.4545::double')} as first_range, {_R('v * 10 - 31.5 * 0.4545::double')} as last_range, cast(0 as integer) as radar_mode,
+        event_id % 5 in (2, 3) as is_valid, {_TYPE('le % 5')} as surface_type, {_R('lv')} as dry, cast(null as double) as roll from g
+"""
+SQL["adapted_envisat"] = f"""
+    with {_LOW} select event_id, {_R('v * 3 - 40')} as longitude, {_R('v')} as altitude, {_R('v + 3')} as power, {_R('v * 10 - 62 * 0.4684::double')} as last_range, cast(0 as integer) as radar_mode, event_id % 3 = 0 as is_valid,
+        {_TYPE('event_id % 5')} as surface_type, {_R('low / 7')} as pole_tide from b
+"""
+
+
 def _metres_sql() -> str:
     return f"""
         with p as (select *, row_number() over ({_ORDER}) - 1 as pos, count(*) over (partition by user_id) as n, event_type = 'purchase' as tie, user_id % 7 * 50.0::double + 100.0 as sp,

@@ -215,3 +215,26 @@ def test_marginal_zone_flag_step(spark):
     options = {"proximity": {"max_distance": 300.0, "sic_max": 90.0, "width_min": 0.5, "sdev_max": 1.0}, "transition": {"ice_width": 1000.0, "ocean_width": 500.0, "smoother_width": 1500.0, "width_min": 2.0, "gradient_min": 0.5}}
     out = Pipeline([("marginal_zone_flag", options)]).apply(df).orderBy("record_idx").collect()
     assert out[22]["flag_miz"] >= 1 and out[59]["flag_miz"] == 0 and {r["flag_miz"] for r in out} <= {0, 1, 2}
+
+
+def test_concentration_options(spark):
+    """Cut-over between data records, the pole hole and distances to the edges, with and without a day."""
+    from firnline.functions.geodesy import Grid
+    from firnline.operators.auxiliary import Auxiliary, grid_index
+
+    grid = Grid("g", "north", 0.0, 2_000_000.0, 2_000_000.0, 100_000.0, 100_000.0)
+    rows = [("s", i, lon, lat, day) for i, (lon, lat, day) in enumerate([(0.0, 89.9, "2020-01-01"), (10.0, 85.0, "2020-01-01"), (10.0, 85.0, "2021-01-01"), (100.0, 83.0, "2021-01-01")])]
+    df = spark.createDataFrame(rows, "segment_id string, record_idx int, longitude double, latitude double, day string").withColumn("day", F.col("day").cast("date"))
+    cells = spark.range(400).select((F.col("id") % 20).cast("int").alias("ix"), F.floor(F.col("id") / 20).cast("int").alias("iy"))
+    hole = cells.filter("not (ix between 9 and 10 and iy between 9 and 10)")
+    table = None
+    for day, version, value in (("2020-01-01", "cdr", 40.0), ("2020-01-01", "icdr", 41.0), ("2021-01-01", "cdr", 50.0), ("2021-01-01", "icdr", 51.0)):
+        part = hole.select("ix", "iy", F.lit(day).cast("date").alias("day"), F.lit(version).alias("version"), F.lit(value).alias("sea_ice_concentration"))
+        table = part if table is None else table.unionByName(part)
+    options = {"grid": grid, "cut_over": "2020-06-01", "pole_hole": {"latitude": 87.0, "value": 99.0}}
+    out = Auxiliary([("sic", "nearest", options)]).apply(df, {"sic": table}).orderBy("record_idx").collect()
+    assert [r["sea_ice_concentration"] for r in out] == [99.0, 40.0, 51.0, 51.0]
+    field = cells.select("ix", "iy", F.when(F.col("ix") < 3, 0.0).when(F.col("ix") < 6, 40.0).otherwise(95.0).alias("sea_ice_concentration"))
+    out = Auxiliary([("sic", "nearest", {"grid": grid}), ("sic", "distances", {"grid": grid, "reach": 4})]).apply(df, {"sic": field}).select("*", grid_index(grid, F.col("longitude"), F.col("latitude"))[0].alias("x")).collect()
+    for r in out:
+        assert abs(r["distance_to_ocean"] - max(r["x"] - 2, 0) * 1e5) < 1e-3 and abs(r["distance_to_low_ice_concentration"] - max(r["x"] - 5, 0) * 1e5) < 1e-3
