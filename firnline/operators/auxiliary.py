@@ -152,10 +152,10 @@ def _global_index(step: float) -> tuple[Column, Column]:
 
 @provider("mss", "raster", ["mean_sea_surface"], ["mss"], ["step"])
 def _mss(df, tables, o):
-    """A global raster by bicubic lookup, moved to the target ellipsoid."""
+    """A global raster by its cubic spline, moved to the target ellipsoid."""
     ix, iy = _global_index(o["step"])
     base = df.withColumns({"__ix": ix, "__iy": iy})
-    out = L.cubic_lookup(base, tables["mss"], "__ix", "__iy", "mss", ["segment_id", "record_idx"], "mean_sea_surface").drop("__ix", "__iy")
+    out = L.spline_lookup(base, tables["mss"], "__ix", "__iy", "mss", ["segment_id", "record_idx"], "mean_sea_surface").drop("__ix", "__iy")
     if "ellipsoid" in o:
         out = out.withColumn("mean_sea_surface", F.col("mean_sea_surface") + ellipsoid_delta(F.col("latitude"), *o["ellipsoid"]))
     return out
@@ -163,11 +163,13 @@ def _mss(df, tables, o):
 
 @provider("mdt", "raster", ["mean_dynamic_topography", "mean_dynamic_topography_uncertainty"], ["mdt"], ["step"])
 def _mdt(df, tables, o):
+    """Topography and its error by cubic splines; 0 where the raster has none."""
     ix, iy = _global_index(o["step"])
-    out = df
+    out = df.withColumns({"__ix": ix, "__iy": iy})
     for value, name in (("mdt", "mean_dynamic_topography"), ("err", "mean_dynamic_topography_uncertainty")):
-        out = L.bilinear(out, tables["mdt"], ix, iy, value, ["segment_id", "record_idx"], out=name).fillna(0.0, [name])
-    return out
+        raster = tables["mdt"].withColumn(value, F.coalesce(F.col(value), F.lit(0.0)))
+        out = L.spline_lookup(out, raster, "__ix", "__iy", value, ["segment_id", "record_idx"], name).fillna(0.0, [name])
+    return out.drop("__ix", "__iy")
 
 
 _SNOW = ["snow_depth", "snow_depth_uncertainty", "snow_density", "snow_density_uncertainty"]

@@ -247,13 +247,53 @@ def polygon_lookup(points: DataFrame, polygons: DataFrame, x: str, y: str, row_k
     return points.join(best, list(row_key), "left")
 
 
-def cubic_lookup(points: DataFrame, raster: DataFrame, ix: str, iy: str, value: str, row_key: Sequence[str], out: str | None = None) -> DataFrame:
-    """Bicubic (Catmull-Rom) interpolation over the 4 x 4 cells around a point, as one equi-join on cells. It passes
-    through the cell values like the spline, without that one's global prefilter."""
+_REACH = 40  # the filter's weights fall by 3.7 a cell
+
+
+def spline_line(values: np.ndarray) -> np.ndarray:
+    """Cubic B-spline coefficients of a line of values that is mirrored at its ends: the spline passes through them."""
+    if len(values) < 2:
+        return values
+    pole = np.sqrt(3.0) - 2.0
+    weights = -6 * pole / (1 - pole**2) * pole ** np.abs(np.arange(-_REACH, _REACH + 1))
+    return np.convolve(np.pad(values, _REACH, mode="reflect"), weights, "valid")
+
+
+def spline_coefficients(raster: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
+    """A raster (keys, ix, iy, value) without gaps as cubic B-spline coefficients, with a mirrored border of one cell: lines
+    along ix first, then along iy. A task holds lines, never the raster."""
+    schema = ", ".join([*(f"`{k}` {t}" for k, t in raster.select(*keys).dtypes), "ix int", "iy int", f"`{value}` double"])
+
+    def along(axis: str):
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values(axis, ignore_index=True)
+            v, at = spline_line(pdf[value].to_numpy(float)), pdf[axis].to_numpy()
+            if len(v) > 1:
+                v, at = np.concatenate([[v[1]], v, [v[-2]]]), np.concatenate([[at[0] - 1], at, [at[-1] + 1]])
+            fixed = {c: pdf[c].iloc[0] for c in (*keys, "iy" if axis == "ix" else "ix")}
+            return pd.DataFrame({**fixed, axis: at, value: v})[[*keys, "ix", "iy", value]]
+
+        return run
+
+    base = raster.select(*keys, F.col("ix").cast("int").alias("ix"), F.col("iy").cast("int").alias("iy"), F.col(value).cast("double").alias(value))
+    rows = base.groupBy(*keys, "iy").applyInPandas(along("ix"), schema)
+    return rows.groupBy(*keys, "ix").applyInPandas(along("iy"), schema)
+
+
+def spline_lookup(points: DataFrame, raster: DataFrame, ix: str, iy: str, value: str, row_key: Sequence[str], out: str | None = None) -> DataFrame:
+    """Cubic spline interpolation in a raster without gaps."""
+    return cubic_lookup(points, spline_coefficients(raster, value), ix, iy, value, row_key, out, "spline")
+
+
+def cubic_lookup(points: DataFrame, raster: DataFrame, ix: str, iy: str, value: str, row_key: Sequence[str], out: str | None = None, kind: str = "catmull_rom") -> DataFrame:
+    """Bicubic interpolation over the 4 x 4 cells around a point, as one equi-join on cells: Catmull-Rom through the cell
+    values, or (spline) the B-spline of a raster of its coefficients."""
     out = out or value
 
     def weights(t: Column) -> list[Column]:
         t2, t3 = t * t, t * t * t
+        if kind == "spline":
+            return [(1 - 3 * t + 3 * t2 - t3) / 6.0, (4 - 6 * t2 + 3 * t3) / 6.0, (1 + 3 * t + 3 * t2 - 3 * t3) / 6.0, t3 / 6.0]
         return [-0.5 * t3 + t2 - 0.5 * t, 1.5 * t3 - 2.5 * t2 + 1.0, -1.5 * t3 + 2.0 * t2 + 0.5 * t, 0.5 * t3 - 0.5 * t2]
 
     fx, fy = F.floor(F.col(ix)), F.floor(F.col(iy))
@@ -262,5 +302,7 @@ def cubic_lookup(points: DataFrame, raster: DataFrame, ix: str, iy: str, value:
         F.struct((fx + i - 1).cast("int").alias("ix"), (fy + j - 1).cast("int").alias("iy"), (wx[i] * wy[j]).alias("w")) for i in range(4) for j in range(4)
     ])
     asked = points.select(*row_key, F.explode(cells).alias("c")).select(*row_key, "c.*")
+    if kind == "spline":
+        asked = asked.filter("w <> 0")
     hits = asked.join(small(raster.select("ix", "iy", F.col(value).alias("__v"))), ["ix", "iy"], "left").groupBy(*row_key)
-    return points.join(hits.agg(F.when(F.count("__v") == 16, F.sum(F.col("w") * F.col("__v"))).alias(out)), list(row_key), "left")
+    return points.join(hits.agg(F.when(F.count("__v") == (F.count(F.lit(1)) if kind == "spline" else 16), F.sum(F.col("w") * F.col("__v"))).alias(out)), list(row_key), "left")

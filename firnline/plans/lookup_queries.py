@@ -35,6 +35,13 @@ def raster_cubic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out.select("o_orderkey", "v"))
 
 
+def raster_spline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = spark.range(1600).select((F.col("id") % 40).cast("int").alias("ix"), F.floor(F.col("id") / 40).cast("int").alias("iy"))
+    whole = cells.join(_raster(spark, sf_dir), ["ix", "iy"], "left").fillna(0.0, ["v"])
+    out = L.spline_lookup(_points(spark, sf_dir), whole, "px", "py", "v", ["o_orderkey"])
+    return rounded(out.select("o_orderkey", "v"))
+
+
 def closest_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order's nearest month chart; the catalogue is that of the months of all orders."""
     o = load(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
@@ -116,7 +123,7 @@ def flattened_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        raster_nearest, raster_bilinear, raster_cubic, closest_date, valid_interval, latest_per_customer, interpolate_series, monthly_table, month_weights,
+        raster_nearest, raster_bilinear, raster_cubic, raster_spline, closest_date, valid_interval, latest_per_customer, interpolate_series, monthly_table, month_weights,
         polygon_regions, edge_proximity, risk_index, patched_product, flattened_blocks,
     )
 }
@@ -130,8 +137,22 @@ _CROSS = " + ".join(
     f"(case when ({5 + y0} > py) <> ({5 + y1} > py) and px < r * 8.0 + {x0} + (py - {5 + y0}) * ({x1} - {x0})::double / ({y1} - {y0}) then 1 else 0 end)"
     for (x0, y0), (x1, y1) in zip(_EDGES, _EDGES[1:] + _EDGES[:1])
 )
+_H = "-6 * (sqrt(3.0::double) - 2) / (1 - (sqrt(3.0::double) - 2) ** 2) * (sqrt(3.0::double) - 2) ** abs(k)"
+_MIRROR = lambda i: f"(39 - abs((({i}) + 78 * 10) % 78 - 39))"  # noqa: E731  cells 0 to 39, mirrored at both ends
+_B4 = lambda t: [f"(1 - 3 * {t} + 3 * {t}**2 - {t}**3) / 6", f"(4 - 6 * {t}**2 + 3 * {t}**3) / 6", f"(1 + 3 * {t} + 3 * {t}**2 - 3 * {t}**3) / 6", f"({t}**3) / 6"]
+_PICK_B = lambda c, t: f"case {c} " + " ".join(f"when {k - 1} then {w}" for k, w in enumerate(_B4(t))) + " end"
 
 SQL = {
+    "raster_spline": f"""
+        with {_RASTER}, {_POINTS}, w as (select x as ix, y as iy, coalesce(v, 0) as v from range(40) a(x) cross join range(40) b(y) left join raster on ix = x and iy = y),
+        a as (select q.ix, q.iy, sum(r.v * ({_H})) as v from w q, range(-40, 41) h(k), w r where r.iy = q.iy and r.ix = {_MIRROR('q.ix + k')} group by 1, 2),
+        s as (select q.ix, q.iy, sum(r.v * ({_H})) as v from a q, range(-40, 41) h(k), a r where r.ix = q.ix and r.iy = {_MIRROR('q.iy + k')} group by 1, 2),
+        c as (
+            select o_orderkey, px <= 39 and py <= 39 as inside, {_MIRROR('floor(px) + i - 1')} as cx, {_MIRROR('floor(py) + j - 1')} as cy, ({_PICK_B('i - 1', '(px - floor(px))')}) * ({_PICK_B('j - 1', '(py - floor(py))')}) as w
+            from points, range(4) x(i), range(4) y(j)
+        ), t as (select o_orderkey, min(inside) as inside, sum(w * v) as v from c join s on ix = cx and iy = cy group by 1)
+        select o_orderkey, round(case when inside then v end, 6) + 0.0 as v from t
+    """,
     "raster_nearest": f"""
         with {_RASTER}, {_POINTS}
         select o_orderkey, coalesce(v, -1.0) as v from points left join raster on ix = floor(px + 0.5) and iy = floor(py + 0.5)

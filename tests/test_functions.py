@@ -136,3 +136,15 @@ def test_templates():
     with pytest.raises(KeyError):
         fill_template("{nope}", {})
     assert closest_dates([2]) == [0, -1, 1, -2, 2]
+
+
+def test_spline_passes_through_its_values():
+    from firnline.operators.lookups import spline_line
+
+    rng = np.random.default_rng(0)
+    for n in (2, 3, 7, 60):
+        v = rng.normal(size=n)
+        c = spline_line(v)
+        mirrored = np.concatenate([[c[1]], c, [c[-2]]])
+        assert np.allclose((mirrored[:-2] + 4 * mirrored[1:-1] + mirrored[2:]) / 6, v, atol=1e-10)
+    assert spline_line(np.array([3.0])).tolist() == [3.0]
