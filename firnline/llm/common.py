@@ -19,11 +19,13 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder for cut lineage: spark.checkpoint.dir, or (only where that is unset) a folder
-    under the warehouse, which every executor of a cluster shares as well."""
+    """The shared folder for cut lineage: spark.checkpoint.dir, or, where that is unset, a folder under the warehouse. A
+    warehouse on a machine's own disk will do for a local master only; on a cluster it is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        if not spark.sparkContext.master.startswith("local") and base.split(":", 1)[0] in (base, "file"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return base.rstrip("/")
 
 

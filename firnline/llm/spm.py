@@ -302,10 +302,10 @@ class Encoder:
         """(words, their ids in a row, number of ids of each), a group of equal length at a time."""
         length = np.array([len(w) for w in words])
         if self.v.model_type == BPE and (length > _LONG).any():
-            for i in np.flatnonzero(length > _LONG).tolist():
-                path = self._long_path(words[i])
-                ids = self._fallback(words[i], path) if (path < 0).any() else path
-                yield [words[i]], ids, np.array([len(ids)])
+            long = [words[i] for i in np.flatnonzero(length > _LONG).tolist()]
+            for word, path in zip(long, self._long_paths(long)):
+                ids = self._fallback(word, path) if (path < 0).any() else path
+                yield [word], ids, np.array([len(ids)])
             words = [w for w in words if len(w) <= _LONG]
             length = np.array([len(w) for w in words])
         for size in np.unique(length).tolist():
@@ -320,40 +320,45 @@ class Encoder:
                     ids = self._fallback(group[i], path[i][used[i]])
                     yield [group[i]], ids, np.array([len(ids)])
 
-    def _long_path(self, word: str) -> np.ndarray:
-        """The pieces of a long word by windows of `size` characters that overlap by a quarter."""
-        n, size = len(word), _LONG
-        while size < n:
-            starts = [*range(0, n - size, size - size // 4), n - size]
-            found: tuple[np.ndarray, np.ndarray] | None = None  # starts and pieces of what is joined so far
-            parts: list[tuple[np.ndarray, np.ndarray]] = []
+    def _long_paths(self, words: list[str]) -> list[np.ndarray]:
+        """The pieces of long words by windows of `size` characters that overlap by a quarter; the windows of all words
+        advance together."""
+        out: list = [None] * len(words)
+        todo, size = list(range(len(words))), _LONG
+        while todo:
+            for i in [i for i in todo if len(words[i]) <= size]:
+                path, used = self._best([words[i]], len(words[i]))
+                out[i] = path[0][used[0]]
+            todo = [i for i in todo if len(words[i]) > size]
+            step = size - size // 4
+            windows = [(i, s) for i in todo for s in [*range(0, len(words[i]) - size, step), len(words[i]) - size]]
+            # of each word what is joined so far: finished parts, starts and pieces of the last; None: no common piece
+            joined: dict[int, list | None] = {}
             at_once = max(1, _CELLS // size)
-            for first in range(0, len(starts), at_once):
-                mine = starts[first : first + at_once]
-                path, used = self._best([word[s : s + size] for s in mine], size)
-                for k, start in enumerate(mine):
+            for first in range(0, len(windows), at_once):
+                mine = windows[first : first + at_once]
+                path, used = self._best([words[i][s : s + size] for i, s in mine], size)
+                for k, (i, start) in enumerate(mine):
                     piece = path[k][used[k]]
                     length = np.where(piece >= 0, self.v.length[piece], 1)
                     at = start + np.cumsum(length) - length
-                    if found is None:
-                        found = at, piece
+                    state = joined.setdefault(i, [[], at, piece])
+                    if state is None or state[1] is at:
                         continue
-                    common = np.intersect1d(found[0] << 24 | (found[1] + 1), at << 24 | (piece + 1), assume_unique=True)
+                    parts, before, pieces = state
+                    common = np.intersect1d(before << 24 | (pieces + 1), at << 24 | (piece + 1), assume_unique=True)
                     if not len(common):
-                        found = None
-                        break
+                        joined[i] = None
+                        continue
                     join = common[0] >> 24
-                    before = found[0] <= join
-                    parts.append((found[0][before], found[1][before]))
-                    found = at[at > join], piece[at > join]
-                else:
-                    continue
-                break
-            if found is not None:
-                return np.concatenate([*[p for _, p in parts], found[1]])
+                    parts.append(pieces[before <= join])
+                    joined[i] = [parts, at[at > join], piece[at > join]]
+            for i in todo:
+                if joined[i] is not None:
+                    out[i] = np.concatenate([*joined[i][0], joined[i][2]])
+            todo = [i for i in todo if joined[i] is None]
             size *= 2
-        path, used = self._best([word], n)
-        return path[0][used[0]]
+        return out
 
     def _fallback(self, word: str, path: np.ndarray) -> np.ndarray:
         ids, at = [], 0

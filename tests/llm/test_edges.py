@@ -94,3 +94,41 @@ def test_vectors_with_clashing_columns(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0])], "vec_id long, embedding array<float>")
     df = df.withColumns({c: F.lit(1) for c in ("number", "query_id", "score", "rank", "label")})
     assert [tuple(r) for r in topk.top_k(df, F.col("vec_id") % 100 == 0).orderBy("rank").collect()] == [(0, 1, 1, 1024 * 1024), (0, 2, 1, 1024 * 1024)]
+
+
+def test_scratch_folder():
+    """The session's checkpoint folder; without one the warehouse, but no machine's own disk on a cluster."""
+    from types import SimpleNamespace
+
+    from firnline.llm.common import scratch_dir
+
+    def session(master, **conf):
+        conf = {"spark.sql.warehouse.dir": "file:/w", **{k.replace("_", "."): v for k, v in conf.items()}}
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)), sparkContext=SimpleNamespace(master=master))
+
+    assert scratch_dir(session("spark://a:1", spark_checkpoint_dir="hdfs://h/c/")) == "hdfs://h/c" and scratch_dir(session("local[2]")) == "file:/w/_scratch"
+    shared = session("spark://a:1")
+    shared.conf.get = lambda k, d=None: {"spark.sql.warehouse.dir": "hdfs://h/w"}.get(k, d)
+    assert scratch_dir(shared) == "hdfs://h/w/_scratch"
+    with pytest.raises(ValueError):
+        scratch_dir(session("spark://a:1"))
+
+
+def test_discarded_tables_are_gone(spark):
+    from firnline.llm.common import discard, materialize
+
+    table = materialize(spark.range(5), "gone")
+    assert table.count() == 5
+    discard(table)
+    assert not os.path.exists(table.scratch_path.removeprefix("file:"))
+
+
+def test_sieve_lets_every_key_through(spark):
+    from firnline.llm.common import Sieve
+
+    keys = spark.range(3000).select((F.col("id") * 7).alias("k"))
+    df = spark.range(40000).withColumn("sieve_word", F.lit(1))
+    out = Sieve(keys, F.col("k")).marked(df, F.col("id"), "may")
+    hit = {r["id"] for r in out.filter("may").collect()}
+    assert out.columns == ["id", "sieve_word", "may"] and {i * 7 for i in range(3000)} <= hit and len(hit) < 3000 + 0.1 * 37000
+    assert Sieve(keys.limit(0), F.col("k")).marked(df, F.col("id"), "may").filter("may").isEmpty()

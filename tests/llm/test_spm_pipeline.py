@@ -70,6 +70,10 @@ def test_unbroken_texts(vocabulary):
     texts += ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCXYZ0123456789+/") for _ in range(3000)), "中" * 900 + "文字" * 500, "x" * 257, "ab" * 128 + "c"]
     for t in texts:
         assert e.encode([t])[0].tolist() == lib.encode(t), t[:40]
+    ids, offsets = e.encode(texts)  # all together, from an empty cache
+    e._clear()
+    ids, offsets = e.encode([" ".join(texts), *texts])
+    assert ids[: offsets[1]].tolist() == lib.encode(" ".join(texts)) and [ids[a:b].tolist() for a, b in zip(offsets[1:], offsets[2:])] == lib.encode(texts)
     began = time.time()
     long = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(200_000))
     assert e.encode([long])[0].tolist() == lib.encode(long)
