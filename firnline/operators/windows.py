@@ -90,23 +90,38 @@ def rolling_by_spacing(df: DataFrame, track: Track, column: str, window: str, pr
 
 def box_smooth(df: DataFrame, track: Track, column: str, window: int | str, out: str | None = None) -> DataFrame:
     """Box mean whose half width shrinks towards the segment's ends (min(i, n - 1 - i, half)), of the values
-    present. Constant frames for the interior; the few shrunk frames at the ends are cases of their own. window: records,
-    or a column of them (NULL gives NULL)."""
+    present. Prefix sums: inside, those `half` records on and back; at the ends, where the frame shrinks, the first and last
+    2 half + 1 of the segment, which every row gets as arrays. Wider windows, and widths in a column (NULL gives NULL), look
+    the sums up by position."""
     out = out or f"{column}_smooth"
     half = (window - 1) // 2 if isinstance(window, int) else F.floor((F.col(window) - 1) / 2).cast("int")
-    c = F.col(column)
+    c = F.col(column).cast("double")
     base = df.withColumns({"__i": track.position(), "__n": F.count(F.lit(1)).over(track.whole)})
-    reach = F.least(F.col("__i"), F.col("__n") - 1 - F.col("__i"), F.lit(half))
-    if not isinstance(half, int):
-        reach = F.when(half.isNotNull(), reach)
-    elif half <= 32:
-        value = F.avg(c).over(track.rows(-half, half))
-        for h in range(half):
-            value = F.when(reach == h, F.avg(c).over(track.rows(-h, h))).otherwise(value)
-        return base.withColumn(out, value).drop("__i", "__n")
-    width = base.withColumn("__w", 2 * reach + 1)
-    smooth = rolling_by_spacing(width, track, column, "__w", "__r")
-    return smooth.withColumn(out, F.col("__r_rolling_mean")).drop("__i", "__n", "__w", "__r_rolling_mean", "__r_rolling_sdev")
+    if not isinstance(half, int) or half > 64:
+        reach = F.least(F.col("__i"), F.col("__n") - 1 - F.col("__i"), F.lit(half))
+        width = base.withColumn("__w", 2 * (reach if isinstance(half, int) else F.when(half.isNotNull(), reach)) + 1)
+        smooth = rolling_by_spacing(width, track, column, "__w", "__r")
+        return smooth.withColumn(out, F.col("__r_rolling_mean")).drop("__i", "__n", "__w", "__r_rolling_mean", "__r_rolling_sdev")
+    shift = F.avg(c).over(track.whole)  # near the mean, so that sums keep their digits
+    base = base.withColumns({"__shift": shift, "__k": F.count(c).over(track.before), "__s": F.coalesce(F.sum(c - shift).over(track.before), F.lit(0.0))})
+    base = base.withColumn("__p", F.struct(F.col("__k").alias("k"), F.col("__s").alias("s")))
+    i, n = F.col("__i"), F.col("__n")
+    everything = track.along.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    base = base.withColumns({
+        "__lead": F.lead("__p", half).over(track.along), "__lag": F.lag("__p", half + 1).over(track.along),
+        "__first": F.collect_list(F.when(i <= 2 * half, F.col("__p"))).over(everything), "__last": F.collect_list(F.when(i >= n - 1 - 2 * half, F.col("__p"))).over(everything),
+    })
+    none = F.struct(F.lit(0).cast("long").alias("k"), F.lit(0.0).alias("s"))
+    from_start = (i <= n - 1 - i) & (i < half)  # the frame is 0 .. 2 i
+    to_end = ~from_start & (n - 1 - i < half)  # the frame is 2 i - n + 1 .. n - 1
+    offset = F.greatest(n - 1 - 2 * half, F.lit(0))  # the position of the first of __last
+    high = F.when(from_start, F.get("__first", (2 * i).cast("int"))).when(to_end, F.element_at("__last", -1)).otherwise(F.col("__lead"))
+    before = 2 * i - n  # the last record that the frame leaves out
+    low = F.when(from_start, none).when(to_end, F.when(before >= 0, F.get("__last", (before - offset).cast("int"))).otherwise(none)).otherwise(F.coalesce("__lag", none))
+    base = base.withColumns({"__high": high, "__low": low})
+    count = F.col("__high.k") - F.col("__low.k")
+    value = F.when(count > 0, F.col("__shift") + (F.col("__high.s") - F.col("__low.s")) / count)
+    return base.withColumn(out, value).drop("__i", "__n", "__shift", "__k", "__s", "__p", "__lead", "__lag", "__first", "__last", "__high", "__low")
 
 
 def neighbours(track: Track, column: Column, x: Column) -> dict[str, Column]:

@@ -238,3 +238,21 @@ def test_concentration_options(spark):
     out = Auxiliary([("sic", "nearest", {"grid": grid}), ("sic", "distances", {"grid": grid, "reach": 4})]).apply(df, {"sic": field}).select("*", grid_index(grid, F.col("longitude"), F.col("latitude"))[0].alias("x")).collect()
     for r in out:
         assert abs(r["distance_to_ocean"] - max(r["x"] - 2, 0) * 1e5) < 1e-3 and abs(r["distance_to_low_ice_concentration"] - max(r["x"] - 5, 0) * 1e5) < 1e-3
+
+
+def test_box_mean_by_loops(spark):
+    """All widths against segments shorter and longer than them, with gaps."""
+    import random
+
+    from firnline.operators.windows import Track, box_smooth
+
+    rng = random.Random(6)
+    rows = [(n, i, None if rng.random() < 0.2 else rng.uniform(1000, 1010)) for n in (1, 2, 3, 7, 20, 61) for i in range(n)]
+    df = spark.createDataFrame(rows, "segment_id int, record_idx int, v double")
+    for window in (1, 3, 5, 11, 41, 201):
+        got = {(r[0], r[1]): r["out"] for r in box_smooth(df, Track(), "v", window, "out").collect()}
+        for n, i, _ in rows:
+            reach = min(i, n - 1 - i, (window - 1) // 2)
+            near = [v for m, j, v in rows if m == n and abs(j - i) <= reach and v is not None]
+            want = sum(near) / len(near) if near else None
+            assert (got[n, i] is None) == (want is None) and (want is None or abs(got[n, i] - want) < 1e-8), (n, i, window)
