@@ -201,6 +201,56 @@ def densify(cells: DataFrame, grid: DataFrame, cell: Sequence[str] = CELL) -> Da
     return grid.join(cells, list(cell), "left")
 
 
+#: The columns that gridded uncertainties are made of and write, by the names that names= may replace.
+UNCERTAINTY_COLUMNS = (
+    "radar_freeboard_l3_uncertainty", "sea_ice_freeboard", "sea_ice_freeboard_l3_uncertainty", "snow_depth", "snow_depth_uncertainty", "snow_density", "snow_density_uncertainty",
+    "sea_ice_density", "sea_ice_density_uncertainty", "sea_ice_thickness", "sea_ice_thickness_l3_uncertainty", "sea_ice_draft_l3_uncertainty",
+)
+_UNCERTAINTY_OPTIONS = {
+    "radar_freeboard": set(), "sea_ice_freeboard": {"snow_factor"}, "sea_ice_thickness": {"water_density"}, "sea_ice_draft": set(),
+}
+
+
+def chosen_uncertainties(cells: DataFrame, kinds: Mapping[str, Mapping], names: Mapping[str, str] | None = None) -> DataFrame:
+    """The uncertainties named in kinds, each with its options: valid_range (both ends kept), snow_factor of the freeboard's,
+    water_density of the thickness's. names: other columns for those of UNCERTAINTY_COLUMNS, so that several solutions can
+    stand side by side. The radar freeboard's is made by inverse_variance and only clipped here."""
+    from firnline.functions.physics import thickness_uncertainty
+
+    if unknown := set(kinds) - set(_UNCERTAINTY_OPTIONS):
+        raise ValueError(f"unknown uncertainties {sorted(unknown)}")
+    for kind, options in kinds.items():
+        if unknown := set(options) - _UNCERTAINTY_OPTIONS[kind] - {"valid_range"}:
+            raise ValueError(f"{kind}: unknown options {sorted(unknown)}")
+    if unknown := set(names or {}) - set(UNCERTAINTY_COLUMNS):
+        raise ValueError(f"unknown columns {sorted(unknown)}")
+    name = {c: c for c in UNCERTAINTY_COLUMNS} | dict(names or {})
+    col = lambda c: F.col(name[c])
+
+    def clipped(value: Column, kind: str) -> Column:
+        if "valid_range" not in kinds[kind]:
+            return value
+        low, high = kinds[kind]["valid_range"]
+        return F.when(value.isNotNull(), F.least(F.greatest(value, F.lit(float(low))), F.lit(float(high))))
+
+    radar, frb, sit = "radar_freeboard_l3_uncertainty", "sea_ice_freeboard_l3_uncertainty", "sea_ice_thickness_l3_uncertainty"
+    if "radar_freeboard" in kinds:
+        cells = cells.withColumn(name[radar], clipped(col(radar), "radar_freeboard"))
+    if "sea_ice_freeboard" in kinds:
+        value = F.sqrt(F.pow(F.lit(float(kinds["sea_ice_freeboard"].get("snow_factor", 0.22))) * col("snow_depth_uncertainty"), 2) + F.pow(col(radar), 2))
+        known = col("sea_ice_freeboard").isNotNull() & col("snow_depth").isNotNull()
+        cells = cells.withColumn(name[frb], clipped(F.when(known, value), "sea_ice_freeboard"))
+    if "sea_ice_thickness" in kinds:
+        value = thickness_uncertainty(
+            col("sea_ice_freeboard"), col("snow_depth"), F.lit(float(kinds["sea_ice_thickness"].get("water_density", 1024.0))), col("sea_ice_density"), col("snow_density"), col(frb),
+            col("snow_depth_uncertainty"), col("sea_ice_density_uncertainty"), col("snow_density_uncertainty"),
+        )
+        cells = cells.withColumn(name[sit], clipped(F.when(col("sea_ice_thickness").isNotNull(), value), "sea_ice_thickness"))
+    if "sea_ice_draft" in kinds:
+        cells = cells.withColumn(name["sea_ice_draft_l3_uncertainty"], clipped(F.sqrt(F.pow(col(sit), 2) + F.pow(col(frb), 2)), "sea_ice_draft"))
+    return cells
+
+
 def stack_metadata(df: DataFrame, mission: str, time: str) -> DataFrame:
     return df.agg(
         F.array_join(F.array_sort(F.collect_set(mission)), ",").alias("missions"), F.min(time).alias("start_time"), F.max(time).alias("stop_time")

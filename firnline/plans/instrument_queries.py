@@ -22,7 +22,7 @@ from firnline.plans.level1 import preprocess, processor
 from firnline.plans.steps import Pipeline
 from firnline.plans.tables import EVENTS, SURFACE_SQL, events, load, rounded, surface_of_line
 from firnline.sources import adapters
-from firnline.sources.manifest import polar_ocean_files, xml_fields
+from firnline.sources.manifest import day_files, detect_version, period_files, polar_ocean_files, xml_fields
 from firnline.sources.records import daily_merge
 from firnline.streaming.sessions import chains, grid_counts
 
@@ -143,6 +143,40 @@ def candidate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(files.select("user_id", "lat_min", "lat_max", F.col("header.orbit").alias("orbit"), F.col("header.pct").alias("percent")))
 
 
+def _files(spark, sf_dir) -> DataFrame:
+    """A file for each user's events, named by its times, in a folder of its start's month."""
+    spans = events(spark, sf_dir).groupBy("user_id").agg(F.min("ts").alias("start"), F.max("ts").alias("stop"))
+    half = F.when(F.col("user_id") % 2 == 0, F.lit("north")).otherwise(F.lit("south"))
+    return spans.withColumn("path", F.concat(F.lit("/base/v1/"), half, F.lit("/"), F.date_format("start", "yyyy/MM"), F.lit("/f"), F.col("user_id").cast("string"), F.lit(".nc")))
+
+
+def files_of_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = _files(spark, sf_dir)
+    out = period_files(files, "/base", "north", "2024-01-10", "2024-01-12", detect_version(files, "/base"))
+    return out.select("user_id", "path")
+
+
+def files_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return day_files(_files(spark, sf_dir), "2024-01-02").select("user_id")
+
+
+def chosen_cell_uncertainties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two solutions of gridded uncertainties side by side, with ranges and other factors and names."""
+    s = load(spark, sf_dir, "supplier")
+    v = lambda k, d: (F.col("s_suppkey") % k + 1) / float(d)
+    cells = s.select(
+        "s_suppkey", v(7, 50).alias("radar_freeboard_l3_uncertainty"), F.when(F.col("s_suppkey") % 11 > 0, v(13, 20)).alias("sea_ice_freeboard"), v(5, 10).alias("snow_depth"), v(3, 30).alias("snow_depth_uncertainty"),
+        (v(9, 1) * 10 + 250).alias("snow_density"), (v(4, 1) * 8).alias("snow_density_uncertainty"), (v(6, 1) * 5 + 880).alias("sea_ice_density"), (v(8, 1) * 4).alias("sea_ice_density_uncertainty"),
+        F.when(F.col("s_suppkey") % 17 > 0, v(10, 2)).alias("sea_ice_thickness"), v(19, 90).alias("other_radar"),
+    )
+    everything = {"radar_freeboard": {"valid_range": (0.04, 0.1)}, "sea_ice_freeboard": {}, "sea_ice_thickness": {"valid_range": (0.5, 2.0)}, "sea_ice_draft": {}}
+    out = G.chosen_uncertainties(cells, everything)
+    other = {"radar_freeboard_l3_uncertainty": "other_radar", "sea_ice_freeboard_l3_uncertainty": "other_frb", "sea_ice_thickness_l3_uncertainty": "other_sit"}
+    out = G.chosen_uncertainties(out, {"sea_ice_freeboard": {"snow_factor": 0.3}, "sea_ice_thickness": {"water_density": 1027.0}}, other)
+    columns = [f"{k}_l3_uncertainty" for k in ("radar_freeboard", "sea_ice_freeboard", "sea_ice_thickness", "sea_ice_draft")]
+    return rounded(out.select("s_suppkey", *columns, "other_frb", "other_sit"))
+
+
 def masked_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Masks and ocean density joined to the cells of a grid."""
     li = load(spark, sf_dir, "lineitem")
@@ -300,7 +334,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         radar_geometry, echo_scaling, echo_backscatter, echo_ice_retracker, retracker_thresholds, retracked_surfaces, record_steps, combined_conditions, reflected_mean, candidate_files,
-        masked_cells, auxiliary_constants, auxiliary_rasters, session_chains, daily_cells, level1_custom_orbit, level1_half_orbit, level1_full_orbit, adapted_cryosat2, adapted_sentinel3, adapted_ers, adapted_envisat, record_spacing, sea_level_metres,
+        files_of_period, files_of_day, chosen_cell_uncertainties, masked_cells, auxiliary_constants, auxiliary_rasters, session_chains, daily_cells, level1_custom_orbit, level1_half_orbit, level1_full_orbit, adapted_cryosat2, adapted_sentinel3, adapted_ers, adapted_envisat, record_spacing, sea_level_metres,
     )
 }
 
@@ -446,6 +480,26 @@ SQL = {
         select user_id, round(lo, 6) + 0.0 as lat_min, round(hi, 6) + 0.0 as lat_max, user_id as orbit, round(pct, 3) + 0.0 as percent
         from f where pct > 1e-6 and greatest(abs(lo), abs(hi)) >= 45 and hi > 0
     """,
+    "files_of_period": """
+        with f as (select user_id, min(ts) as a, max(ts) as b from events group by 1)
+        select user_id, '/base/v1/north/' || strftime(a, '%Y/%m') || '/f' || user_id || '.nc' as path from f
+        where user_id % 2 = 0 and strftime(a, '%Y/%m') between '2023/12' and '2024/01' and a <= timestamp '2024-01-12' and b >= timestamp '2024-01-10'
+    """,
+    "files_of_day": """
+        with f as (select user_id, min(ts) as a, max(ts) as b from events group by 1)
+        select user_id from f where cast(a as date) = date '2024-01-02' or (cast(a as date) = date '2024-01-01' and cast(b as date) >= date '2024-01-02')
+    """,
+    "chosen_cell_uncertainties": """
+        with c as (select s_suppkey, least(greatest((s_suppkey % 7 + 1) / 50.0::double, 0.04), 0.1) as r, case when s_suppkey % 11 > 0 then (s_suppkey % 13 + 1) / 20.0::double end as frb, (s_suppkey % 5 + 1) / 10.0::double as sd,
+                          (s_suppkey % 3 + 1) / 30.0::double as sdu, (s_suppkey % 9 + 1) * 10 + 250.0::double as sn, (s_suppkey % 4 + 1) * 8.0::double as snu, (s_suppkey % 6 + 1) * 5 + 880.0::double as ice, (s_suppkey % 8 + 1) * 4.0::double as iceu,
+                          s_suppkey % 17 > 0 as has, (s_suppkey % 19 + 1) / 90.0::double as r2 from supplier),
+        f as (select *, case when frb is not null then sqrt((0.22 * sdu) ** 2 + r ** 2) end as fu, case when frb is not null then sqrt((0.3 * sdu) ** 2 + r2 ** 2) end as fu2 from c),
+        t as (select *, case when has then sqrt((1024 / (1024 - ice) * fu) ** 2 + ((frb * 1024 + sd * sn) / (1024 - ice) ** 2 * iceu) ** 2 + (sn / (1024 - ice) * sdu) ** 2 + (sd / (1024 - ice) * snu) ** 2) end as su,
+                     case when has then sqrt((1027 / (1027 - ice) * fu2) ** 2 + ((frb * 1027 + sd * sn) / (1027 - ice) ** 2 * iceu) ** 2 + (sn / (1027 - ice) * sdu) ** 2 + (sd / (1027 - ice) * snu) ** 2) end as su2 from f),
+        u as (select *, case when su is not null then least(greatest(su, 0.5), 2.0) end as s from t)
+        select s_suppkey, round(r, 6) + 0.0 as radar_freeboard_l3_uncertainty, round(fu, 6) + 0.0 as sea_ice_freeboard_l3_uncertainty, round(s, 6) + 0.0 as sea_ice_thickness_l3_uncertainty,
+               round(sqrt(s ** 2 + fu ** 2), 6) + 0.0 as sea_ice_draft_l3_uncertainty, round(fu2, 6) + 0.0 as other_frb, round(su2, 6) + 0.0 as other_sit from u
+    """,
     "masked_cells": """
         with c as (select cast(l_orderkey % 25 as integer) as yj, cast(l_partkey % 25 as integer) as xi, count(*) as n from lineitem group by 1, 2)
         select yj, xi, n, case when (yj + xi) % 3 > 0 then yj * 2 end as warm, case when xi % 4 > 0 then (yj * xi) % 5 = 0 end as is_land from c

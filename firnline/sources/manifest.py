@@ -74,3 +74,32 @@ def polar_ocean_files(summary: DataFrame, min_latitude: float, hemisphere: str |
 
 def xml_fields(text: Column, schema: str) -> Column:
     return F.from_xml(text, schema)
+
+
+HEMISPHERES = ("north", "south", "global", "nh", "sh")
+
+
+def detect_version(files: DataFrame, base: str) -> str | None:
+    """The version folder right under the base folder: None if there is no folder but those of hemispheres. Several are an
+    error, as one of them has to be named."""
+    top = F.regexp_extract("path", "^" + re.escape(base.rstrip("/")) + "/([^/]+)/", 1)
+    found = files.select(top.alias("v")).filter((F.col("v") != "") & ~F.col("v").isin(*HEMISPHERES)).distinct().limit(2).collect()
+    if len(found) > 1:
+        raise ValueError(f"several versions under {base}: {sorted(r['v'] for r in found)}, name one")
+    return found[0]["v"] if found else None
+
+
+def period_files(files: DataFrame, base: str, hemisphere: str, first, last, version: str | None = None, start: str = "start", stop: str = "stop") -> DataFrame:
+    """Files below base[/version]/hemisphere/yyyy/mm that overlap a period. Files are stored by the month they start in, so the
+    month before the period is looked at as well: only those folders, then the times."""
+    folder = "/".join([base.rstrip("/"), *([version] if version else []), hemisphere])
+    month = F.regexp_extract("path", "^" + re.escape(folder) + r"/(\d{4}/\d{2})/", 1)
+    low, high = (F.date_format(F.add_months(F.lit(x).cast("date"), k), "yyyy/MM") for x, k in ((first, -1), (last, 0)))
+    return overlapping(files.filter((month >= low) & (month <= high)), start, stop, F.lit(first).cast("timestamp_ntz"), F.lit(last).cast("timestamp_ntz"))
+
+
+def day_files(files: DataFrame, day, start: str = "start", stop: str = "stop") -> DataFrame:
+    """Files that hold records of a day: started on it, or on the day before and not over at midnight."""
+    at = F.lit(day).cast("date")
+    begins = F.to_date(F.col(start))
+    return files.filter((begins == at) | ((begins == F.date_sub(at, 1)) & (F.to_date(F.col(stop)) >= at)))
