@@ -194,44 +194,52 @@ def retrack_by_surface(df: DataFrame, retrackers: Mapping[int, Column], altitude
     }).drop("__r")
 
 
-def least_squares(model, y: np.ndarray, start: np.ndarray, low=None, high=None, weight: np.ndarray | None = None, rounds: int = 80, through=lambda x: x) -> tuple[np.ndarray, np.ndarray]:
-    """Levenberg-Marquardt for many series at once, with numerical Jacobians and box bounds. model: (rows, parameters)
-    -> (rows, bins); y: (rows, bins); weight: 0 for bins that take no part; bounds: one for all rows, or one for each; through: a linear map of residuals.
-    (parameters, residuals)."""
+def least_squares(
+    model, y: np.ndarray, start: np.ndarray, low=None, high=None, weight: np.ndarray | None = None, rounds: int = 80, through=lambda x, rows: x, stop: float = 1e-13,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Levenberg-Marquardt for many series at once, with numerical Jacobians and box bounds. model: (parameters, rows) -> power
+    of these rows; y: (rows, bins); weight: 0 for bins that take no part; bounds: one for all rows, or one for each; through:
+    a linear map of (residuals, rows); stop: the share of the cost by which a round must lower it. Rows that are done take no further part. (parameters, residuals)."""
     p = np.array(start, float)
-    k = p.shape[1]
+    n, k = p.shape
     low = np.full(k, -np.inf) if low is None else np.asarray(low, float)
     high = np.full(k, np.inf) if high is None else np.asarray(high, float)
     w = np.ones_like(y) if weight is None else weight
-    p, damping, live = np.clip(p, low, high), np.full(len(p), 1e-2), np.ones(len(p), bool)
+    bound = lambda b, rows: b if b.ndim == 1 else b[rows]
+    everything, damping, live = np.arange(n), np.full(n, 1e-2), np.ones(n, bool)
+    p = np.clip(p, low, high)
     with np.errstate(all="ignore"):
-        res = through((y - model(p)) * w)
+        res = through((y - model(p, everything)) * w, everything)
         cost = (res * res).sum(1)
         for _ in range(rounds):
-            if not live.any():
+            rows = np.flatnonzero(live)
+            if not len(rows):
                 break
-            h = 1e-6 * np.maximum(np.abs(p), 1e-3)
-            jac = np.stack([through((model(p + h * (np.arange(k) == j)) - model(p - h * (np.arange(k) == j))) / (2 * h[:, j : j + 1]) * w) for j in range(k)], axis=2)
-            jac = np.nan_to_num(jac)
-            a, g = np.einsum("rbi,rbj->rij", jac, jac), np.einsum("rbi,rb->ri", jac, res)
+            q = p[rows]
+            h = 1e-6 * np.maximum(np.abs(q), 1e-3)
+            slopes = [(model(q + h * (np.arange(k) == j), rows) - model(q - h * (np.arange(k) == j), rows)) / (2 * h[:, j : j + 1]) for j in range(k)]
+            jac = np.nan_to_num(np.stack([through(s * w[rows], rows) for s in slopes], axis=2))
+            turned = jac.transpose(0, 2, 1)
+            a, g = turned @ jac, (turned @ res[rows][:, :, None])[:, :, 0]
             scale = np.einsum("rii->ri", a) + 1e-12
-            waiting, moved = live.copy(), np.zeros(len(p), bool)
+            waiting, moved = np.arange(len(rows)), np.zeros(len(rows), bool)
             for _ in range(12):
-                if not waiting.any():
+                if not len(waiting):
                     break
-                step = np.linalg.solve(a + (damping[:, None] * scale)[:, :, None] * np.eye(k), g[:, :, None])[:, :, 0]
-                new = np.clip(p + step, low, high)
-                new_res = through((y - model(new)) * w)
+                r = rows[waiting]
+                step = np.linalg.solve(a[waiting] + (damping[r][:, None] * scale[waiting])[:, :, None] * np.eye(k), g[waiting][:, :, None])[:, :, 0]
+                new = np.clip(q[waiting] + step, bound(low, r), bound(high, r))
+                new_res = through((y[r] - model(new, r)) * w[r], r)
                 new_cost = (new_res * new_res).sum(1)
-                better = waiting & np.isfinite(new_cost) & (new_cost < cost)
-                done = better & (cost - new_cost <= 1e-13 * (cost + 1e-30))
-                p[better], res[better], cost[better] = new[better], new_res[better], new_cost[better]
-                damping[better] = np.maximum(damping[better] / 10, 1e-9)
-                live[done] = False
-                moved |= better
-                waiting &= ~better
-                damping[waiting] *= 10
-            live &= moved
+                better = np.isfinite(new_cost) & (new_cost < cost[r])
+                hit = r[better]
+                live[hit[cost[hit] - new_cost[better] <= stop * (cost[hit] + 1e-30)]] = False
+                p[hit], res[hit], cost[hit] = new[better], new_res[better], new_cost[better]
+                damping[hit] = np.maximum(damping[hit] / 10, 1e-9)
+                moved[waiting[better]] = True
+                waiting = waiting[~better]
+                damping[rows[waiting]] *= 10
+            live[rows[~moved]] = False
     return p, res
 
 
@@ -267,7 +275,7 @@ def fit_leads(w: np.ndarray, skip: int = 0, k: float = 1.0, sigma: float = 1.0)
     scale = np.maximum(part.max(axis=1), 1e-300)
     t = np.arange(part.shape[1], dtype=float)[None, :]
     start = np.column_stack([top, np.full(len(w), k), np.full(len(w), sigma), np.ones(len(w))])
-    p, _ = least_squares(lambda q: lead_model(t, q), part / scale[:, None], start, [-np.inf, 1e-4, 1e-4, 1e-6])
+    p, _ = least_squares(lambda q, _: lead_model(t, q), part / scale[:, None], start, [-np.inf, 1e-4, 1e-4, 1e-6], stop=1e-9)
     p = p * np.column_stack([np.ones((len(w), 3)), scale])
     at = skip + p[:, 0]
     shifted = np.column_stack([at, p[:, 1:]])
@@ -346,9 +354,9 @@ def trailing_edge(w: np.ndarray, start: np.ndarray, floor: float = 0.05, oversam
         mask[i, lower_envelope(w[i], int(start[i]), noise)] = 1.0
     tail = at >= start[:, None]
     unit = np.maximum(scale, 1e-300)[:, None]
-    model = lambda p: x ** -p[:, :1] + p[:, 1:]
+    model = lambda p, rows: x[rows] ** -p[:, :1] + p[:, 1:]
     p, _ = least_squares(model, w / unit, np.tile([0.75, 0.0], (n, 1)), [0.0, -np.inf], [5.0, np.inf], mask)
-    fit = model(p) * unit
+    fit = model(p, slice(None)) * unit
     size = tail.sum(1)
     mean = np.where(tail, w, 0.0).sum(1) / size
     residual = np.where(tail, w - fit, np.nan)

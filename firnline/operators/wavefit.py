@@ -91,14 +91,14 @@ def sub_waveform_mask(power: np.ndarray, maximum: int, noise: float = 0.02) -> n
     return mask
 
 
-def interpolation(mask: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
-    """A map of rows of residuals: masked bins take values between their nearest bins that are not masked."""
+def interpolation(mask: np.ndarray) -> Callable:
+    """A map of residuals (of some rows): masked bins take values between their nearest bins that are not masked."""
     bins = np.arange(mask.shape[1])
     left = np.maximum.accumulate(np.where(mask, -1, bins), axis=1)
     right = np.minimum.accumulate(np.where(mask, len(bins), bins)[:, ::-1], axis=1)[:, ::-1]
     left, right = np.where(left < 0, right, left), np.where(right >= len(bins), left, right)
     part = np.where(right > left, (bins - left) / np.maximum(right - left, 1), 0.0)
-    return lambda x: np.take_along_axis(x, left, 1) * (1 - part) + np.take_along_axis(x, right, 1) * part
+    return lambda x, rows=slice(None): np.take_along_axis(x, left[rows], 1) * (1 - part[rows]) + np.take_along_axis(x, right[rows], 1) * part[rows]
 
 
 def misfit(residual: np.ndarray, scale: np.ndarray, mask: np.ndarray | None = None) -> np.ndarray:
@@ -119,9 +119,9 @@ def leading_edge_error(model: np.ndarray, power: np.ndarray, start: float = 0.00
 
 def _deviations(model, p: np.ndarray, residual: np.ndarray, through) -> np.ndarray:
     """Standard deviations of the parameters of each row."""
-    k = p.shape[1]
+    k, rows = p.shape[1], np.arange(len(p))
     h = 1e-6 * np.maximum(np.abs(p), 1e-3)
-    jac = np.stack([through((model(p + h * (np.arange(k) == j)) - model(p - h * (np.arange(k) == j))) / (2 * h[:, j : j + 1])) for j in range(k)], axis=2)
+    jac = np.stack([through((model(p + h * (np.arange(k) == j), rows) - model(p - h * (np.arange(k) == j), rows)) / (2 * h[:, j : j + 1]), rows) for j in range(k)], axis=2)
     inverse = np.linalg.pinv(np.einsum("rbi,rbj->rij", jac, jac))
     variance = (residual**2).sum(1) / max(residual.shape[1] - k, 1)
     return np.sqrt(np.maximum(np.einsum("rii->ri", inverse) * variance[:, None], 0))
@@ -132,18 +132,18 @@ def _step(model: Model, tau, power, noise, free: Sequence[str], start: dict, bou
     n = len(power)
 
     def values(p: np.ndarray) -> dict:
-        return {**{k: np.full(n, float(v)) for k, v in fixed.items()}, **{name: p[:, i] for i, name in enumerate(free)}}
+        return {**{k: np.full(len(p), float(v)) for k, v in fixed.items()}, **{name: p[:, i] for i, name in enumerate(free)}}
 
-    def run(p: np.ndarray) -> np.ndarray:
+    def run(p: np.ndarray, rows: np.ndarray) -> np.ndarray:
         v = values(p)
-        return v["amplitude"][:, None] * model(tau, v["epoch"], v["swh"], v["nu"]) + noise[:, None]
+        return v["amplitude"][:, None] * model(tau, v["epoch"], v["swh"], v["nu"]) + noise[rows][:, None]
 
     first = np.column_stack([np.broadcast_to(start[name], n) for name in free])
     low = np.column_stack([np.broadcast_to(bounds[name][0], n) for name in free])
     high = np.column_stack([np.broadcast_to(bounds[name][1], n) for name in free])
     p, residual = least_squares(run, power, first, low, high, through=through)
     sdev = _deviations(run, p, residual, through)
-    return values(p), {name: sdev[:, i] for i, name in enumerate(free)}, run(p), residual
+    return values(p), {name: sdev[:, i] for i, name in enumerate(free)}, run(p, np.arange(n)), residual
 
 
 OUTPUTS = (

@@ -88,7 +88,7 @@ def test_retracker_finds_half_power_of_a_ramp(spark):
 def test_least_squares_recovers_a_line():
     x = np.arange(10.0)
     y = np.stack([3 * x - 2, -x + 5])
-    p, res = T.least_squares(lambda q: q[:, :1] * x + q[:, 1:], y, np.zeros((2, 2)))
+    p, res = T.least_squares(lambda q, _: q[:, :1] * x + q[:, 1:], y, np.zeros((2, 2)))
     assert np.allclose(p, [[3, -2], [-1, 5]], atol=1e-6) and np.abs(res).max() < 1e-6
 
 
