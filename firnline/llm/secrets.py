@@ -83,6 +83,10 @@ def name_score(name: str) -> float:
     return float(sum(NAME_PARTS.get(p, 0) for p in dict.fromkeys(p for parts in split for p in parts)) + compound)
 
 
+#: Every part of a name, and every compound, stands in the text's letters and digits without what is between them; a text
+#: whose letters and digits hold no listed part has no name that scores.
+_BETWEEN = re.compile(r"[^a-z0-9]+")
+_ANY_PART = re.compile("|".join(NAME_PARTS))
 _HEAD = 16  # first characters that a measure keeps; no placeholder that is a fixed word is as long
 _MOST = float(1 << 50)  # longer values, which only constants that repeat themselves can have, count in proportion
 
@@ -302,7 +306,7 @@ def _suffix_scores(text: str, starts: list[int], end: int) -> list[float]:
 
 
 def lexed_spans(text: str) -> list[tuple[str, int, int]]:
-    if "=" not in text and ":" not in text:
+    if ("=" not in text and ":" not in text) or not _ANY_PART.search(_BETWEEN.sub("", text.lower())):
         return []
     out, waiting, run = [], [], -1  # sensitive names inside a bare run, scored together
 
